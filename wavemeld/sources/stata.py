@@ -1,0 +1,85 @@
+"""Stata files: rows and labels, read by range.
+
+A file is a fixed-width block, so it is split into row ranges that tasks read
+on their own; no task holds more than one chunk of a file.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow.fs
+from pandas.io.stata import StataReader
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+ROWS_PER_SPLIT = 500_000
+ROWS_PER_CHUNK = 20_000
+
+
+def _open(path: str) -> StataReader:
+    if "://" not in path and not path.startswith("file:"):
+        fs, name = pyarrow.fs.LocalFileSystem(), path
+    else:
+        fs, name = pyarrow.fs.FileSystem.from_uri(path)
+    return StataReader(fs.open_input_file(name), convert_categoricals=False)
+
+
+def header(path: str) -> tuple[list[tuple[str, str]], int]:
+    """(column, Spark type) pairs and the number of rows; reads the file header only."""
+    with _open(path) as reader:
+        reader._ensure_open()
+        columns = []
+        for name, typ, fmt in zip(reader._varlist, reader._dtyplist, reader._fmtlist):
+            numeric = getattr(typ, "kind", "S") in "iuf"
+            columns.append((name, "timestamp_ntz" if numeric and fmt.startswith(("%t", "%d")) else
+                            "double" if numeric else "string"))
+        return columns, reader._nobs
+
+
+def read_stata(spark: SparkSession, path: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """Rows of a file; numbers are doubles, labels stay out of the values."""
+    columns, n_rows = header(path)
+    n_splits = max(1, -(-n_rows // rows_per_split))
+    splits = spark.range(0, n_splits, 1, n_splits).select(
+        (F.col("id") * rows_per_split).alias("start"),
+        F.least((F.col("id") + 1) * rows_per_split, F.lit(n_rows)).alias("stop"))
+    schema = ", ".join(f"`{c}` {t}" for c, t in columns)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start, stop in zip(batch["start"], batch["stop"]):
+                if start >= stop:
+                    continue
+                with _open(path) as reader:
+                    reader._ensure_open()
+                    reader._lines_read = int(start)  # the reader seeks to this row
+                    at = int(start)
+                    while at < stop:
+                        size = min(ROWS_PER_CHUNK, int(stop) - at)
+                        chunk = reader.read(size, convert_categoricals=False)
+                        for c, t in columns:
+                            chunk[c] = (chunk[c].astype("float64") if t == "double" else
+                                        chunk[c].astype("datetime64[us]") if t == "timestamp_ntz" else chunk[c])
+                        yield chunk
+                        at += size
+
+    return splits.mapInPandas(rows, schema)
+
+
+def read_stata_labels(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(path, variable, code, label)`` of many files; code NULL is the variable's own label."""
+    def labels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                with _open(path) as reader:
+                    own = reader.variable_labels()
+                    sets = reader.value_labels()
+                    rows = [(path, v, None, text) for v, text in own.items() if text]
+                    rows += [(path, v, float(code), text) for v, name in zip(reader._varlist, reader._lbllist)
+                             for code, text in sets.get(name, {}).items()]
+                yield pd.DataFrame(rows, columns=["path", "variable", "code", "label"]).astype({"code": "float64"})
+
+    frame = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 1000))
+    out = frame.mapInPandas(labels, "path string, variable string, code double, label string")
+    return out.withColumn("code", F.when(~F.isnan("code"), F.col("code")))
