@@ -10,8 +10,10 @@ from pyspark.sql import Column, functions as F
 
 from wavemeld.spec import Variable
 
-# What a number looks like, and the words for true and false.
-NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
+# What a number ends with or is spelled, and the words for true and false.
+NUMBER_ENDS = tuple("0123456789.")
+INFINITY_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
+BLANKS = " \t\n\r"
 TRUE_WORDS = ("T", "TRUE", "true", "True")
 FALSE_WORDS = ("F", "FALSE", "false", "False")
 
@@ -49,7 +51,10 @@ def string_form(c: Column, dtype: str) -> Column:
 
 def to_double(c: Column, dtype: str) -> Column:
     if dtype == "string":
-        return F.when(c.rlike(NUMBER), F.trim(c).try_cast("double"))
+        # The cast also takes suffixes such as "1d" and "NaN"; a number does not end so.
+        text = F.btrim(c, F.lit(BLANKS))
+        number = F.substring(text, -1, 1).isin(*NUMBER_ENDS) | F.lower(text).isin(*INFINITY_WORDS)
+        return F.when(number, text.try_cast("double"))
     if dtype == "date":
         return F.unix_date(c).cast("double")
     if dtype.startswith("timestamp"):
@@ -64,7 +69,11 @@ def to_integer(c: Column, dtype: str) -> Column:
     if dtype == "bigint":
         return c.try_cast("int")
     d = to_double(c, dtype)
-    return F.when(d > F.lit(-2147483648.0), d.try_cast("int"))
+    truncated = F.when(d > F.lit(-2147483648.0), d.try_cast("int"))
+    if dtype != "string":
+        return truncated
+    plain = c.try_cast("int")  # most cells; the rest may still be 1.7 or 1e3
+    return F.coalesce(F.when(plain > F.lit(-2147483648), plain), truncated)
 
 
 def to_logical(c: Column, dtype: str) -> Column:
@@ -88,6 +97,14 @@ def safe_cast(c: Column, dtype: str, target: str) -> Column | None:
     return None
 
 
+def cast_cannot_fail(dtype: str, target: str) -> bool:
+    """Whether the cast to a target keeps every cell of a column type."""
+    numbers = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean")
+    if target in ("numeric", "double", "logical") and dtype in numbers:
+        return True
+    return target == "character" or (target == "integer" and dtype in ("tinyint", "smallint", "int", "boolean"))
+
+
 def target_dtype(target: str) -> str:
     return {"integer": "int", "numeric": "double", "double": "double",
             "character": "string", "logical": "boolean"}[target]

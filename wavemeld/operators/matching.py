@@ -155,9 +155,10 @@ def name_candidates(columns: DataFrame, spec: Spec, layers: tuple[str, ...] = LA
 
 def contenders(candidates: DataFrame, limit: int) -> DataFrame:
     """Columns that can still win: the first ``limit`` per dataset, layer and canonical."""
-    wanted = F.concat(*[
-        F.transform(layer, lambda c, name=layer: F.struct(F.lit(name).alias("layer"), c.alias("canonical")))
-        for layer in LAYERS])
+    def wishes(layer: str) -> Column:
+        return F.transform(layer, lambda c: F.struct(F.lit(layer).alias("layer"), c.alias("canonical")))
+
+    wanted = F.concat(*map(wishes, LAYERS))
     by_canonical = Window.partitionBy("dataset", "wanted").orderBy("ordinal")
     return (candidates.withColumn("wanted", F.explode(wanted))
             .withColumn("_rank", F.row_number().over(by_canonical))

@@ -1,19 +1,18 @@
 """Which cells would be lost by a cast, and which hold undeclared codes.
 
-One pass answers this for all columns and all datasets of a plan: rows without
-an offending cell are dropped by a generated filter, the others emit one small
-record per offending cell, and equal records are counted with a map-side
-combine.  The result, :func:`cell_issues`, is whole: every offending value with
-its count.  The issue texts are made from it.
+One pass answers this for all columns and all datasets of a plan: each check is
+NULL or the offending value, the checks are unpivoted inside the generated
+stage, and equal values are counted with a map-side combine.  The result,
+:func:`cell_issues`, is whole: every offending value with its count.  The issue
+texts are made from it.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wavemeld.functions.cells import class_name, is_missing, safe_cast, string_form, target_dtype, to_integer
+from wavemeld.functions.cells import (cast_cannot_fail, class_name, is_missing, safe_cast, string_form, target_dtype,
+                                      to_integer)
 from wavemeld.spec import TARGET_TYPES, Spec
 
 # Bad values shown in a coercion text, and the texts themselves.
@@ -43,7 +42,7 @@ def cell_checks(df: DataFrame, spec: Spec, columns: list[str], types: dict[str,
         var, dtype, cell = spec[name], types[name], F.col(f"`{name}`")
         text = string_form(cell, dtype)
         cast = safe_cast(cell, dtype, var.type) if coerce else None
-        if cast is not None:
+        if cast is not None and not cast_cannot_fail(dtype, var.type):
             lost = is_missing(cast, target_dtype(var.type)) & ~is_missing(cell, dtype)
             checks.append((name, "coercion", F.when(lost, text)))
         if not var.values:
@@ -66,12 +65,15 @@ def cell_issues(df: DataFrame, checks: list[tuple[str, str, Column]], by: tuple[
         empty = df.select(*by, F.lit("").alias("variable"), F.lit("").alias("kind"),
                           F.lit("").alias("value"), F.lit(0).cast("bigint").alias("n"))
         return empty.filter(F.lit(False))
-    offending = reduce(lambda a, b: a | b, [bad.isNotNull() for _, _, bad in checks])
-    records = F.array(*[F.struct(F.lit(v).alias("variable"), F.lit(k).alias("kind"), bad.alias("value"))
-                        for v, k, bad in checks])
-    return (df.filter(offending)
-            .select(*by, F.inline(F.filter(records, lambda r: r["value"].isNotNull())))
-            .groupBy(*by, "variable", "kind", "value").agg(F.count("*").alias("n")))
+    # Unpivoting keeps every check a column of one projection, so a recoded cell
+    # is computed once; a row filter would be pushed down and inline it again.
+    names = [f"{kind}:{variable}" for variable, kind, _ in checks]
+    wide = df.select(*by, *[bad.alias(name) for name, (_, _, bad) in zip(names, checks)])
+    long = wide.unpivot(list(by), [F.col(f"`{n}`") for n in names], "check", "value").filter("value IS NOT NULL")
+    return (long.groupBy(*by, "check", "value").agg(F.count("*").alias("n"))
+            .select(*by, F.substring_index("check", ":", 1).alias("kind"),
+                    F.regexp_replace("check", "^[^:]*:", "").alias("variable"), "value", "n")
+            .select(*by, "variable", "kind", "value", "n"))
 
 
 def lost_columns(cells: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

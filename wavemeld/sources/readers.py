@@ -7,7 +7,7 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from wavemeld.functions.cells import NUMBER
+from wavemeld.functions.cells import to_double
 from wavemeld.sources import stata
 
 SEPARATORS = {"csv": ",", "tsv": "\t"}
@@ -75,7 +75,7 @@ def cell_kinds(text: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         return (F.when(c.isNull(), F.lit(0)).when(c.isin(*LOGICAL_WORDS), F.lit(LOGICAL))
                 .when(whole & c.try_cast("int").isNotNull(), F.lit(INTEGER))
                 .when(whole & c.try_cast("bigint").isNotNull(), F.lit(LONG))
-                .when(c.rlike(NUMBER), F.lit(REAL)).otherwise(F.lit(TEXT)))
+                .when(to_double(c, "string").isNotNull(), F.lit(REAL)).otherwise(F.lit(TEXT)))
 
     names = [c for c in text.columns if c not in by]
     return text.groupBy(*by).agg(*[F.bit_or(kind(c)).alias(f"_k{i}") for i, c in enumerate(names)])
