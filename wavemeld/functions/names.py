@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 def normalise(name: Column | str) -> Column:
     """Lower-case snake form: every run outside ``[a-z0-9]`` becomes one ``_``."""
     c = F.col(name) if isinstance(name, str) else name
-    return F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    return F.btrim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
 def normalise_text(name: str) -> str:

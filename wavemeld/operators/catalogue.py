@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wavemeld.functions.names import normalise, unique_header, normalise_text
-from wavemeld.operators.running import SLICE, running_rank, running_total
+from wavemeld.operators.running import SLICE, running_rank, running_total, slices_for
 from wavemeld.spec import small_table
 
 
@@ -36,29 +36,31 @@ def unique_names(catalogue: DataFrame, slice_size: int = SLICE) -> DataFrame:
     of those i with t(i) - i < j.  Both counts are running totals, so nothing
     depends on the size of a dataset.
     """
-    names = (running_rank(catalogue, ["dataset", "raw_name"], "ordinal", "_nth", slice_size)
-             .withColumn("_nth", F.col("_nth") - 1))
-    base = F.regexp_extract("raw_name", r"^(.*)_([1-9][0-9]{0,8})$", 1)
-    number = F.regexp_extract("raw_name", r"^(.*)_([1-9][0-9]{0,8})$", 2)
-    numbered = (names.filter((F.col("_nth") == 0) & (number != ""))
-                .select("dataset", base.alias("raw_name"), number.cast("bigint").alias("_taken")))
-    repeats = names.filter("_nth > 0")
-    # Only bases that do repeat can collide; the others never reach a window.
+    keys = ["dataset", "raw_name"]
+    slices = slices_for(catalogue, "ordinal", slice_size)
+    names = running_rank(catalogue, keys, "ordinal", "_nth", slices).withColumn("_nth", F.col("_nth") - 1)
+    sizes = catalogue.groupBy(*keys).agg(F.count("*").alias("_size"))
+    repeated = sizes.filter("_size > 1").select(*keys)
+    numbered = r"^(.*)_([1-9][0-9]{0,8})$"
     taken = running_rank(
-        numbered.join(repeats.select("dataset", "raw_name").distinct(), ["dataset", "raw_name"], "left_semi"),
-        ["dataset", "raw_name"], "_taken", "_i", slice_size)
-    events = (taken.groupBy("dataset", "raw_name", (F.col("_taken") - F.col("_i") + 1).alias("_nth"))
-              .agg(F.count("*").alias("_skip")).withColumn("ordinal", F.lit(None).cast("bigint"))
-              .withColumn("_row", F.lit(0)))
-    steps = events.unionByName(repeats.select(
-        "dataset", "raw_name", "_nth", F.lit(0).cast("bigint").alias("_skip"),
-        F.col("ordinal").cast("bigint").alias("ordinal"), F.lit(1).alias("_row")))
-    numbers = running_total(steps, ["dataset", "raw_name"], "_nth", "_skip", "_skipped",
-                            tie=("_row",), slice_size=slice_size).filter("_row = 1")
-    renamed = numbers.select("dataset", "ordinal", F.concat_ws(
-        "_", "raw_name", (F.col("_nth") + F.col("_skipped")).cast("string")).alias("raw_name"))
-    kept = names.filter("_nth = 0").select("dataset", F.col("ordinal").cast("bigint").alias("ordinal"), "raw_name")
-    return kept.unionByName(renamed)
+        sizes.filter(F.col("raw_name").rlike(numbered))
+        .select("dataset", F.regexp_extract("raw_name", numbered, 1).alias("raw_name"),
+                F.regexp_extract("raw_name", numbered, 2).cast("bigint").alias("_taken"))
+        .join(repeated, keys),  # only bases that repeat can collide
+        keys, "_taken", "_i", slice_size)
+    events = (taken.groupBy(*keys, (F.col("_taken") - F.col("_i") + 1).alias("_nth"))
+              .agg(F.count("*").alias("_skip"))
+              .select(*keys, "_nth", "_skip", F.lit(None).cast("bigint").alias("ordinal"), F.lit(0).alias("_row")))
+    colliding = taken.select(*keys).distinct()
+    rows = names.select(*keys, F.col("_nth"), F.lit(0).cast("bigint").alias("_skip"),
+                        F.col("ordinal").cast("bigint").alias("ordinal"), F.lit(1).alias("_row"))
+    steps = events.unionByName(rows.join(colliding, keys, "left_semi"))
+    shifted = running_total(steps, keys, "_nth", "_skip", "_skipped", ("_row",), slice_size).filter("_row = 1")
+    plain = rows.join(colliding, keys, "left_anti").withColumn("_skipped", F.lit(0).cast("bigint"))
+    number = (F.col("_nth") + F.col("_skipped")).cast("string")
+    return plain.unionByName(shifted.select(*plain.columns)).select(
+        "dataset", "ordinal",
+        F.when(F.col("_nth") == 0, F.col("raw_name")).otherwise(F.concat_ws("_", "raw_name", number)).alias("raw_name"))
 
 
 def first_positions(catalogue: DataFrame) -> DataFrame:

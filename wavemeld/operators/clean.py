@@ -130,7 +130,7 @@ def match_header(df: DataFrame, spec: Spec, label: str) -> tuple[list[str], list
     """Clean header of a table and its match-log rows."""
     header = clean_header(df.columns)
     catalogue = header_catalogue(df.sparkSession, {label: df.columns})
-    return header, match_columns(catalogue, spec).log.collect()
+    return header, match_columns(catalogue, spec, unique=True).log.collect()
 
 
 def prepare(df: DataFrame, spec: Spec, columns: list[str], apply_missing: bool) -> DataFrame:
@@ -140,10 +140,15 @@ def prepare(df: DataFrame, spec: Spec, columns: list[str], apply_missing: bool)
 
 def finish(df: DataFrame, spec: Spec, columns: list[str], kept: frozenset[str], year: int | None,
            dedupe: bool = True, year_counts_as_value: bool = False) -> DataFrame:
+    """Cast, stamp, and drop duplicate and empty rows.
+
+    An applied cast never empties a cell, so empty rows are dropped before the
+    casts, where the test is short and runs next to the scan.
+    """
+    if year is None or not year_counts_as_value:
+        df = drop_empty_rows(df, ())
     df = inject_year(apply_casts(df, spec, columns, kept), year)
-    if dedupe:
-        df = dedupe_rows(df)
-    return drop_empty_rows(df, () if year_counts_as_value else ("year",))
+    return dedupe_rows(df) if dedupe else df
 
 
 def clean_dataset(df: DataFrame, spec: Spec, year: int | None = None, label: str = "",

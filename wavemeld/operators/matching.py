@@ -101,12 +101,11 @@ def fuzzy_candidates(names: DataFrame, spec: Spec, max_distance: float = 0.15) -
            .withColumn("piece", F.explode(pieces)))
     # Substrings of the aliases that a piece can equal.
     longest_piece = _longest_piece(longest, max_distance)
-    index = (aliases.withColumn("size", F.explode(F.sequence(F.lit(0), F.lit(longest_piece))))
-             .withColumn("at", F.explode(F.sequence(F.lit(1), F.greatest(
-                 F.lit(1), F.length("alias") - F.col("size") + 1))))
-             .withColumn("piece", F.substring(F.col("alias"), F.col("at"), F.col("size")))
-             .filter(F.length("piece") == F.col("size"))
-             .select("piece", "ord", "alias", "canonical").distinct())
+    parts = F.flatten(F.transform(
+        F.sequence(F.lit(0), F.least(F.lit(longest_piece), F.length("alias"))),
+        lambda size: F.transform(F.sequence(F.lit(1), F.length("alias") - size + 1),
+                                 lambda at: F.substring(F.col("alias"), at, size))))
+    index = aliases.withColumn("piece", F.explode(F.array_distinct(parts)))
     length = F.length("alias")
     near = F.exists(
         F.sequence(F.greatest(F.lit(0), n - k), F.least(length, n + k)),
@@ -214,12 +213,16 @@ def describe_matches(winners: DataFrame, spec: Spec) -> DataFrame:
 # -- public -------------------------------------------------------------------
 
 def match_columns(catalogue: DataFrame, spec: Spec, fuzzy_max_distance: float = 0.15,
-                  layers: tuple[str, ...] = LAYERS) -> MatchResult:
-    """Match the columns of every dataset in the catalogue."""
+                  layers: tuple[str, ...] = LAYERS, unique: bool = False) -> MatchResult:
+    """Match the columns of every dataset in the catalogue.
+
+    ``unique`` states that no name repeats within a dataset, as in a catalogue
+    of clean headers; it saves a shuffle.
+    """
     if not spec.aliases:
         warnings.warn("the variable map has no aliases: exact and fuzzy matching will be skipped", stacklevel=2)
         layers = tuple(x for x in layers if x == "keyword")
-    columns = first_positions(catalogue)
+    columns = catalogue if unique else first_positions(catalogue)
     candidates = name_candidates(columns, spec, layers, fuzzy_max_distance)
     winners = settle_claims(candidates, len(spec.variables))
     log = describe_matches(winners, spec)

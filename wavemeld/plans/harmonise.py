@@ -69,7 +69,7 @@ def match_groups(spark: SparkSession, groups: list[FileGroup], spec: Spec) -> tu
     headers: dict[tuple[str, ...], str] = {}
     for g in groups:
         headers.setdefault(g.header, f"header-{len(headers)}")
-    found = match_columns(header_catalogue(spark, {h: list(names) for names, h in headers.items()}), spec)
+    found = match_columns(header_catalogue(spark, {h: list(names) for names, h in headers.items()}), spec, unique=True)
     log = found.log.persist()
     renames: dict[str, dict[str, str]] = {h: {} for h in headers.values()}
     for r in log.collect():
@@ -114,13 +114,14 @@ def clean_groups(spark: SparkSession, groups: list[FileGroup], renames: list[dic
         for lost, members in alike.items():
             sub = g.of(e.dataset for e in members)
             df = _ready(scan(spark, sub, **options), sub, names, spec, apply_missing)
-            df = apply_casts(df, spec, columns, lost)
-            df = add_years(df, sub.entries)
+            if not year_counts_as_value:
+                df = drop_empty_rows(df, ("dataset",))
+            df = add_years(apply_casts(df, spec, columns, lost), sub.entries)
+            if year_counts_as_value:
+                df = drop_empty_rows(df, ("dataset",))
             if dedupe:
                 df = dedupe_rows(df)
-            ignore = ("dataset",) if year_counts_as_value else ("dataset", "year")
-            parts.extend(_split_by_year(CleanPart(tuple(e.dataset for e in members), drop_empty_rows(df, ignore)),
-                                        sub.entries))
+            parts.extend(_split_by_year(CleanPart(tuple(e.dataset for e in members), df), sub.entries))
     return parts, issues, cells
 
 

@@ -17,7 +17,7 @@ from wavemeld.plans import audit, report
 from wavemeld.plans.harmonise import run_pipeline
 from wavemeld.queries.maps import CODES, LABELLED, WAVES, WORDS
 from wavemeld.sources.manifest import group_files, manifest_table, read_manifest, scan
-from wavemeld.sources.readers import read_raw
+from wavemeld.sources.readers import read_raw, spread
 from wavemeld.sources.scratch import scratch_dir
 from wavemeld.spec import (Spec, alias_table, keyword_table, label_table, missing_table, recode_table, type_table,
                            value_table)
@@ -40,11 +40,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # -- inputs derived from the tables ---------------------------------------------
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
-    """Every word of every document as a column of a file named by the document."""
-    return (table(spark, sf, "documents")
-            .select(F.col("doc_id").cast("string").alias("dataset"),
-                    F.posexplode(F.split("text", "[ \t\n\r]+")).alias("ordinal", "word"))
-            .select("dataset", F.col("ordinal").cast("bigint").alias("ordinal"), normalise("word").alias("raw_name"))
+    """Every word of every document as a column of a file named by the document.
+
+    Names are normalised inside the array: a filter on an exploded expression
+    would be pushed down and normalise every word twice.
+    """
+    names = F.transform(F.split("text", "[ \t\n\r]+"), normalise)
+    return (spread(table(spark, sf, "documents").select("doc_id", "text"))
+            .select(F.col("doc_id").cast("string").alias("dataset"), F.posexplode(names).alias("ordinal", "raw_name"))
+            .withColumn("ordinal", F.col("ordinal").cast("bigint"))
             .filter("raw_name <> ''"))
 
 
@@ -347,7 +351,7 @@ def coercion_profile(spark, sf):
 @query
 def coercion_counts(spark, sf):
     """Casting free text: every word that is no integer, by document language."""
-    df = (table(spark, sf, "documents").select("lang", F.explode(F.split("text", "[ \t\n\r]+")).alias("line")))
+    df = (spread(table(spark, sf, "documents").select("lang", "text")).select("lang", F.explode(F.split("text", "[ \t\n\r]+")).alias("line")))
     spec = Spec.from_dict({"line": {"type": "integer"}})
     cells = profile.cell_issues(df, profile.cell_checks(df, spec, ["line"]), ("lang",))
     return (profile.coercion_profile(cells, ("lang",))

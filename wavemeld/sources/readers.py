@@ -7,7 +7,7 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from wavemeld.functions.cells import to_double
+from wavemeld.functions.cells import BLANKS, NUMBER
 from wavemeld.sources import stata
 
 SEPARATORS = {"csv": ",", "tsv": "\t"}
@@ -16,6 +16,7 @@ COLUMNAR = ("parquet", "orc", "json")
 # Words a delimited file uses for true and false, and for missing.
 LOGICAL_WORDS = ("TRUE", "True", "true", "FALSE", "False", "false")
 MISSING_WORD = "NA"
+WHOLE = r"^\s*[+-]?\d+\s*$"
 
 # What kinds of cells a column holds, as bits.
 LOGICAL, INTEGER, LONG, REAL, TEXT = 1, 2, 4, 8, 16
@@ -71,11 +72,11 @@ def cell_kinds(text: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """
     def kind(name: str):
         c = F.col(f"`{name}`")
-        whole = c.rlike(r"^\s*[+-]?\d+\s*$")
+        size = F.abs(F.btrim(c, F.lit(BLANKS)).try_cast("double"))
+        whole = (F.when(size < F.lit(2147483648.0), F.lit(INTEGER))
+                 .when(c.try_cast("bigint").isNotNull(), F.lit(LONG)).otherwise(F.lit(REAL)))
         return (F.when(c.isNull(), F.lit(0)).when(c.isin(*LOGICAL_WORDS), F.lit(LOGICAL))
-                .when(whole & c.try_cast("int").isNotNull(), F.lit(INTEGER))
-                .when(whole & c.try_cast("bigint").isNotNull(), F.lit(LONG))
-                .when(to_double(c, "string").isNotNull(), F.lit(REAL)).otherwise(F.lit(TEXT)))
+                .when(c.rlike(WHOLE), whole).when(c.rlike(NUMBER), F.lit(REAL)).otherwise(F.lit(TEXT)))
 
     names = [c for c in text.columns if c not in by]
     return text.groupBy(*by).agg(*[F.bit_or(kind(c)).alias(f"_k{i}") for i, c in enumerate(names)])
@@ -97,3 +98,13 @@ def typed_schema(names: list[str], kinds: list[int | None]) -> StructType:
     types = {"string": StringType(), "double": DoubleType(), "bigint": LongType(), "int": IntegerType(),
              "boolean": BooleanType()}
     return StructType([StructField(n, types[kind_type(k)]) for n, k in zip(names, kinds)])
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small file that would be read by few tasks over all cores.
+
+    A table of at least as many splits as the cluster has cores is returned as
+    it is, so nothing large is ever shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
