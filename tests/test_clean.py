@@ -4,13 +4,13 @@ from pyspark.sql import functions as F
 from wavemeld.functions import cells as C
 from wavemeld.operators.clean import (apply_casts, apply_missing_codes, apply_recodes, clean_dataset, dedupe_rows,
                                       drop_empty_rows, inject_year, recode_join, rename_columns, select_canonical)
-from wavemeld.operators.profile import cell_checks, cell_issues, coercion_profile, conformance_profile, issue_table
+from wavemeld.operators.profile import coercion_profile, conformance_profile, issue_table, profile_cells
 from wavemeld.spec import Spec
 
 
 def issues_of(df, spec, columns, **kw):
     types = dict(df.dtypes)
-    cells = cell_issues(df, cell_checks(df, spec, columns, types, **kw))
+    cells = profile_cells(df, spec, columns, **kw)
     return {(r["variable"], r["issue_type"]): r for r in issue_table(cells, spec, types, columns).collect()}
 
 
@@ -144,7 +144,7 @@ def test_codes_sort_by_number(spark):
 def test_cells_are_whole(spark):
     spec = Spec.from_dict({"k": {"type": "integer", "value": {1: "x"}}})
     df = spark.range(3000).selectExpr("cast(id as int) k")
-    cells = cell_issues(df, cell_checks(df, spec, ["k"]))
+    cells = profile_cells(df, spec, ["k"])
     assert cells.count() == 2999
     row = conformance_profile(cells).first()
     assert row["n_distinct"] == 2999 and row["n_bad"] == 2999

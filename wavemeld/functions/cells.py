@@ -6,9 +6,12 @@ plain Column, so a whole table is cleaned inside one generated stage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import re
+from collections.abc import Collection
 
-from wavemeld.spec import Variable
+from pyspark.sql import Column, DataFrame, functions as F
+
+from wavemeld.spec import Spec, Variable
 
 # What a number looks like, and the words for true and false.
 NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
@@ -22,6 +25,9 @@ CLASS_NAMES = {
     "float": "numeric", "double": "numeric", "boolean": "logical", "string": "character",
 }
 
+INTEGER_RANGE = {"tinyint": (-128, 127), "smallint": (-32768, 32767), "int": (-2147483648, 2147483647),
+                 "bigint": (-9223372036854775808, 9223372036854775807)}
+
 MAX_MAP_CODES = 64  # beyond this a recode is a join, not a literal map
 
 _REAL = ("float", "double")
@@ -59,14 +65,17 @@ def to_double(c: Column, dtype: str) -> Column:
     return c.cast("double")
 
 
-def to_integer(c: Column, dtype: str) -> Column:
-    """Truncating integer cast; what does not fit is NULL."""
+def to_integer(c: Column, dtype: str, number: Column | None = None) -> Column:
+    """Truncating integer cast; what does not fit is NULL.
+
+    ``number`` passes the parsed text of a string cell, so that it is parsed once.
+    """
     if dtype in ("tinyint", "smallint", "int", "boolean"):
         return c.cast("int")
     if dtype == "bigint":
-        return F.when(c.between(-2147483647, 2147483647), c.try_cast("int"))
-    d = to_double(c, dtype)
-    return F.when((d > F.lit(-2147483648.0)) & (d < F.lit(2147483648.0)), d.try_cast("int"))
+        return F.when(c.between(-2147483647, 2147483647), c.cast("int"))
+    d = to_double(c, dtype) if number is None else number
+    return F.when((d > F.lit(-2147483648.0)) & (d < F.lit(2147483648.0)), d.cast("int"))
 
 
 def to_logical(c: Column, dtype: str) -> Column:
@@ -77,12 +86,12 @@ def to_logical(c: Column, dtype: str) -> Column:
     return F.when(~is_missing(c, dtype), to_double(c, dtype) != 0)
 
 
-def safe_cast(c: Column, dtype: str, target: str) -> Column | None:
+def safe_cast(c: Column, dtype: str, target: str, number: Column | None = None) -> Column | None:
     """The cast to a target type, or None if the type is not known."""
     if target == "integer":
-        return to_integer(c, dtype)
+        return to_integer(c, dtype, number)
     if target in ("numeric", "double"):
-        return to_double(c, dtype)
+        return to_double(c, dtype) if number is None else number
     if target == "character":
         return string_form(c, dtype)
     if target == "logical":
@@ -90,6 +99,18 @@ def safe_cast(c: Column, dtype: str, target: str) -> Column | None:
     return None
 
 
+def with_numbers(df: DataFrame, spec: Spec, columns: list[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """Parse the text columns that are to hold numbers, once, in a projection of their own.
+
+    Returns the table with the hidden columns and how to refer to them.
+    """
+    types = dict(df.dtypes)
+    text = [c for c in columns if types[c] == "string" and (
+        spec[c].type in ("integer", "numeric", "double") or spec[c].values)]
+    parsed = {f"_number {c}": to_double(F.col(f"`{c}`"), "string") for c in text}
+    return (df.withColumns(parsed) if parsed else df), {c: F.col(f"`_number {c}`") for c in text}
+
+
 def cast_cannot_fail(dtype: str, target: str) -> bool:
     """Whether the cast to a target keeps every cell of a column type."""
     numbers = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean")
@@ -111,14 +132,47 @@ def recode_pairs(var: Variable) -> dict[str, int]:
     return {k: v for k, v in pairs.items() if v is not None}
 
 
+def typed_codes(texts: Collection[str], dtype: str) -> dict[str, object] | None:
+    """The cell values whose string form is a given text, or None if only texts can tell.
+
+    Numbers are then compared as numbers, without writing each cell out.
+    """
+    if dtype == "string":
+        return {t: t for t in texts}
+    if dtype == "boolean":
+        return {t: t == "TRUE" for t in texts if t in ("TRUE", "FALSE")}
+    whole = {t: int(t) for t in texts if re.fullmatch(r"0|-?[1-9]\d{0,14}", t)}
+    if dtype in INTEGER_RANGE:
+        low, high = INTEGER_RANGE[dtype]
+        return {t: n for t, n in whole.items() if low <= n <= high}
+    if dtype == "double" and len(whole) == len(texts):
+        return {t: float(n) for t, n in whole.items()}
+    return None
+
+
+def equals_any(c: Column, dtype: str, texts: Collection[str]) -> Column:
+    """Whether the string form of a cell is one of the texts; NULL for a missing cell."""
+    codes = typed_codes(texts, dtype)
+    if codes is None and texts:
+        return string_form(c, dtype).isin(*texts)
+    if not codes:
+        return F.when(~is_missing(c, dtype), F.lit(False))
+    if dtype == "double":
+        c = F.nanvl(c, F.lit(None).cast("double"))
+    return c.isin(*codes.values())
+
+
 def recode(c: Column, dtype: str, var: Variable) -> Column:
     """Replace listed cells by their new code; the column keeps its type."""
     pairs = recode_pairs(var)
-    if not pairs:
+    codes = typed_codes(pairs, dtype)
+    key = c
+    if codes is None:
+        codes, key = {t: t for t in pairs}, string_form(c, dtype)
+    if not codes:
         return c
-    lookup = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
-    new = F.try_element_at(lookup, string_form(c, dtype))
-    return F.coalesce(as_type(new, dtype), c)
+    lookup = F.create_map(*[x for t, code in codes.items() for x in (F.lit(code), as_type(F.lit(pairs[t]), dtype))])
+    return F.coalesce(F.try_element_at(lookup, key), c)
 
 
 def as_type(code: Column, dtype: str) -> Column:
@@ -129,5 +183,4 @@ def as_type(code: Column, dtype: str) -> Column:
 def drop_missing_codes(c: Column, dtype: str, codes: tuple[int, ...]) -> Column:
     if not codes:
         return c
-    hit = string_form(c, dtype).isin(*[str(k) for k in codes])
-    return F.when(~F.coalesce(hit, F.lit(False)), c)
+    return F.when(~equals_any(c, dtype, [str(k) for k in codes]), c)

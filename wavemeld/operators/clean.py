@@ -14,10 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
 from wavemeld.functions.cells import (MAX_MAP_CODES, as_type, drop_missing_codes, recode, recode_pairs, safe_cast,
-                                      string_form)
+                                      string_form, with_numbers)
 from wavemeld.operators.catalogue import clean_header, header_catalogue
 from wavemeld.operators.matching import match_columns
-from wavemeld.operators.profile import cell_checks, cell_issues, issue_table, lost_columns
+from wavemeld.operators.profile import issue_table, lost_columns, profile_cells
 from wavemeld.spec import Spec, small_table
 
 
@@ -101,12 +101,13 @@ def apply_missing_codes(df: DataFrame, spec: Spec, columns: list[str]) -> DataFr
 
 def apply_casts(df: DataFrame, spec: Spec, columns: list[str], kept: frozenset[str] = frozenset()) -> DataFrame:
     """Cast every column but the kept ones and those of unknown target type."""
-    types, exprs = dict(df.dtypes), {}
+    types, done = dict(df.dtypes), {}
+    parsed, numbers = with_numbers(df, spec, [c for c in columns if c not in kept])
     for c in columns:
-        cast = safe_cast(F.col(f"`{c}`"), types[c], spec[c].type)
+        cast = safe_cast(F.col(f"`{c}`"), types[c], spec[c].type, numbers.get(c))
         if cast is not None and c not in kept:
-            exprs[c] = cast
-    return df.withColumns(exprs) if exprs else df
+            done[c] = cast
+    return parsed.select(*[done[c].alias(c) if c in done else F.col(f"`{c}`") for c in df.columns])
 
 
 def inject_year(df: DataFrame, year: int | None) -> DataFrame:
@@ -166,7 +167,7 @@ def clean_dataset(df: DataFrame, spec: Spec, year: int | None = None, label: str
     columns = [c for c in raw.columns]
     ready = prepare(raw, spec, columns, apply_missing)
     types = dict(ready.dtypes)
-    cells = cell_issues(ready, cell_checks(ready, spec, columns, types, check_strings=check_strings)).persist()
+    cells = profile_cells(ready, spec, columns, check_strings=check_strings).persist()
     kept = frozenset(r["variable"] for r in lost_columns(cells).collect())
     for c in sorted(kept):
         warnings.warn(f"[{label}] '{c}': cannot coerce to {spec[c].type} without NAs. Kept as is.", stacklevel=2)

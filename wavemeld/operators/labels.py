@@ -8,7 +8,7 @@ import warnings
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wavemeld.functions.cells import string_form, to_integer
+from wavemeld.functions.cells import equals_any, string_form
 from wavemeld.operators.profile import cell_issues
 from wavemeld.spec import Spec, Variable, load_config, small_table
 
@@ -24,16 +24,18 @@ def undeclared_labels(df: DataFrame, spec: Spec) -> DataFrame:
     types = dict(df.dtypes)
     checks = []
     for c in labelled_columns(df, spec):
-        text = string_form(F.col(f"`{c}`"), types[c])
-        checks.append((c, "label", F.when(~text.isin(*spec[c].codes), text)))
+        cell = F.col(f"`{c}`")
+        checks.append((c, "label", F.when(~equals_any(cell, types[c], spec[c].codes), string_form(cell, types[c]))))
     return cell_issues(df, checks).select("variable", "value", "n")
 
 
 def label_cell(cell: Column, dtype: str, var: Variable) -> Column:
     """Declared codes in the type of the codes; anything else is NULL."""
-    text = string_form(cell, dtype)
-    kept = F.when(text.isin(*var.codes), text)
-    return to_integer(kept, "string") if var.code_type == "integer" else kept
+    declared = equals_any(cell, dtype, var.codes)
+    if var.code_type != "integer":
+        return F.when(declared, string_form(cell, dtype))
+    # A declared integer code is a short plain number, so this cast cannot fail.
+    return F.when(declared, cell.try_cast("int"))
 
 
 def label_metadata(var: Variable) -> dict:

@@ -11,8 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wavemeld.functions.cells import (cast_cannot_fail, class_name, is_missing, safe_cast, string_form, target_dtype,
-                                      to_integer)
+from wavemeld.functions.cells import (cast_cannot_fail, class_name, equals_any, is_missing, safe_cast, string_form,
+                                      target_dtype, to_integer, with_numbers)
 from wavemeld.spec import TARGET_TYPES, Spec
 
 # Bad values shown in a coercion text, and the texts themselves.
@@ -28,7 +28,7 @@ def undeclared(code: Column, valid: tuple[int, ...]) -> Column:
     return F.when(~code.isin(*valid), code) if valid else code
 
 
-def cell_checks(df: DataFrame, spec: Spec, columns: list[str], types: dict[str, str] | None = None,
+def cell_checks(types: dict[str, str], numbers: dict[str, Column], spec: Spec, columns: list[str],
                 coerce: bool = True, check_strings: bool = False) -> list[tuple[str, str, Column]]:
     """(variable, kind, offending value or NULL) for each check on each column.
 
@@ -36,29 +36,36 @@ def cell_checks(df: DataFrame, spec: Spec, columns: list[str], types: dict[str,
     valid set whatever the cast decides; ``undeclared_cast`` /
     ``undeclared_kept`` – the same where the cast decides the code.
     """
-    types = types or dict(df.dtypes)
     checks: list[tuple[str, str, Column]] = []
     for name in columns:
-        var, dtype, cell = spec[name], types[name], F.col(f"`{name}`")
+        var, dtype, cell, number = spec[name], types[name], F.col(f"`{name}`"), numbers.get(name)
         text = string_form(cell, dtype)
-        cast = safe_cast(cell, dtype, var.type) if coerce else None
+        cast = safe_cast(cell, dtype, var.type, number) if coerce else None
         if cast is not None and not cast_cannot_fail(dtype, var.type):
             lost = is_missing(cast, target_dtype(var.type)) & ~is_missing(cell, dtype)
             checks.append((name, "coercion", F.when(lost, text)))
         if not var.values:
             continue
-        kept = undeclared(to_integer(cell, dtype), var.valid_integers)
+        kept = undeclared(to_integer(cell, dtype, number), var.valid_integers)
         if cast is not None and (var.type == "logical" or dtype == "boolean"):
             done = undeclared(to_integer(cast, target_dtype(var.type)), var.valid_integers)
             checks.append((name, "undeclared_cast", done.cast("string")))
             checks.append((name, "undeclared_kept", kept.cast("string")))
         elif check_strings and var.code_type == "character":
-            checks.append((name, "undeclared", F.when(~text.isin(*var.codes), text)))
+            checks.append((name, "undeclared", F.when(~equals_any(cell, dtype, var.codes), text)))
         else:
             checks.append((name, "undeclared", kept.cast("string")))
     return checks
 
 
+def profile_cells(df: DataFrame, spec: Spec, columns: list[str], by: tuple[str, ...] = (), coerce: bool = True,
+                  check_strings: bool = False) -> DataFrame:
+    """The cells a cast would lose and the undeclared codes, counted by value."""
+    types = dict(df.dtypes)
+    parsed, numbers = with_numbers(df, spec, columns)
+    return cell_issues(parsed, cell_checks(types, numbers, spec, columns, coerce, check_strings), by)
+
+
 def cell_issues(df: DataFrame, checks: list[tuple[str, str, Column]], by: tuple[str, ...] = ()) -> DataFrame:
     """``(*by, variable, kind, value, n)``: every offending value and its count."""
     if not checks:

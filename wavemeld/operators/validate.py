@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wavemeld.functions.cells import is_missing
-from wavemeld.operators.profile import cell_checks, cell_issues, conformance_profile
+from wavemeld.operators.profile import conformance_profile, profile_cells
 from wavemeld.spec import Spec, small_table
 
 HIGH_MISSING = 50  # percent
@@ -47,7 +47,7 @@ def conformance_report(df: DataFrame, spec: Spec, check_strings: bool = False,
     With ``by``, only the columns with a finding have a row.
     """
     coded = [c for c in df.columns if c in spec and spec[c].values]
-    cells = cell_issues(df, cell_checks(df, spec, coded, coerce=False, check_strings=check_strings), by)
+    cells = profile_cells(df, spec, coded, by, coerce=False, check_strings=check_strings)
     found = conformance_profile(cells, by).select(*by, "variable", "n_bad", F.col("bad_values").alias("unexpected"))
     listed = small_table(df.sparkSession, [{"variable": c, "valid": ", ".join(spec[c].codes)} for c in coded],
                          pa.schema([("variable", pa.string()), ("valid", pa.string())]))

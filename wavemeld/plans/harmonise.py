@@ -19,7 +19,7 @@ from wavemeld.operators.catalogue import header_catalogue, clean_header
 from wavemeld.operators.clean import apply_casts, dedupe_rows, drop_empty_rows, prepare, to_canonical
 from wavemeld.operators.matching import MatchResult, match_columns
 from wavemeld.operators.merge import merge_datasets
-from wavemeld.operators.profile import cell_checks, cell_issues, issue_table, lost_columns
+from wavemeld.operators.profile import issue_table, lost_columns, profile_cells
 from wavemeld.operators.validate import conformance_report, missingness
 from wavemeld.plans.audit import MasterSummary, export_match_log, summarise_master_log
 from wavemeld.sources.manifest import Entry, FileGroup, group_files, manifest_table, read_manifest, scan
@@ -95,8 +95,8 @@ def clean_groups(spark: SparkSession, groups: list[FileGroup], renames: list[dic
         df = _ready(scan(spark, g, **options), g, names, spec, apply_missing)
         columns = [c for c in df.columns if c != "dataset"]
         ready.append((df, columns, dict(df.dtypes)))
-    profiles = [cell_issues(df, cell_checks(df, spec, columns, types, check_strings=check_strings), by).persist()
-                for df, columns, types in ready]
+    profiles = [profile_cells(df, spec, columns, by, check_strings=check_strings).persist()
+                for df, columns, _ in ready]
     cells = reduce(DataFrame.unionByName, profiles)
     kept: dict[str, set[str]] = {}
     for r in lost_columns(cells, by).collect():

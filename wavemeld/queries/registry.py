@@ -95,7 +95,7 @@ def wave(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def wave_cells(df: DataFrame) -> DataFrame:
-    return profile.cell_issues(df, profile.cell_checks(df, WAVES, df.columns))
+    return profile.profile_cells(df, WAVES, df.columns)
 
 
 def flat_issues(issues: DataFrame) -> DataFrame:
@@ -353,7 +353,7 @@ def coercion_counts(spark, sf):
     """Casting free text: every word that is no integer, by document language."""
     df = (spread(table(spark, sf, "documents").select("lang", "text")).select("lang", F.explode(F.split("text", "[ \t\n\r]+")).alias("line")))
     spec = Spec.from_dict({"line": {"type": "integer"}})
-    cells = profile.cell_issues(df, profile.cell_checks(df, spec, ["line"]), ("lang",))
+    cells = profile.profile_cells(df, spec, ["line"], ("lang",))
     return (profile.coercion_profile(cells, ("lang",))
             .select("lang", "variable", "n_bad", "n_distinct", F.size("bad_values").alias("n_shown")))
 
