@@ -1,6 +1,6 @@
 import os
 import sys
-import warnings
+import tempfile
 
 import pytest
 
@@ -11,9 +11,11 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
+    shared = tempfile.mkdtemp(prefix="shared-")
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-               .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate())
+               .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
+               .config("spark.checkpoint.dir", shared).getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
