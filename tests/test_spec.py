@@ -75,3 +75,9 @@ def test_spec_tables_broadcast_by_size(spark, config):
     df = spark.range(10).selectExpr("cast(id as string) alias")
     plan = df.join(config.alias_frame(spark), "alias")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_map_kept_as_a_table(spark, config):
+    with pytest.warns(UserWarning, match="strings keys"):
+        back = load_config(config.definitions(spark))
+    assert back == config

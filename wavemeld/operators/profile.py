@@ -92,12 +92,12 @@ def _first_values(cells: DataFrame, keys: list[str], limit: int, order: list[Col
     """Count, number of distinct values and the first values per key.
 
     The rank filter is a literal limit, which prunes each task's output before
-    the shuffle; the totals are combined map-side.
+    the shuffle; the totals are combined map-side.  Both need the same columns
+    of ``cells``, so they share its shuffle.
     """
     ranked = Window.partitionBy(*keys).orderBy(*order)
-    # One more than the limit: whether there are others must still be seen.
     head = (cells.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= F.lit(limit))
-            .groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("_rank", "value"))),
+            .groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("_rank", "value", "n"))),
                                             lambda e: e["value"]).alias("bad_values")))
     totals = cells.groupBy(*keys).agg(F.sum("n").alias("n_bad"), F.count("*").alias("n_distinct"))
     return totals.join(head, keys)
@@ -112,14 +112,23 @@ def coercion_profile(cells: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return found.select(*by, "variable", "n_bad", "n_distinct", shown.alias("bad_values"))
 
 
-def conformance_profile(cells: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Per column: undeclared codes, ascending, and the number of cells with one."""
-    lost = cells.filter("kind = 'coercion'").select(*by, "variable").distinct().withColumn("_kept", F.lit(True))
-    codes = (cells.filter("kind <> 'coercion'").join(lost, [*by, "variable"], "left")
-             .filter((F.col("kind") == "undeclared")
-                     | (F.col("kind") == F.when(F.col("_kept"), F.lit("undeclared_kept"))
-                        .otherwise(F.lit("undeclared_cast"))))
-             .drop("kind", "_kept"))
+def undecided_codes(spec: Spec, types: dict[str, str], columns: list[str]) -> bool:
+    """Whether some column's codes depend on its cast being applied."""
+    return any(spec[c].values and (spec[c].type == "logical" or types[c] == "boolean") for c in columns)
+
+
+def conformance_profile(cells: DataFrame, by: tuple[str, ...] = (), undecided: bool = False) -> DataFrame:
+    """Per column: undeclared codes, ascending, and the number of cells with one.
+
+    ``undecided`` (see :func:`undecided_codes`) looks up which casts are applied.
+    """
+    codes = cells.filter("kind <> 'coercion'")
+    if undecided:
+        lost = lost_columns(cells, by).withColumn("_kept", F.lit(True))
+        wanted = F.when(F.col("_kept"), F.lit("undeclared_kept")).otherwise(F.lit("undeclared_cast"))
+        codes = (codes.join(lost, [*by, "variable"], "left")
+                 .filter((F.col("kind") == "undeclared") | (F.col("kind") == wanted)).drop("_kept"))
+    codes = codes.drop("kind")
     order = [F.col("value").try_cast("bigint"), F.col("value")]
     found = _first_values(codes, [*by, "variable"], LISTED_CODES, order)
     return found.select(*by, "variable", "n_bad", "n_distinct", "bad_values")
@@ -149,7 +158,7 @@ def issue_table(cells: DataFrame, spec: Spec, types: dict[str, str], columns: li
     more = F.col("n_distinct") > LISTED_CODES
     listed = F.concat(F.array_join("bad_values", ", "), F.when(more, F.concat(
         F.lit(", ... ("), F.col("n_distinct").cast("string"), F.lit(" in all)"))).otherwise(F.lit("")))
-    values = conformance_profile(cells, by).select(
+    values = conformance_profile(cells, by, undecided_codes(spec, types, columns)).select(
         *by, "variable", F.lit("unexpected_values").alias("issue_type"),
         F.concat(F.lit("Values not declared in YAML: "), listed, F.lit(". Valid set: "),
                  by_variable(lambda v, k: ", ".join(v.codes)), F.lit(".")).alias("detail"),

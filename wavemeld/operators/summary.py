@@ -12,14 +12,15 @@ def sum_up(df: DataFrame, var: str, config: Spec, category: bool = False, digits
     """Count and share of each value; ``category`` shows labels in declared order.
 
     The grand total is a scalar subquery over the counted groups, not a window
-    over them, so a variable with very many values stays distributed.
+    over them, so a variable with very many values stays distributed; the
+    subquery reuses the shuffle of the counts, so the table is read once.
     """
     if not isinstance(df, DataFrame):
         raise TypeError("`df` must be a DataFrame.")
     if var not in config or not config[var].values:
         raise ValueError(f"No value_map found for variable '{var}'.")
     counts = df.groupBy(F.col(f"`{var}`")).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("total")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     table = counts.withColumn("pct", F.bround(F.lit(100.0) * F.col("n") / total, digits))
     return decode_groups(table, var, config) if category else table
 

@@ -115,9 +115,12 @@ def with_dataset(reader, ext: str, entries: Iterable[Entry]) -> DataFrame:
     """
     paths = [e.path for e in entries]
     df = reader.format("csv" if ext in SEPARATORS else ext).load(paths)
-    names = F.split(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "/")
-    own, folder = F.element_at(names, -1), F.element_at(names, -2)
-    dataset = F.when(own.endswith("." + ext) & ~own.rlike("^part-"), own).otherwise(folder)
+    def plain(c):  # metadata paths are URL-encoded; most have nothing to decode
+        return F.when(c.contains("%"), F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))).otherwise(c)
+
+    name, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
+    dataset = (F.when(name.endswith("." + ext) & ~name.startswith("part-"), plain(name))
+               .otherwise(plain(F.element_at(F.split(path, "/"), -2))))
     return df.select(*[F.col(f"`{c}`") for c in df.columns], dataset.alias("dataset"))
 
 

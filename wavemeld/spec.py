@@ -19,7 +19,7 @@ from typing import Any
 
 import pyarrow as pa
 import yaml
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wavemeld.functions.names import normalise, normalise_text
 
@@ -148,6 +148,17 @@ class Spec:
             out.append(var)
         return cls(tuple(out))
 
+    @classmethod
+    def from_table(cls, definitions: DataFrame) -> "Spec":
+        """Read a map kept as a table like :meth:`definitions`; it has a row per variable."""
+        def pairs(entries):
+            return {e["key"]: e["value"] for e in entries or ()}
+
+        return cls.from_dict({r["canonical"]: {
+            "colnames": r["aliases"], "keywords": r["keywords"], "type": r["type"], "label": r["label"],
+            "value": pairs(r["values"]), "recode": pairs(r["recodes"]), "missing": r["missing"],
+        } for r in definitions.orderBy("ord").collect()})
+
     @classmethod
     def from_yaml(cls, path: str | Path) -> "Spec":
         p = Path(path)
@@ -218,10 +229,12 @@ class Spec:
             ("code", pa.string()), ("label", pa.string())]))
 
 
-def load_config(config: "str | Path | Mapping | Spec") -> Spec:
-    """Read a variable map from a YAML file, a mapping or a ready Spec."""
+def load_config(config: "str | Path | Mapping | DataFrame | Spec") -> Spec:
+    """Read a variable map from a YAML file, a mapping, a table or a ready Spec."""
     if isinstance(config, Spec):
         return config
+    if isinstance(config, DataFrame):
+        return Spec.from_table(config)
     if isinstance(config, Mapping):
         return Spec.from_dict(config)
     return Spec.from_yaml(config)
