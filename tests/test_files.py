@@ -63,6 +63,15 @@ def test_stata(spark, tmp_path):
     assert labels == {("kjonn", None, "Sex"), ("kjonn", 1.0, "Mann"), ("kjonn", 2.0, "Kvinne")}
 
 
+def test_stata_in_a_manifest(spark, spec, tmp_path):
+    for i in (1, 2):
+        pd.DataFrame({"Alder": [30 + i, 40], "Siv": ["1", "D"[:i] or "2"]}).to_stata(
+            str(tmp_path / f"s{i}.dta"), write_index=False)
+    done = wm.run_pipeline(spark, [(str(tmp_path / f"s{i}.dta"), 2000 + i) for i in (1, 2)], spec)
+    assert {tuple(r) for r in done.merged().collect()} == {
+        (2001, 31, "1"), (2001, 40, "D"), (2002, 32, "1"), (2002, 40, "D")}
+
+
 def test_manifest(spark, files, tmp_path):
     entries = read_manifest(files)
     groups = group_files(spark, entries)

@@ -64,5 +64,10 @@ def unique_names(catalogue: DataFrame, slice_size: int = SLICE) -> DataFrame:
 
 
 def first_positions(catalogue: DataFrame) -> DataFrame:
-    """Each name of a dataset once, at its first position (matching sees names as a set)."""
-    return catalogue.groupBy("dataset", "raw_name").agg(F.min("ordinal").alias("ordinal"))
+    """Each name of a dataset once, at its first position (matching sees names as a set).
+
+    The keys are stated to be there, so that every use of the result, also below
+    a join that would add the same test, shares one shuffle.
+    """
+    named = catalogue.filter(F.col("dataset").isNotNull() & F.col("raw_name").isNotNull())
+    return named.groupBy("dataset", "raw_name").agg(F.min("ordinal").alias("ordinal"))

@@ -228,6 +228,8 @@ ORACLES["report_unmatched"] = AUDIT + "SELECT dataset, year, raw_name FROM audit
 ORACLES["scan_csv"] = "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem"
 ORACLES["scan_tsv"] = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"
 ORACLES["scan_orc"] = "SELECT * EXCLUDE (ts) FROM events"
+ORACLES["scan_stata"] = """SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_name, CAST(c_nationkey AS DOUBLE) AS c_nationkey,
+  c_acctbal, c_mktsegment FROM customer"""
 ORACLES["manifest_scan"] = """SELECT 'wave=' || year(o_orderdate) || '.csv' AS dataset, CAST(year(o_orderdate) AS INTEGER) AS year,
   o_orderkey, o_orderstatus, o_totalprice FROM orders"""
 

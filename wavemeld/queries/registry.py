@@ -19,6 +19,7 @@ from wavemeld.queries.maps import CODES, LABELLED, WAVES, WORDS
 from wavemeld.sources.manifest import group_files, manifest_table, read_manifest, scan
 from wavemeld.sources.readers import read_raw, spread
 from wavemeld.sources.scratch import scratch_dir
+from wavemeld.sources.stata import read_stata
 from wavemeld.spec import (Spec, alias_table, keyword_table, label_table, missing_table, recode_table, type_table,
                            value_table)
 
@@ -138,6 +139,30 @@ def scan_orc(spark, sf):
     return read_raw(spark, path)
 
 
+@query
+def scan_stata(spark, sf):
+    """Customers written as a Stata file per task and batch, read back by row ranges."""
+    folder = scratch_dir(spark, "customer-dta")
+
+    def write(batches):
+        import io
+        import uuid
+        import pandas as pd
+        import pyarrow.fs
+        for batch in batches:
+            text = io.BytesIO()
+            batch.to_stata(text, write_index=False)
+            fs, path = pyarrow.fs.FileSystem.from_uri(folder)
+            fs.create_dir(path)
+            name = f"part-{uuid.uuid4().hex}.dta"
+            with fs.open_output_stream(f"{path}/{name}") as out:
+                out.write(text.getvalue())
+            yield pd.DataFrame({"path": [f"{folder}/{name}"]})
+
+    written = table(spark, sf, "customer").mapInPandas(write, "path string").collect()
+    return read_stata(spark, [r["path"] for r in written], rows_per_split=50_000)
+
+
 @query
 def manifest_scan(spark, sf):
     entries = read_manifest(yearly_files(spark, sf))

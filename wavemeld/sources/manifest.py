@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from wavemeld.sources import stata
 from wavemeld.sources.readers import (COLUMNAR, SEPARATORS, cell_kinds, check_extension, delimited, header_of,
-                                      read_raw, typed_schema)
+                                      typed_schema)
 from wavemeld.spec import small_table
 
 HEADER_READERS = 16  # first lines read at a time
@@ -83,9 +83,11 @@ def group_files(spark: SparkSession, entries: list[Entry], **options) -> list[Fi
         if ext in SEPARATORS:
             return ext, tuple(header_of(spark, e.path, sep=SEPARATORS[ext], **options))
         if ext == "dta":
-            return ext, StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in stata.header(e.path)[0]))
+            return ext, StructType.fromDDL(stata_schemas[e.path])
         return ext, spark.read.format(ext).load(e.path).schema
 
+    stata_files = [e.path for e in entries if check_extension(e.path) == "dta"]
+    stata_schemas = {p: ddl for p, ddl, _ in stata.headers(spark, stata_files)} if stata_files else {}
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         found = list(pool.map(schema_of, entries))
     for e, (ext, shape) in zip(entries, found):
@@ -127,11 +129,10 @@ def with_dataset(reader, ext: str, entries: Iterable[Entry]) -> DataFrame:
 def scan(spark: SparkSession, group: FileGroup, **options) -> DataFrame:
     """All rows of a group with their ``dataset``, as one lazy plan."""
     if group.ext == "dta":
-        frames = [read_raw(spark, e.path).withColumn("dataset", F.lit(e.dataset)) for e in group.entries]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
+        df = stata.read_stata(spark, [e.path for e in group.entries], path_column="_path")
+        names = small_table(spark, [{"_path": e.path, "dataset": e.dataset} for e in group.entries],
+                            pa.schema([("_path", pa.string()), ("dataset", pa.string())]))
+        return df.join(names, "_path").select(*[F.col(f"`{c}`") for c in group.header], "dataset")
     if group.ext in SEPARATORS:
         reader = delimited(spark, sep=SEPARATORS[group.ext], **options)
     else:

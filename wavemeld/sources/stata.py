@@ -25,46 +25,72 @@ def _open(path: str) -> StataReader:
     return StataReader(fs.open_input_file(name), convert_categoricals=False)
 
 
-def header(path: str) -> tuple[list[tuple[str, str]], int]:
-    """(column, Spark type) pairs and the number of rows; reads the file header only."""
-    with _open(path) as reader:
-        reader._ensure_open()
-        columns = []
-        for name, typ, fmt in zip(reader._varlist, reader._dtyplist, reader._fmtlist):
-            numeric = getattr(typ, "kind", "S") in "iuf"
-            columns.append((name, "timestamp_ntz" if numeric and fmt.startswith(("%t", "%d")) else
-                            "double" if numeric else "string"))
-        return columns, reader._nobs
-
-
-def read_stata(spark: SparkSession, path: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """Rows of a file; numbers are doubles, labels stay out of the values."""
-    columns, n_rows = header(path)
-    n_splits = max(1, -(-n_rows // rows_per_split))
-    splits = spark.range(0, n_splits, 1, n_splits).select(
-        (F.col("id") * rows_per_split).alias("start"),
-        F.least((F.col("id") + 1) * rows_per_split, F.lit(n_rows)).alias("stop"))
-    schema = ", ".join(f"`{c}` {t}" for c, t in columns)
+def _columns(reader: StataReader) -> list[tuple[str, str]]:
+    """(column, Spark type) pairs; numbers are doubles, so missing cells need no other type."""
+    out = []
+    for name, typ, fmt in zip(reader._varlist, reader._dtyplist, reader._fmtlist):
+        numeric = getattr(typ, "kind", "S") in "iuf"
+        out.append((name, "timestamp_ntz" if numeric and fmt.startswith(("%t", "%d")) else
+                    "double" if numeric else "string"))
+    return out
+
+
+def _ddl(columns: list[tuple[str, str]]) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in columns)
+
+
+def headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, str, int]]:
+    """(path, schema, number of rows) of each file; tasks read the headers only."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                with _open(path) as reader:
+                    reader._ensure_open()
+                    found.append((path, _ddl(_columns(reader)), reader._nobs))
+            yield pd.DataFrame(found, columns=["path", "ddl", "n_rows"])
+
+    return [tuple(r) for r in _paths(spark, paths).mapInPandas(
+        read, "path string, ddl string, n_rows bigint").collect()]
+
+
+def _paths(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 1000))
+
+
+def read_stata(spark: SparkSession, paths: str | list[str], rows_per_split: int = ROWS_PER_SPLIT,
+               path_column: str | None = None) -> DataFrame:
+    """Rows of files of one header; labels stay out of the values.
+
+    ``path_column`` adds the path a row comes from.
+    """
+    found = headers(spark, [paths] if isinstance(paths, str) else paths)
+    schema = {ddl for _, ddl, _ in found}
+    if len(schema) != 1:
+        raise ValueError("the files differ in their headers")
+    ddl = schema.pop()
+    files = spark.createDataFrame([(p, n) for p, _, n in found], "path string, n_rows bigint")
+    splits = (files.withColumn("start", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.greatest(F.col("n_rows") - 1, F.lit(0)), F.lit(rows_per_split).cast("bigint"))))
+        .withColumn("stop", F.least(F.col("start") + rows_per_split, F.col("n_rows"))))
+    n_splits = sum(max(1, -(-n // rows_per_split)) for _, _, n in found)
+    spread = splits.repartitionByRange(n_splits, "path", "start")
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start, stop in zip(batch["start"], batch["stop"]):
-                if start >= stop:
-                    continue
+            for path, start, stop in zip(batch["path"], batch["start"], batch["stop"]):
                 with _open(path) as reader:
                     reader._ensure_open()
+                    types = _columns(reader)
                     reader._lines_read = int(start)  # the reader seeks to this row
-                    at = int(start)
-                    while at < stop:
-                        size = min(ROWS_PER_CHUNK, int(stop) - at)
-                        chunk = reader.read(size, convert_categoricals=False)
-                        for c, t in columns:
-                            chunk[c] = (chunk[c].astype("float64") if t == "double" else
-                                        chunk[c].astype("datetime64[us]") if t == "timestamp_ntz" else chunk[c])
-                        yield chunk
-                        at += size
+                    for at in range(int(start), int(stop), ROWS_PER_CHUNK):
+                        chunk = reader.read(min(ROWS_PER_CHUNK, int(stop) - at), convert_categoricals=False)
+                        for c, t in types:
+                            if t != "string":
+                                chunk[c] = chunk[c].astype("float64" if t == "double" else "datetime64[us]")
+                        yield chunk if path_column is None else chunk.assign(**{path_column: path})
 
-    return splits.mapInPandas(rows, schema)
+    return spread.mapInPandas(rows, ddl if path_column is None else f"{ddl}, `{path_column}` string")
 
 
 def read_stata_labels(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -80,6 +106,5 @@ def read_stata_labels(spark: SparkSession, paths: list[str]) -> DataFrame:
                              for code, text in sets.get(name, {}).items()]
                 yield pd.DataFrame(rows, columns=["path", "variable", "code", "label"]).astype({"code": "float64"})
 
-    frame = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 1000))
-    out = frame.mapInPandas(labels, "path string, variable string, code double, label string")
+    out = _paths(spark, paths).mapInPandas(labels, "path string, variable string, code double, label string")
     return out.withColumn("code", F.when(~F.isnan("code"), F.col("code")))
