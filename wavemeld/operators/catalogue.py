@@ -38,7 +38,6 @@ def unique_names(catalogue: DataFrame, slice_size: int = SLICE) -> DataFrame:
     """
     keys = ["dataset", "raw_name"]
     slices = slices_for(catalogue, "ordinal", slice_size)
-    names = running_rank(catalogue, keys, "ordinal", "_nth", slices).withColumn("_nth", F.col("_nth") - 1)
     sizes = catalogue.groupBy(*keys).agg(F.count("*").alias("_size"))
     repeated = sizes.filter("_size > 1").select(*keys)
     numbered = r"^(.*)_([1-9][0-9]{0,8})$"
@@ -51,12 +50,17 @@ def unique_names(catalogue: DataFrame, slice_size: int = SLICE) -> DataFrame:
     events = (taken.groupBy(*keys, (F.col("_taken") - F.col("_i") + 1).alias("_nth"))
               .agg(F.count("*").alias("_skip"))
               .select(*keys, "_nth", "_skip", F.lit(None).cast("bigint").alias("ordinal"), F.lit(0).alias("_row")))
-    colliding = taken.select(*keys).distinct()
-    rows = names.select(*keys, F.col("_nth"), F.lit(0).cast("bigint").alias("_skip"),
-                        F.col("ordinal").cast("bigint").alias("ordinal"), F.lit(1).alias("_row"))
-    steps = events.unionByName(rows.join(colliding, keys, "left_semi"))
+    colliding = taken.select(*keys).distinct().hint("shuffle_hash")
+
+    def rows(ranked: DataFrame) -> DataFrame:
+        return ranked.select(*keys, (F.col("_nth") - 1).alias("_nth"), F.lit(0).cast("bigint").alias("_skip"),
+                             F.col("ordinal").cast("bigint").alias("ordinal"), F.lit(1).alias("_row"))
+
+    steps = events.unionByName(rows(running_rank(
+        catalogue.join(colliding, keys, "left_semi"), keys, "ordinal", "_nth", slices)))
     shifted = running_total(steps, keys, "_nth", "_skip", "_skipped", ("_row",), slice_size).filter("_row = 1")
-    plain = rows.join(colliding, keys, "left_anti").withColumn("_skipped", F.lit(0).cast("bigint"))
+    free = catalogue.join(colliding, keys, "left_anti")
+    plain = rows(running_rank(free, keys, "ordinal", "_nth", slices)).withColumn("_skipped", F.lit(0).cast("bigint"))
     number = (F.col("_nth") + F.col("_skipped")).cast("string")
     return plain.unionByName(shifted.select(*plain.columns)).select(
         "dataset", "ordinal",

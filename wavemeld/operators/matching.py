@@ -142,8 +142,13 @@ def name_candidates(columns: DataFrame, spec: Spec, layers: tuple[str, ...] = LA
     else:
         columns = columns.withColumn("exact", none)
     if "fuzzy" in layers:
-        hits = fuzzy_candidates(columns.select("raw_name").distinct(), spec, max_distance)
-        columns = columns.join(hits, "raw_name", "left").withColumn("fuzzy", listed("fuzzy"))
+        # Asking for the position, which is never negative, keeps it in the plan of
+        # the names, which then shares the shuffle of the columns: one read, not two.
+        names = columns.groupBy("raw_name").agg(F.min("ordinal").alias("at")).filter("at >= 0")
+        hits = fuzzy_candidates(names.select("raw_name"), spec, max_distance)
+        # Names so close to an alias are bounded by the map, and split by the shuffle:
+        # hashing them saves sorting the catalogue.
+        columns = columns.join(hits.hint("shuffle_hash"), "raw_name", "left").withColumn("fuzzy", listed("fuzzy"))
     else:
         columns = columns.withColumn("fuzzy", none)
     return columns.withColumn(
