@@ -115,6 +115,16 @@ def test_fuzzy_against_brute_force(spark):
     assert got == want
 
 
+def test_many_aliases_are_not_broadcast(spark, monkeypatch):
+    spec = Spec.from_dict({"alder": {"colnames": ["age_yrs"]}, "k": {"colnames": ["Kjonn"]}})
+    names = spark.createDataFrame([("age",), ("kjon",), ("zzzzzzzz",)], "raw_name string")
+    few = fuzzy_candidates(names, spec)
+    monkeypatch.setattr("wavemeld.operators.matching.BROADCAST_PIECES", 10)
+    many = fuzzy_candidates(names, spec)
+    assert "SortMergeJoin [piece" in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) == [("age", "alder"), ("kjon", "k")]
+
+
 def test_claims_against_brute_force(spark):
     rng = random.Random(5)
     words = ["sex", "age", "home", "town", "pay"]

@@ -30,6 +30,7 @@ from wavemeld.operators.running import running_rank
 from wavemeld.spec import Spec
 
 LAYERS = ("exact", "fuzzy", "keyword")
+BROADCAST_PIECES = 200_000  # about 10 MB
 MATCH_COLUMNS = ["dataset", "ordinal", "raw_name", "canonical", "method", "confidence", "needs_review"]
 
 
@@ -106,6 +107,10 @@ def fuzzy_candidates(names: DataFrame, spec: Spec, max_distance: float = 0.15) -
         lambda size: F.transform(F.sequence(F.lit(1), F.length("alias") - size + 1),
                                  lambda at: F.substring(F.col("alias"), at, size))))
     index = aliases.withColumn("piece", F.explode(F.array_distinct(parts)))
+    # The optimizer sees the size of the aliases, not of their pieces: past this
+    # many pieces a broadcast must not be chosen for it.
+    if sum((longest_piece + 1) * (len(a) + 1) for _, a, _ in spec.aliases) > BROADCAST_PIECES:
+        index = index.hint("merge")
     length = F.length("alias")
     near = F.exists(
         F.sequence(F.greatest(F.lit(0), n - k), F.least(length, n + k)),
