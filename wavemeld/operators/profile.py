@@ -17,7 +17,7 @@ from wavemeld.spec import TARGET_TYPES, Spec
 
 # Bad values shown in a coercion text, and the texts themselves.
 SHOWN_BAD_VALUES = 5
-# An issue text lists at most this many undeclared codes; cell_issues() has all.
+# An issue text lists at most this many undeclared codes; profile_cells() has all.
 LISTED_CODES = 1000
 
 ISSUE_SCHEMA = "variable string, issue_type string, detail string, n_bad bigint, bad_values array<string>"

@@ -11,7 +11,7 @@ from wavemeld.functions import cells as C
 from wavemeld.functions.encoding import fix_bytes, fix_double_encoding
 from wavemeld.functions.names import normalise, safe_label
 from wavemeld.operators import clean, labels, matching, profile, summary, validate
-from wavemeld.operators.catalogue import first_positions, unique_names
+from wavemeld.operators.catalogue import unique_names
 from wavemeld.operators.merge import merge_datasets
 from wavemeld.plans import audit, report
 from wavemeld.plans.harmonise import run_pipeline
