@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,8 +14,11 @@ SETTING = "spark.checkpoint.dir"
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one the session names.
 
-    Only a session that names none, as in tests, gets a local folder.
+    A session that names none must have its executors on this machine, as in
+    tests: elsewhere each would write to its own disk, and that is an error.
     """
     shared = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
+    if not shared and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError(f"{SETTING} must name a folder that the driver and all executors share")
     base = shared or tempfile.mkdtemp(prefix="wavemeld-")
     return f"{base.rstrip('/')}/wavemeld/{name}-{uuid.uuid4().hex}"
