@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wavemeld.sources.scratch import scratch_dir
@@ -62,6 +65,21 @@ def rank_in_groups(df: DataFrame, keys: list[str], order: str, ties: list[str],
             .drop("_bucket", "_row", "_b", "_start", *[f"_k{i}" for i in range(len(keys))]))
 
 
+def fit_in_task(sample: DataFrame, fit):
+    """What ``fit`` makes of the rows of a bounded sample, as lists by column, computed in a task."""
+    names = sample.columns
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns: list[list] = [[] for _ in names]
+        for batch in batches:
+            for have, more in zip(columns, batch.columns):
+                have.extend(more.to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(*columns))], pa.binary())], ["model"])
+
+    row = sample.repartition(1).mapInArrow(work, "model binary").first()
+    return pickle.loads(bytes(row[0])) if row else fit(*[[] for _ in names])
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root): root is the smallest node reachable over the undirected edges.
 

@@ -15,9 +15,11 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wavemeld.llm.common import settle
+from wavemeld.llm.common import fresh, same, settle
 
 BLOCK_BYTES = 4096
+#: Bytes of a block that place it among the others; those that agree in them are sorted in one task.
+LEAD_BYTES = 128
 
 
 def normalised(text: Column) -> Column:
@@ -27,8 +29,13 @@ def normalised(text: Column) -> Column:
 
 
 def _named(keys: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """Distinct keys with integer names in their sorted order."""
-    ordered = keys.select(*columns).distinct().sort(*columns)
+    """Distinct keys with integer names in their sorted order.
+
+    Splitters are sampled from the keys' beginnings, so that the sample that
+    the driver sees does not hold whole blocks.
+    """
+    lead = [F.substring(c, 1, LEAD_BYTES) if dict(keys.dtypes)[c] == "binary" else F.col(c) for c in columns]
+    ordered = keys.select(*columns).distinct().repartitionByRange(*lead).sortWithinPartitions(*columns)
     return settle(ordered.withColumn("name", F.monotonically_increasing_id()), name)
 
 
@@ -117,10 +124,9 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Of rows that agree in id and text (A-Z lower-cased), one is taken.
     """
+    sha_col = fresh(docs, "row_sha")
+    marked = docs.withColumn(sha_col, F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
     kept = exact_dedup(docs, id_col, text_col).filter("kept").select(
-        F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    sha = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
-    marked = docs.withColumn("_row_sha", sha)
-    stay = marked.join(kept, marked[id_col].eqNullSafe(F.col("_kept_id"))
-                       & (F.col("_row_sha") == F.col("_kept_sha")), "left_semi")
-    return stay.dropDuplicates([id_col, "_row_sha"]).select(*[marked[c] for c in docs.columns])
+        F.col(id_col).alias(fresh(marked, "kept_id")), F.col("text_sha256").alias(fresh(marked, "kept_sha")))
+    stay = marked.join(kept, same([marked[id_col], marked[sha_col]], [kept[c] for c in kept.columns]), "left_semi")
+    return stay.dropDuplicates([id_col, sha_col]).drop(sha_col)

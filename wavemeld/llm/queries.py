@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wavemeld.llm import chat, exact_dedup, html_extract, sharding
+from wavemeld.llm import (chat, decontaminate, exact_dedup, html_extract, jaccard, lm, packing, repeats, sharding,
+                          toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,24 +17,55 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def vocabulary() -> tuple[str, str]:
+    """The file of the byte-pair vocabulary, as ranks, and its pattern."""
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents"), *vocabulary())
+
+
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf, "labels")))
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf, "documents"))
+
+
 def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf, "pages"))
 
 
+def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_passages(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.format_chats(table(spark, sf, "conversations"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf, "documents"), *vocabulary())
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_sharding, op5_exact_dedup, op7_html_extraction, op9_chat_formatting)}
+    op1_suffix_dedup, op2_sharding, op3_packing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op7_html_extraction,
+    op8_decontamination, op9_chat_formatting, op10_lm_scoring)}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
