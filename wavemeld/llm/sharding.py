@@ -14,8 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 from wavemeld.llm.common import BUCKET_ROWS, rank_in_groups, settle
 
 ROUNDS = 3
-#: Part of a shard's rows that it may hold in excess between rounds.
-SLACK = 0.02
 
 
 def _pick(shard: str, values: list) -> F.Column:
@@ -55,7 +53,6 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     joined = rows.withColumn("shard", start).join(groups, "group", "left")
     alone = settle(joined.filter("copies is null").drop("copies"), "alone")
     linked = settle(joined.filter("copies is not null"), "linked")
-    fixed = _sizes([alone], shards)
     target = total / shards
     for turn in range(rounds):
         votes = linked.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("votes"))
@@ -72,7 +69,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
         away = linked.join(wish.select("group", "to"), "group").filter("shard <> to")
         for row in away.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
             leaving[row["shard"]] = row["n"]
-        room = [max(0.0, target * (1 + SLACK) - fixed[s] - held[s] + leaving[s]) for s in range(shards)]
+        # Rows without links make way, so the quota is what linked rows may fill.
+        room = [max(0.0, target - held[s] + leaving[s]) for s in range(shards)]
         part = [min(1.0, room[s] / coming[s]) if coming[s] else 1.0 for s in range(shards)]
         lot = F.pmod(F.xxhash64("group", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
         fits = (lot < _pick("to", [float(p) for p in part])) & (F.col("members") <= F.lit(max(1.0, target)))
