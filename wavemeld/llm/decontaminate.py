@@ -32,14 +32,8 @@ ITEM_BYTES = 8_000_000
 WINDOWS = 4096
 
 _BITS = np.arange(64, dtype=np.uint64)
-_ONES = np.array([bin(i).count("1") for i in range(1 << 16)], dtype=np.uint8)
 #: For each byte, the bytes that differ from it in two bits at most.
-_NEAR_BYTES = [np.flatnonzero(_ONES[np.arange(256) ^ b] <= RADIUS // BLOCKS) for b in range(256)]
-
-
-def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = np.ascontiguousarray(a ^ b).view(np.uint16).reshape(-1, 4)
-    return _ONES[x].sum(axis=1)
+_NEAR_BYTES = [np.flatnonzero(np.bitwise_count(np.arange(256) ^ b) <= RADIUS // BLOCKS) for b in range(256)]
 
 
 def _signs(grams: np.ndarray) -> np.ndarray:
@@ -61,7 +55,7 @@ class _Length:
     bags: list[tuple[np.ndarray, np.ndarray]]
     totals: np.ndarray
     prints: np.ndarray
-    tables: list[list[np.ndarray]]
+    near: np.ndarray
 
 
 class Items:
@@ -101,17 +95,18 @@ class Items:
             totals.append(weight.sum())
             prints.append(_pack((_signs(grams) * weight[:, None]).sum(axis=0)[None, :])[0])
         prints = np.array(prints, dtype=np.uint64)
-        tables = []
+        # near[block, byte]: the items whose byte in that block is that one up to two bits.
+        near = np.zeros((BLOCKS, 256, len(prints)), dtype=bool)
         for block in range(BLOCKS):
             own = ((prints >> np.uint64(8 * block)) & np.uint64(255)).astype(int)
-            tables.append([np.flatnonzero(np.isin(own, _NEAR_BYTES[b])) for b in range(256)])
-        return _Length(n, arity, np.array([row for row, *_ in found]), bags, np.array(totals), prints, tables)
+            for b in range(256):
+                near[block, b] = np.isin(own, _NEAR_BYTES[b])
+        return _Length(n, arity, np.array([row for row, *_ in found]), bags, np.array(totals), prints, near)
 
     def search(self, column: pa.Array) -> Iterator[tuple[int, int, float, int, int]]:
         """(row, item, similarity, first word, distance): the best window of each text and item."""
         for chunk in tokens.words(column):
             hashes = chunk.hashes()
-            texts = {}
             for arity, known in self.grams.items():
                 grams, counts = tokens.shingles(hashes, chunk.first, arity) if arity > 1 else (
                     _grams(hashes, 1), np.diff(chunk.first))
@@ -120,39 +115,44 @@ class Items:
                 low[(known & np.uint64(0xFFFF)).astype(int)] = True
                 maybe = np.flatnonzero(low[(grams & np.uint64(0xFFFF)).astype(int)])
                 hits = maybe[np.isin(grams[maybe], known)]
-                texts[arity] = (grams, counts, np.unique(np.searchsorted(chunk.first, hits, side="right") - 1))
-            for length in self.lengths:
-                grams, counts, touched = texts[length.arity]
-                for text in touched:
+                for text in np.unique(np.searchsorted(chunk.first, hits, side="right") - 1):
                     begin = int(chunk.first[text])
-                    n = int(counts[text])
-                    for item, found in self._text(length, grams[begin:begin + n]).items():
+                    own = grams[begin:begin + int(counts[text])]
+                    for item, found in self._text(arity, own).items():
                         yield chunk.rows[int(text)], item, *found
 
-    def _text(self, length: _Length, grams: np.ndarray) -> dict[int, tuple[float, int, int]]:
-        size = length.words - length.arity + 1
-        if len(grams) < size:
-            return {}
-        weight, hit = self.weigh(length.arity, grams)
+    def _text(self, arity: int, grams: np.ndarray) -> dict[int, tuple[float, int, int]]:
+        weight, hit = self.weigh(arity, grams)
         reach = np.concatenate([[0.0], np.cumsum(weight * hit)])
-        # No window can share more weight with an item than its shingles that occur in items have.
-        able = np.flatnonzero(reach[size:] - reach[:-size] >= self.similarity * length.totals.min() - 1e-9)
+        mass = np.concatenate([[0.0], np.cumsum(weight)])
         best: dict[int, tuple[float, int, int]] = {}
-        for part in np.split(able, range(WINDOWS, len(able), WINDOWS)):
-            if not len(part):
+        for length in self.lengths:
+            size = length.words - length.arity + 1
+            if length.arity != arity or len(grams) < size:
                 continue
-            prints = self._prints(grams, weight, part, size)
-            for start, own, own_print in zip(part, range(len(part)), prints):
-                for place in self._near(length, int(own_print)):
-                    distance = int(_distance(length.prints[place:place + 1], prints[own:own + 1])[0])
-                    if distance > RADIUS:
-                        continue
-                    alike = self._similarity(length, place, grams[start:start + size], weight[start:start + size])
-                    item = int(length.items[place])
-                    if alike >= self.similarity and (item not in best or (-alike, start) < (-best[item][0], best[item][1])):
-                        best[item] = (float(alike), int(start), distance)
+            # A window shares with an item no more weight than its shingles that occur in items have.
+            shared, whole = reach[size:] - reach[:-size], mass[size:] - mass[:-size]
+            able = np.flatnonzero(shared >= self.similarity * np.maximum(whole, length.totals.min()) - 1e-9)
+            for part in np.split(able, range(WINDOWS, len(able), WINDOWS)):
+                if len(part):
+                    self._windows(length, grams, weight, part, size, best)
         return best
 
+    def _windows(self, length: _Length, grams: np.ndarray, weight: np.ndarray, starts: np.ndarray, size: int,
+                 best: dict[int, tuple[float, int, int]]) -> None:
+        prints = self._prints(grams, weight, starts, size)
+        candidates = np.zeros((len(starts), len(length.prints)), dtype=bool)
+        for block in range(BLOCKS):
+            candidates |= length.near[block, ((prints >> np.uint64(8 * block)) & np.uint64(255)).astype(int)]
+        own, place = np.nonzero(candidates)
+        distance = np.bitwise_count(prints[own] ^ length.prints[place])
+        for o, p, far in zip(own, place, distance):
+            if far <= RADIUS:
+                start, item = int(starts[o]), int(length.items[p])
+                alike = self._similarity(length, p, grams[start:start + size], weight[start:start + size])
+                if alike >= self.similarity and (item not in best or (-alike, start) < (-best[item][0], best[item][1])):
+                    best[item] = (float(alike), start, int(far))
+
     def _prints(self, grams: np.ndarray, weight: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
         """Fingerprints of windows, from running sums over the stretch that holds them."""
         out = np.zeros(len(starts), dtype=np.uint64)
@@ -164,9 +164,6 @@ class Items:
             out[run] = _pack(np.round(sums[at + size] - sums[at], 9))
         return out
 
-    def _near(self, length: _Length, own: int) -> np.ndarray:
-        return np.unique(np.concatenate([length.tables[b][(own >> (8 * b)) & 255] for b in range(BLOCKS)]))
-
     def _similarity(self, length: _Length, place: int, grams: np.ndarray, weight: np.ndarray) -> float:
         theirs, times = length.bags[place]
         mine, first, own_times = np.unique(grams, return_index=True, return_counts=True)

@@ -67,8 +67,9 @@ class Words:
         at = int(self.starts[0])
         size = int(self.ends[-1]) - at
         gaps = np.diff(np.append(self.starts, self.ends[-1]))
-        place = np.arange(size) - np.repeat(self.starts - at, gaps)
-        value = _VALUE[self.data[at:at + size]] * powers(int(gaps.max()))[place]
+        place = np.arange(size, dtype=np.int32) - np.repeat((self.starts - at).astype(np.int32), gaps)
+        value = _VALUE[self.data[at:at + size]]
+        value *= powers(int(gaps.max()))[place]
         return mix(np.add.reduceat(value, self.starts - at) + (self.ends - self.starts).astype(np.uint64))
 
     def text_of_word(self) -> np.ndarray:
