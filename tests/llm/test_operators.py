@@ -161,7 +161,7 @@ def test_kernel_counts_subsequences():
 def test_gapped_and_spelled_insults_are_found():
     rng = np.random.default_rng(1)
     clean = [" ".join(rng.choice(["the", "river", "stone", "walks", "green", "table"], 12)) for _ in range(120)]
-    toxic = [c + (" such an idiot" if i % 2 else " you moronic lot") for i, c in enumerate(clean[:60])]
+    toxic = [c + (" the idiot walks" if i % 2 else " green moron table") for i, c in enumerate(clean[:60])]
     model = toxicity.fit(clean + toxic, [0] * 120 + [1] * 60)
     texts = ["an idiot here", "an id.iot here", "an i d i o t here", "IDIOT!", "the green river", "", None, "x" * 50_000]
     scores = model.scores(toxicity.Scorer(model.landmarks).features(pa.array(texts, pa.string())))

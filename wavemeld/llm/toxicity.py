@@ -1,7 +1,7 @@
 """Toxicity by a support vector machine over a subsequence string kernel.
 
-The kernel counts common subsequences of four letters, where each letter that
-is skipped in either string halves the count, so an insult with a letter put
+The kernel counts common subsequences of three letters, where each letter that
+is skipped in either string lowers the count, so an insult with a letter put
 in or left out stays close to the plain one.  Landmarks are strings from the
 labelled sentences; a text's kernel values against them (the best of its words)
 are mapped by Nyström's method, and a linear machine is trained on the map.
@@ -23,13 +23,14 @@ from wavemeld.llm.common import fit_in_task, settle
 #: Labelled rows to fit on, for each label.
 SAMPLE_ROWS = 3000
 LANDMARKS = 64
-ORDER, DECAY = 4, 0.5
-STEM, LONGEST = 5, 16
+ORDER, DECAY = 3, 0.7
+STEM, LONGEST = 4, 16
 #: Letters by which a piece of a word may be longer than the landmark.
 GAPS = 2
 #: Kernel values below this are noise of unrelated words and count as 0.
-LEAST = 0.35
+LEAST = 0.3
 THRESHOLD = 0.7
+RIDGE = 3e-2
 SINGLES = 4
 
 _LETTER = np.zeros(256, dtype=np.uint64)
@@ -38,6 +39,10 @@ for _b in range(256):
         _LETTER[_b] = np.uint64(1) << np.uint64((_b * 2654435761 >> 7) % 64 if not 97 <= _b <= 122 else _b - 97)
 
 
+#: ASCII characters that are neither letters, digits nor white space.
+_MARK = np.array([32 < b < 127 and not chr(b).isalnum() for b in range(256)])
+
+
 def kernel(words: np.ndarray, sizes: np.ndarray, other: bytes) -> np.ndarray:
     """Subsequence kernel of byte strings (rows of a matrix, padded by 0) and one string."""
     n, width = words.shape
@@ -108,10 +113,15 @@ class Model:
     shift: float
 
     def scores(self, features: np.ndarray) -> np.ndarray:
-        margin = features @ self.root @ self.weights + self.bias
+        margin = _mapped(features, self.root) @ self.weights + self.bias
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
+def _mapped(features: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Nyström's map, and the kernel value of the nearest landmark beside it."""
+    return np.column_stack([features @ root, features.max(axis=1, initial=0)])
+
+
 class Scorer:
     """Kernel features of whole batches of texts."""
 
@@ -119,6 +129,9 @@ class Scorer:
         self.landmarks = landmarks
         self.letters = [np.bitwise_or.reduce(_LETTER[np.frombuffer(z, np.uint8)]) for z in landmarks]
         self.norms = [float(_self(np.frombuffer(z, np.uint8)[None, :])[0]) for z in landmarks]
+        distinct = np.arange(1, 64, dtype=np.uint8)
+        self.least = [float(_self(distinct[None, :n])[0]) if n else 0.0
+                      for n in range(max(map(len, landmarks), default=0) + GAPS + 1)]
         self.pairs = [np.bitwise_or.reduce(_pair(np.frombuffer(z[:-1], np.uint8), np.frombuffer(z[1:], np.uint8)))
                       for z in landmarks]
 
@@ -157,11 +170,11 @@ class Scorer:
         values = np.zeros((len(sizes), len(self.landmarks)), dtype=np.float32)
         hit = np.zeros(len(sizes), dtype=bool)
         for j, z in enumerate(self.landmarks):
-            # Four letters in order, at small gaps, need most of the landmark's letters and pairs.
+            # A word that is close to the landmark has most of its letters, and most of its pairs at small gaps.
             able = np.flatnonzero((np.bitwise_count(letters & self.letters[j])
                                    >= np.bitwise_count(self.letters[j]) - 1)
                                   & (np.bitwise_count(pairs & self.pairs[j])
-                                     >= max(1, int(np.bitwise_count(self.pairs[j])) - 2)))
+                                     >= max(1, int(np.bitwise_count(self.pairs[j])) - 1)))
             if not len(able):
                 continue
             best = self._pieces(data, begin[able], sizes[able], j)
@@ -174,30 +187,33 @@ class Scorer:
             np.maximum.at(out, text[at], values[which[at]])
 
     def _pieces(self, data: np.ndarray, begin: np.ndarray, sizes: np.ndarray, j: int) -> np.ndarray:
-        """The best value over the pieces of each word that are a little longer than the landmark."""
+        """The best value over the pieces of each word that are as long as the landmark or a little longer."""
         z = self.landmarks[j]
-        width = len(z) + GAPS
-        places = np.maximum(sizes - width, 0) + 1
-        word = np.repeat(np.arange(len(sizes)), places)
-        start = begin[word] + np.arange(len(word)) - np.repeat(np.concatenate([[0], np.cumsum(places)[:-1]]), places)
-        end = begin[word] + sizes[word]
         best = np.zeros(len(sizes), dtype=np.float32)
-        for part in np.split(np.arange(len(word)), range(20_000, len(word), 20_000)):
-            at = start[part, None] + np.arange(width)
-            inside = at < end[part, None]
-            matrix = np.where(inside, data[np.minimum(at, len(data) - 1)], 0).astype(np.uint8)
-            mask = np.bitwise_or.reduce(_LETTER[matrix] * inside, axis=1)
-            able = np.flatnonzero(np.bitwise_count(mask & self.letters[j]) >= np.bitwise_count(self.letters[j]) - 1)
-            if not len(able):
-                continue
-            rows, back = np.unique(matrix[able], axis=0, return_inverse=True)
-            shared = kernel(rows, np.full(len(rows), width), z)
-            full = np.zeros(len(rows), dtype=np.float32)
-            near = np.flatnonzero(shared > 0)
-            if len(near):
-                full[near] = shared[near] / np.sqrt(np.maximum(_self(rows[near]), 1e-12) * self.norms[j])
-            np.maximum.at(best, word[part[able]], full[back.ravel()])
-        return best
+        for width in range(len(z), len(z) + GAPS + 1):
+            # A shorter word is one piece, at the first width.
+            long = np.flatnonzero((sizes >= width) | (width == len(z)))
+            places = np.maximum(sizes[long] - width, 0) + 1
+            word = np.repeat(long, places)
+            start = begin[word] + np.arange(len(word)) - np.repeat(np.cumsum(places) - places, places)
+            end = begin[word] + sizes[word]
+            for part in np.split(np.arange(len(word)), range(20_000, len(word), 20_000)):
+                at = start[part, None] + np.arange(width)
+                matrix = np.where(at < end[part, None], data[np.minimum(at, len(data) - 1)], 0).astype(np.uint8)
+                mask = np.bitwise_or.reduce(_LETTER[matrix] * (matrix > 0), axis=1)
+                able = np.flatnonzero(np.bitwise_count(mask & self.letters[j]) >= np.bitwise_count(self.letters[j]) - 1)
+                if not len(able):
+                    continue
+                rows, back = np.unique(matrix[able], axis=0, return_inverse=True)
+                shared = kernel(rows, np.full(len(rows), width), z)
+                full = np.zeros(len(rows), dtype=np.float32)
+                # No string of this length is less like itself than one without a repeated letter.
+                near = np.flatnonzero(shared >= np.sqrt(LEAST) * np.sqrt(self.least[min(width, len(self.least) - 1)] * self.norms[j]))
+                if len(near):
+                    full[near] = shared[near] / np.sqrt(np.maximum(_self(rows[near]), 1e-12) * self.norms[j])
+                np.maximum.at(best, word[part[able]], full[back.ravel()])
+        # The square of a kernel is one too, and sets chance likenesses apart from real ones.
+        return np.minimum(best, 1) ** 2
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -206,20 +222,28 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _spelled(chunk: tokens.Words) -> tokens.Words | None:
-    """Runs of single letters (``i d i o t``) as words of their own."""
+    """Words that are spelled apart (``i d i o t``, ``id.iot``), put together, as words of their own."""
+    text, found = chunk.text_of_word(), []
     single = (chunk.ends - chunk.starts == 1).astype(np.int8)
-    if not single.any():
-        return None
-    text = chunk.text_of_word()
     edges = np.flatnonzero(np.concatenate([[1], (np.diff(single) != 0) | (np.diff(text) != 0), [1]]))
-    runs = [(a, b) for a, b in zip(edges[:-1], edges[1:]) if single[a] and b - a >= SINGLES]
-    if not runs:
+    runs = np.flatnonzero((single[edges[:-1]] == 1) & (np.diff(edges) >= SINGLES)) if len(single) else []
+    for run in runs:
+        a, b = edges[run], edges[run + 1]
+        found.append((text[a], chunk.data[chunk.starts[a:b]]))
+    mark = _MARK[chunk.data]
+    after = np.flatnonzero(mark[:-1] & ~mark[1:] & ~tokens._SPACE[chunk.data[1:]]) + 1
+    words = np.unique(np.searchsorted(chunk.starts, after, side="right") - 1)
+    for word in words[words >= 0]:
+        begin, end = chunk.starts[word], chunk.ends[word]
+        if not mark[begin]:
+            found.append((text[word], chunk.data[begin:end][~mark[begin:end]]))
+    if not found:
         return None
-    data = np.concatenate([chunk.data[chunk.starts[a:b]] for a, b in runs])
-    sizes = np.array([b - a for a, b in runs])
+    found.sort(key=lambda x: x[0])
+    sizes = np.array([len(d) for _, d in found])
     ends = np.cumsum(sizes)
-    texts = np.array([text[a] for a, _ in runs])
-    return tokens.Words(chunk.rows, data, ends - sizes, ends, np.searchsorted(texts, np.arange(len(chunk.first))))
+    return tokens.Words(chunk.rows, np.concatenate([d for _, d in found]), ends - sizes, ends,
+                        np.searchsorted(np.array([t for t, _ in found]), np.arange(len(chunk.first))))
 
 
 def _mine(texts: list[bytes], labels: np.ndarray, most: int) -> list[bytes]:
@@ -230,10 +254,7 @@ def _mine(texts: list[bytes], labels: np.ndarray, most: int) -> list[bytes]:
         for word in text.split():
             word = word.strip(b".,;:!?\"'()[]*#%$&|")
             if len(word) >= STEM:
-                strings.add(word[:STEM])
-                strings.add(word[:LONGEST])
-            elif len(word) == ORDER:
-                strings.add(word)
+                strings.update((word[:STEM], word[:STEM + 1], word[:LONGEST]))
         for s in strings:
             seen.setdefault(s, []).append(i)
     clean = max(1, int((labels == 0).sum()))
@@ -241,14 +262,17 @@ def _mine(texts: list[bytes], labels: np.ndarray, most: int) -> list[bytes]:
     for s, rows in seen.items():
         bad = [i for i in rows if labels[i]]
         good = len(rows) - len(bad)
-        # At most one clean text in five hundred has it, and two toxic ones at least.
-        if len(bad) >= 2 and good <= max(0.002 * clean, 0) and len(bad) > 20 * good:
+        # At most one clean text in five hundred has it, and three toxic ones at least.
+        if len(bad) >= 3 and good <= max(0.002 * clean, 0) and len(bad) > 20 * good:
             candidates.append((s, frozenset(bad)))
+    # Words of a few texts only are chance.
+    least, common = max(3, round(0.004 * int(labels.sum()))), max(3, round(0.03 * int(labels.sum())))
     chosen, left = [], frozenset(np.flatnonzero(labels).tolist())
     while candidates and len(chosen) < most:
         s, rows = max(candidates, key=lambda c: (len(c[1] & left), len(c[1]), len(c[0]), c[0]))
-        if len(rows & left) < 2 and (len(rows) < 4 or len(chosen) >= most // 2):
-            break
+        if len(rows & left) < least and len(rows) < common:
+            candidates.remove((s, rows))
+            continue
         chosen.append(s)
         left -= rows
         # The same word under another name adds nothing.
@@ -256,38 +280,43 @@ def _mine(texts: list[bytes], labels: np.ndarray, most: int) -> list[bytes]:
     return chosen
 
 
-def fit(texts: list[str | None], labels: list[int], landmarks: int = LANDMARKS, rounds: int = 60) -> Model:
+def fit(texts: list[str | None], labels: list[int], landmarks: int = LANDMARKS) -> Model:
     """Fit on labelled texts; without a toxic text or without a clean one the model knows nothing and scores low."""
-    order = sorted(range(len(texts)), key=lambda i: (texts[i] or "", labels[i]))
-    texts, labels = [texts[i] for i in order], [labels[i] for i in order]
-    raw = [tokens._FOLD[np.frombuffer((t or "").encode(), np.uint8)].tobytes() for t in texts]
-    y = np.array([1 if v else 0 for v in labels], dtype=int)
+    # Copies say nothing new; of one that has both labels, the toxic one counts.
+    both: dict[str, int] = {}
+    for text, label in zip(texts, labels):
+        both[text or ""] = max(both.get(text or "", 0), 1 if label else 0)
+    texts, labels = sorted(both), [both[t] for t in sorted(both)]
+    raw = [tokens._FOLD[np.frombuffer(t.encode(), np.uint8)].tobytes() for t in texts]
+    y = np.array(labels, dtype=int)
     strings = _mine(raw, y, landmarks) if len(y) and 0 < y.sum() < len(y) else []
     if not strings:
-        return Model([], np.zeros((0, 0)), np.zeros(0), -1.0, 1.0, -2.0)
+        return Model([], np.zeros((0, 0)), np.zeros(1), -1.0, 1.0, -2.0)
     x = Scorer(strings).features(pa.array(texts, pa.string()))
-    gram = np.array([[float(similarity([a], b)[0]) for b in strings] for a in strings])
+    gram = np.array([[float(similarity([a], b)[0]) ** 2 for b in strings] for a in strings])
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    z = x @ root
-    sign = 2 * y - 1
-    cost = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
-    weights, bias = np.zeros(z.shape[1]), 0.0
-    strength = 1e-4
-    # Batch subgradient steps on the hinge loss, averaged over the second half.
-    mean_w, mean_b, steps = np.zeros_like(weights), 0.0, rounds * 20
-    for step in range(1, steps + 1):
-        wrong = sign * (z @ weights + bias) < 1
-        push = (cost * sign * wrong)
-        rate = 2.0 / np.sqrt(step)
-        weights = weights * (1 - rate * strength) + rate * (push @ z)
-        bias += rate * push.sum()
-        if step > steps // 2:
-            mean_w += weights / (steps - steps // 2)
-            mean_b += bias / (steps - steps // 2)
-    margin = z @ mean_w + mean_b
+    z = _mapped(x, root)
+    weights, bias = _machine(z, 2 * y - 1)
+    margin = z @ weights + bias
     slope, shift = _calibrate(margin, y)
-    return Model(strings, root, mean_w, float(mean_b), slope, shift)
+    return Model(strings, root, weights, bias, slope, shift)
+
+
+def _machine(z: np.ndarray, sign: np.ndarray, ridge: float = RIDGE, steps: int = 40) -> tuple[np.ndarray, float]:
+    """Linear machine on the squared hinge loss, both labels weighing the same: Newton steps on the violators."""
+    design = np.column_stack([z, np.ones(len(z))])
+    cost = np.where(sign > 0, 0.5 / (sign > 0).sum(), 0.5 / (sign < 0).sum())
+    penalty = np.diag([ridge] * z.shape[1] + [1e-9])
+    wrong, beta = np.ones(len(z), dtype=bool), np.zeros(design.shape[1])
+    for _ in range(steps):
+        own = design[wrong] * cost[wrong, None]
+        beta = np.linalg.solve(penalty + own.T @ design[wrong], own.T @ sign[wrong])
+        now = sign * (design @ beta) < 1
+        if (now == wrong).all() or not now.any():
+            break
+        wrong = now
+    return beta[:-1], float(beta[-1])
 
 
 def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
