@@ -1,13 +1,11 @@
 import os
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import wavemeld as wm
 from wavemeld.operators.matching import match_columns
 from wavemeld.plans import audit, report
-from wavemeld.sources import stata
 from wavemeld.sources.manifest import group_files, read_manifest, scan
 from wavemeld.sources.readers import check_extension, read_raw
 from wavemeld.sources.scratch import scratch_dir
@@ -47,31 +45,6 @@ def test_dispatch(spark, tmp_path):
         assert [tuple(r) for r in read_raw(spark, path).collect()] == [(1, "x")]
 
 
-def test_stata(spark, tmp_path):
-    path = str(tmp_path / "w.dta")
-    n = 45_000
-    pd.DataFrame({"kjonn": [1, 2] * (n // 2), "x": [0.5, None] * (n // 2), "s": ["ab", "c"] * (n // 2)}).to_stata(
-        path, write_index=False, variable_labels={"kjonn": "Sex"}, value_labels={"kjonn": {1: "Mann", 2: "Kvinne"}})
-    df = read_raw(spark, path)
-    assert dict(df.dtypes) == {"kjonn": "double", "x": "double", "s": "string"}
-    split = stata.read_stata(spark, path, rows_per_split=7_001)
-    assert split.rdd.getNumPartitions() == 7
-    for d in (df, split):
-        row = d.agg(F.count("*"), F.sum("kjonn"), F.sum("x"), F.count_if(F.col("s") == "c")).first()
-        assert tuple(row) == (n, 1.5 * n, 0.25 * n, n // 2)
-    labels = {(r["variable"], r["code"], r["label"]) for r in stata.read_stata_labels(spark, [path]).collect()}
-    assert labels == {("kjonn", None, "Sex"), ("kjonn", 1.0, "Mann"), ("kjonn", 2.0, "Kvinne")}
-
-
-def test_stata_in_a_manifest(spark, spec, tmp_path):
-    for i in (1, 2):
-        pd.DataFrame({"Alder": [30 + i, 40], "Siv": ["1", "D"[:i] or "2"]}).to_stata(
-            str(tmp_path / f"s{i}.dta"), write_index=False)
-    done = wm.run_pipeline(spark, [(str(tmp_path / f"s{i}.dta"), 2000 + i) for i in (1, 2)], spec)
-    assert {tuple(r) for r in done.merged().collect()} == {
-        (2001, 31, "1"), (2001, 40, "D"), (2002, 32, "1"), (2002, 40, "D")}
-
-
 def test_manifest(spark, files, tmp_path):
     entries = read_manifest(files)
     groups = group_files(spark, entries)
@@ -172,3 +145,43 @@ def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(f"{shared}/wavemeld/x-") and first != second
+
+
+def test_names_and_cells_as_written(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('Q1,q1,"a ""b"", c"\n1,2,"x ""y"", z"\n5,6,"a\n7,8"\n')
+    df = read_raw(spark, str(tmp_path / "q.csv"))
+    assert df.columns == ["Q1", "q1", 'a "b", c']
+    assert [tuple(r) for r in df.collect()] == [(1, 2, 'x "y", z'), (5, 6, "a\n7,8")]
+    spec = wm.Spec.from_dict({"q1": {"type": "integer", "colnames": ["q1"]}, "other": {"type": "integer", "colnames": ["q1_1"]},
+                              "q10": {"type": "integer", "colnames": ["q10"]}})
+    done = wm.run_pipeline(spark, [(str(tmp_path / "q.csv"), None)], spec)
+    assert {r["raw_name"] for r in done.match.log.collect()} == {"q1", "q1_1"}
+    assert {tuple(r) for r in done.merged().select("q1", "other").collect()} == {(1, 2), (5, 6)}
+
+
+def test_no_file_is_lost(spark, spec, tmp_path):
+    (tmp_path / "b.CSV").write_text("Alder\n40\n")
+    (tmp_path / "part-x.csv").write_text("Alder,dataset,year\n41,q,r\n")
+    (tmp_path / "only header.csv").write_text("Alder\n")
+    folder = tmp_path / "f.csv"
+    folder.mkdir()
+    for i in (1, 2):
+        (folder / f"part-{i}.csv").write_text(f"Alder\n{50 + i}\n")
+    paths = [str(tmp_path / n) for n in ("b.CSV", "part-x.csv", "only header.csv", "f.csv")]
+    done = wm.run_pipeline(spark, [(p, 2000) for p in paths], spec)
+    got = {(r["dataset"], r["alder"]) for r in done.merged(keep_dataset=True).collect()}
+    assert got == {("b.CSV", 40), ("part-x.csv", 41), ("f.csv", 51), ("f.csv", 52)}
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_outputs_that_would_meet_are_refused():
+    with pytest.raises(ValueError, match="one folder"):
+        read_manifest([("x/a b.csv", 1), ("x/a_b.csv", 2)])
+
+
+def test_files_outside_the_listing_are_refused():
+    from wavemeld.sources.readers import owners
+    assert owners(["file:///d/a%20b.csv/part-0.csv", "hdfs://h/d/c.csv"], ["/d/a b.csv", "hdfs://h/d/c.csv"]) == {
+        "file:///d/a%20b.csv/part-0.csv": "/d/a b.csv", "hdfs://h/d/c.csv": "hdfs://h/d/c.csv"}
+    with pytest.raises(ValueError, match="belongs to none"):
+        owners(["file:///d/e.csv"], ["/d/c.csv"])

@@ -25,7 +25,7 @@ town:
 def config(tmp_path):
     path = tmp_path / "map.yml"
     path.write_text(TEXT, encoding="utf-8")
-    with pytest.warns(UserWarning, match="strings keys"):
+    with pytest.warns(UserWarning, match="codes of"):
         return load_config(path)
 
 
@@ -78,6 +78,6 @@ def test_spec_tables_broadcast_by_size(spark, config):
 
 
 def test_map_kept_as_a_table(spark, config):
-    with pytest.warns(UserWarning, match="strings keys"):
+    with pytest.warns(UserWarning, match="codes of"):
         back = load_config(config.definitions(spark))
     assert back == config

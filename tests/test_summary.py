@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 import wavemeld as wm
 from wavemeld.functions.encoding import fix_bytes, fix_double_encoding, fix_encode
-from wavemeld.operators.labels import codebook_counts, extract_attr, undeclared_labels
+from wavemeld.operators.labels import apply_labels, codebook_counts, extract_attr, undeclared_labels
 from wavemeld.operators.merge import merge_datasets, widest
 from wavemeld.operators.summary import sum_up
 from wavemeld.operators.validate import conformance_report, missingness, validate_dataset, validate_structure
@@ -57,7 +57,7 @@ def test_labels_lenient_and_strict(spark):
     assert dict(out.dtypes)["yrkesstatus"] == "int"
     assert [r[0] for r in out.collect()] == [1, 2, None, None, None]
     assert out.schema["alder"].metadata == {"label": "Age"} and out.schema["yrkesstatus"].metadata["label"] == "Employed?"
-    with pytest.raises(ValueError, match="contains values not defined in value_map: D, R"):
+    with pytest.raises(ValueError, match="contains values not defined in its value labels: D, R"):
         wm.apply_labels(df, LABELS)
     assert {(r["value"], r["n"]) for r in undeclared_labels(df, LABELS).collect()} == {("D", 1), ("R", 1)}
 
@@ -127,3 +127,12 @@ def test_encoding(spark):
         "Små trøndersk kræmmerhus", "ÅÆØ", "min", "Små", "ř", "Oslo", None]
     df = spark.createDataFrame([(bytearray("SmÃ¥ Ã…".encode()),)], "b binary")
     assert df.select(fix_encode("b", "binary", more=True)).first()[0] == "Små Å"
+
+
+def test_all_undeclared_codes_are_named(spark):
+    spec = Spec.from_dict({"k": {"type": "integer", "value": {1: "one"}}})
+    df = spark.range(2, 2502).withColumnRenamed("id", "k")
+    assert conformance_report(df, spec).first()["unexpected"] == [str(i) for i in range(2, 2502)]
+    with pytest.raises(ValueError) as error:
+        apply_labels(df, spec)
+    assert all(f"{i}" in str(error.value).split(": ")[1].split(", ") for i in range(2, 2502))

@@ -17,7 +17,7 @@ from wavemeld.functions.cells import (MAX_MAP_CODES, as_type, drop_missing_codes
                                       string_form, with_numbers)
 from wavemeld.operators.catalogue import clean_header, header_catalogue
 from wavemeld.operators.matching import match_columns
-from wavemeld.operators.profile import issue_table, lost_columns, profile_cells
+from wavemeld.operators.profile import issue_table, lost_counts, profile_cells
 from wavemeld.spec import Spec, small_table
 
 
@@ -167,8 +167,8 @@ def clean_dataset(df: DataFrame, spec: Spec, year: int | None = None, label: str
     columns = [c for c in raw.columns]
     ready = prepare(raw, spec, columns, apply_missing)
     types = dict(ready.dtypes)
-    cells = profile_cells(ready, spec, columns, check_strings=check_strings).persist()
-    kept = frozenset(r["variable"] for r in lost_columns(cells).collect())
+    cells = profile_cells(ready, spec, columns, check_strings=check_strings)
+    kept = frozenset(r["variable"] for r in lost_counts(ready, spec, columns).collect())
     for c in sorted(kept):
         warnings.warn(f"[{label}] '{c}': cannot coerce to {spec[c].type} without NAs. Kept as is.", stacklevel=2)
     return CleanResult(

@@ -12,8 +12,6 @@ from wavemeld.functions.cells import equals_any, string_form
 from wavemeld.operators.profile import cell_issues
 from wavemeld.spec import Spec, Variable, load_config, small_table
 
-NAMED_IN_ERROR = 100  # distinct values an error text names
-
 
 def labelled_columns(df: DataFrame, spec: Spec) -> list[str]:
     return [v.name for v in spec.variables if v.values and v.name in df.columns]
@@ -82,17 +80,11 @@ def _report_undeclared(found: DataFrame, spec: Spec, strict: bool) -> None:
         for r in found.groupBy("variable").agg(F.sum("n").alias("n")).collect():
             warnings.warn(f"Variable '{r['variable']}': {r['n']} value(s) converted to NA.", stacklevel=3)
         return
-    found = found.persist()
-    counts = {r["variable"]: r["n"] for r in found.groupBy("variable").agg(F.count("*").alias("n")).collect()}
-    first = next((v.name for v in spec.variables if v.name in counts), None)
-    if first is None:
-        found.unpersist()
-        return
-    named = [r["value"] for r in found.filter(F.col("variable") == first).orderBy("value").limit(NAMED_IN_ERROR).collect()]
-    found.unpersist()
-    rest = counts[first] - len(named)
-    raise ValueError(f"Variable '{first}' contains values not defined in value_map: "
-                     + ", ".join(named) + (f", ... ({rest} more)" if rest else ""))
+    bad = {r["variable"]: r["values"] for r in found.groupBy("variable").agg(
+        F.sort_array(F.collect_list("value")).alias("values")).collect()}
+    first = next((v.name for v in spec.variables if v.name in bad), None)
+    if first is not None:
+        raise ValueError(f"'{first}' contains values not defined in its value labels: " + ", ".join(bad[first]))
 
 
 # -- codebook ---------------------------------------------------------------------

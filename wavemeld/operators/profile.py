@@ -17,8 +17,6 @@ from wavemeld.spec import TARGET_TYPES, Spec
 
 # Bad values shown in a coercion text, and the texts themselves.
 SHOWN_BAD_VALUES = 5
-# An issue text lists at most this many undeclared codes; profile_cells() has all.
-LISTED_CODES = 1000
 
 ISSUE_SCHEMA = "variable string, issue_type string, detail string, n_bad bigint, bad_values array<string>"
 
@@ -83,6 +81,22 @@ def cell_issues(df: DataFrame, checks: list[tuple[str, str, Column]], by: tuple[
             .select(*by, "variable", "kind", "value", "n"))
 
 
+def lost_counts(df: DataFrame, spec: Spec, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """``(*by, variable, n)``: cells that a cast would lose, for columns that have any.
+
+    This decides which casts are done.  Each task sends one row of counts for
+    each dataset, however many different cells stand in the way.
+    """
+    types = dict(df.dtypes)
+    parsed, numbers = with_numbers(df, spec, columns)
+    checks = [(c, bad) for c, kind, bad in cell_checks(types, numbers, spec, columns) if kind == "coercion"]
+    if not checks:
+        return df.select(*by, F.lit("").alias("variable"), F.lit(0).cast("bigint").alias("n")).filter(F.lit(False))
+    counts = parsed.groupBy(*by).agg(*[F.count(bad).alias(f"_n{i}") for i, (_, bad) in enumerate(checks)])
+    rows = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"_n{i}").alias("n")) for i, (c, _) in enumerate(checks)])
+    return counts.select(*by, F.inline(rows)).filter("n > 0")
+
+
 def lost_columns(cells: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Columns whose cast would lose a cell."""
     return cells.filter("kind = 'coercion'").select(*by, "variable").distinct()
@@ -129,8 +143,10 @@ def conformance_profile(cells: DataFrame, by: tuple[str, ...] = (), undecided: b
         codes = (codes.join(lost, [*by, "variable"], "left")
                  .filter((F.col("kind") == "undeclared") | (F.col("kind") == wanted)).drop("_kept"))
     codes = codes.drop("kind")
-    order = [F.col("value").try_cast("bigint"), F.col("value")]
-    found = _first_values(codes, [*by, "variable"], LISTED_CODES, order)
+    listed = F.sort_array(F.collect_list(F.struct(F.col("value").try_cast("bigint").alias("_number"), "value")))
+    found = codes.groupBy(*by, "variable").agg(
+        F.sum("n").alias("n_bad"), F.count("*").alias("n_distinct"),
+        F.transform(listed, lambda e: e["value"]).alias("bad_values"))
     return found.select(*by, "variable", "n_bad", "n_distinct", "bad_values")
 
 
@@ -155,9 +171,7 @@ def issue_table(cells: DataFrame, spec: Spec, types: dict[str, str], columns: li
                  F.col("n_bad").cast("string"), F.lit(" value(s) -> NA: "), F.array_join("bad_values", ", "),
                  F.lit(". Column kept as "), by_variable(lambda v, k: k), F.lit(".")).alias("detail"),
         "n_bad", "bad_values").select(*out)
-    more = F.col("n_distinct") > LISTED_CODES
-    listed = F.concat(F.array_join("bad_values", ", "), F.when(more, F.concat(
-        F.lit(", ... ("), F.col("n_distinct").cast("string"), F.lit(" in all)"))).otherwise(F.lit("")))
+    listed = F.array_join("bad_values", ", ")
     values = conformance_profile(cells, by, undecided_codes(spec, types, columns)).select(
         *by, "variable", F.lit("unexpected_values").alias("issue_type"),
         F.concat(F.lit("Values not declared in YAML: "), listed, F.lit(". Valid set: "),

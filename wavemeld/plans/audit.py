@@ -86,9 +86,12 @@ def stamp_issues(issues: DataFrame, years: DataFrame | None = None, logged_at: s
     return issues.withColumn("logged_at", F.lit(logged_at or datetime.now().strftime("%Y-%m-%d %H:%M:%S")))
 
 
-def upsert(master: DataFrame, new: DataFrame) -> DataFrame:
-    """Master log in which the datasets of ``new`` are replaced."""
-    fresh = new.select("dataset").distinct()
+def upsert(master: DataFrame, new: DataFrame, datasets: DataFrame | None = None) -> DataFrame:
+    """Master log in which the datasets of ``new`` are replaced.
+
+    ``datasets`` names them where a manifest does; otherwise ``new`` is computed for their names too.
+    """
+    fresh = (new if datasets is None else datasets).select("dataset").distinct()
     return master.join(fresh, "dataset", "left_anti").unionByName(new, allowMissingColumns=True)
 
 
@@ -115,17 +118,14 @@ def export_match_log(result: MatchResult, log_dir: str, issues: DataFrame | None
     master log is a table partitioned by dataset.  Returns the audit rows.
     """
     logged_at = logged_at or datetime.now().strftime("%Y-%m-%d %H:%M:%S")
-    log = audit_log(result, years, logged_at, canonical_names).persist()
+    log = audit_log(result, years, logged_at, canonical_names)
     rank = confidence_rank(F.col("confidence"))
     write_by_dataset(log.withColumn("_rank", rank), log_dir, F.concat(F.lit("match_log_"), safe_label("dataset")),
                      order=[F.col("needs_review").desc(), F.col("_rank"), F.col("ordinal")], columns=AUDIT_COLUMNS)
     if issues is not None:
-        stamped = stamp_issues(issues, years, logged_at).withColumn(
-            "bad_values", F.to_json("bad_values")).persist()
-        if not stamped.isEmpty():
-            write_by_dataset(stamped, log_dir, F.concat(F.lit("issues_"), safe_label("dataset")),
-                             order=[F.col("variable"), F.col("issue_type")], columns=stamped.columns)
-        stamped.unpersist()
+        stamped = stamp_issues(issues, years, logged_at).withColumn("bad_values", F.to_json("bad_values"))
+        write_by_dataset(stamped, log_dir, F.concat(F.lit("issues_"), safe_label("dataset")),
+                         order=[F.col("variable"), F.col("issue_type")], columns=stamped.columns)
     if append_master:
         update_master_log(log, log_dir)
     return log

@@ -19,7 +19,7 @@ from wavemeld.operators.catalogue import header_catalogue, clean_header
 from wavemeld.operators.clean import apply_casts, dedupe_rows, drop_empty_rows, prepare, to_canonical
 from wavemeld.operators.matching import MatchResult, match_columns
 from wavemeld.operators.merge import merge_datasets
-from wavemeld.operators.profile import issue_table, lost_columns, profile_cells
+from wavemeld.operators.profile import issue_table, lost_counts, profile_cells
 from wavemeld.operators.validate import conformance_report, missingness
 from wavemeld.plans.audit import MasterSummary, export_match_log, summarise_master_log
 from wavemeld.sources.manifest import Entry, FileGroup, group_files, manifest_table, read_manifest, scan
@@ -70,7 +70,7 @@ def match_groups(spark: SparkSession, groups: list[FileGroup], spec: Spec) -> tu
     for g in groups:
         headers.setdefault(g.header, f"header-{len(headers)}")
     found = match_columns(header_catalogue(spark, {h: list(names) for names, h in headers.items()}), spec, unique=True)
-    log = found.log.persist()
+    log = found.log
     renames: dict[str, dict[str, str]] = {h: {} for h in headers.values()}
     for r in log.collect():
         renames[r["dataset"]][r["raw_name"]] = r["canonical"]
@@ -95,11 +95,11 @@ def clean_groups(spark: SparkSession, groups: list[FileGroup], renames: list[dic
         df = _ready(scan(spark, g, **options), g, names, spec, apply_missing)
         columns = [c for c in df.columns if c != "dataset"]
         ready.append((df, columns, dict(df.dtypes)))
-    profiles = [profile_cells(df, spec, columns, by, check_strings=check_strings).persist()
-                for df, columns, _ in ready]
+    profiles = [profile_cells(df, spec, columns, by, check_strings=check_strings) for df, columns, _ in ready]
     cells = reduce(DataFrame.unionByName, profiles)
     kept: dict[str, set[str]] = {}
-    for r in lost_columns(cells, by).collect():
+    lost_cells = [lost_counts(df, spec, columns, by) for df, columns, _ in ready]
+    for r in reduce(DataFrame.unionByName, lost_cells).collect():
         kept.setdefault(r["dataset"], set()).add(r["variable"])
     issues = reduce(DataFrame.unionByName, [
         issue_table(p, spec, types, columns, by, years.join(
@@ -112,16 +112,20 @@ def clean_groups(spark: SparkSession, groups: list[FileGroup], renames: list[dic
         for e in g.entries:
             alike.setdefault(frozenset(kept.get(e.dataset, ())), []).append(e)
         for lost, members in alike.items():
-            sub = g.of(e.dataset for e in members)
-            df = _ready(scan(spark, sub, **options), sub, names, spec, apply_missing)
-            if not year_counts_as_value:
-                df = drop_empty_rows(df, ("dataset",))
-            df = add_years(apply_casts(df, spec, columns, lost), sub.entries)
-            if year_counts_as_value:
-                df = drop_empty_rows(df, ("dataset",))
-            if dedupe:
-                df = dedupe_rows(df)
-            parts.extend(_split_by_year(CleanPart(tuple(e.dataset for e in members), df), sub.entries))
+            # Datasets without a year get no column of it, so they are read apart from the others.
+            for dated in (True, False):
+                sub = g.of(e.dataset for e in members if (e.year is not None) == dated)
+                if not sub.entries:
+                    continue
+                df = _ready(scan(spark, sub, **options), sub, names, spec, apply_missing)
+                if not year_counts_as_value:
+                    df = drop_empty_rows(df, ("dataset",))
+                df = add_years(apply_casts(df, spec, columns, lost), sub.entries)
+                if year_counts_as_value:
+                    df = drop_empty_rows(df, ("dataset",))
+                if dedupe:
+                    df = dedupe_rows(df)
+                parts.append(CleanPart(tuple(e.dataset for e in sub.entries), df))
     return parts, issues, cells
 
 
@@ -145,16 +149,6 @@ def add_years(df: DataFrame, entries: tuple[Entry, ...]) -> DataFrame:
         *[F.col(f"`{c}`") for c in df.columns if c != "year"], "year")
 
 
-def _split_by_year(part: CleanPart, entries: tuple[Entry, ...]) -> list[CleanPart]:
-    """Datasets without a year get no ``year`` column."""
-    dated = tuple(e.dataset for e in entries if e.year is not None)
-    undated = tuple(e.dataset for e in entries if e.year is None)
-    if not dated or not undated:
-        return [part]
-    return [CleanPart(dated, part.data.filter(F.col("dataset").isin(*dated))),
-            CleanPart(undated, part.data.filter(F.col("dataset").isin(*undated)).drop("year"))]
-
-
 def run_pipeline(spark: SparkSession, manifest, config, log_dir: str | None = None, output_path: str | None = None,
                  apply_missing: bool = False, merge: bool = False, format: str = "csv",
                  logged_at: str | None = None, dedupe: bool = True, year_counts_as_value: bool = False,
@@ -164,6 +158,8 @@ def run_pipeline(spark: SparkSession, manifest, config, log_dir: str | None = No
     ``merge=True`` writes one stacked table, otherwise one per dataset.
     """
     spec = load_config(config)
+    if "dataset" in spec:
+        raise ValueError("A variable cannot be called 'dataset'")
     entries = read_manifest(manifest)
     groups = group_files(spark, entries, **options)
     years = manifest_table(spark, entries).select("dataset", "year")

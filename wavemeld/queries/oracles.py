@@ -227,11 +227,10 @@ ORACLES["report_unmatched"] = AUDIT + "SELECT dataset, year, raw_name FROM audit
 
 ORACLES["scan_csv"] = "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem"
 ORACLES["scan_tsv"] = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"
-ORACLES["scan_orc"] = "SELECT * EXCLUDE (ts) FROM events"
-ORACLES["scan_stata"] = """SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_name, CAST(c_nationkey AS DOUBLE) AS c_nationkey,
-  c_acctbal, c_mktsegment FROM customer"""
+ORACLES["scan_orc"] = "SELECT * FROM events"
+ORACLES["scan_csv_text"] = "SELECT * FROM documents"
 ORACLES["manifest_scan"] = """SELECT 'wave=' || year(o_orderdate) || '.csv' AS dataset, CAST(year(o_orderdate) AS INTEGER) AS year,
-  o_orderkey, o_orderstatus, o_totalprice FROM orders"""
+  * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"""
 
 # -- variable map -------------------------------------------------------------------------
 
@@ -267,7 +266,7 @@ SELECT canonical, '{KEYWORD_PREFIX}' || array_to_string(w, '|') || '{KEYWORD_SUF
 # -- cells --------------------------------------------------------------------------------
 
 ORACLES["rename_columns"] = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity AS quantity, l_extendedprice,
-  l_discount, l_tax, l_returnflag, l_linestatus AS status FROM lineitem"""
+  l_discount, l_tax, l_returnflag, l_linestatus AS status, l_shipdate FROM lineitem"""
 ORACLES["select_canonical"] = "SELECT l_linenumber AS line, l_quantity AS quantity, l_linestatus AS status FROM lineitem"
 ORACLES["recode_values"] = f"""SELECT o_orderkey, {recoded('o_orderstatus', 'status')} AS status,
   {recoded('o_orderpriority', 'priority')} AS priority, NULL AS quantity FROM orders
@@ -420,8 +419,19 @@ FROM y WHERE status = 3 GROUP BY dataset"""
 ORACLES["harmonise_audit"] = f"""WITH {YEARLY}, d AS (SELECT DISTINCT dataset, year FROM y),
 c(raw_name, canonical, method, confidence, needs_review, action, ordinal) AS (VALUES
   ('o_orderkey', NULL, 'unmatched', 'none', true, 'DROPPED — not in canonical set', 0),
-  ('o_orderstatus', 'status', 'exact', 'high', false, 'Renamed to canonical', 1),
-  ('o_totalprice', 'amount', 'exact', 'high', false, 'Renamed to canonical', 2),
-  ('o_orderpriority', 'priority', 'exact', 'high', false, 'Renamed to canonical', 3))
+  ('o_custkey', NULL, 'unmatched', 'none', true, 'DROPPED — not in canonical set', 1),
+  ('o_orderstatus', 'status', 'exact', 'high', false, 'Renamed to canonical', 2),
+  ('o_totalprice', 'amount', 'exact', 'high', false, 'Renamed to canonical', 3),
+  ('o_orderdate', NULL, 'unmatched', 'none', true, 'DROPPED — not in canonical set', 4),
+  ('o_orderpriority', 'priority', 'exact', 'high', false, 'Renamed to canonical', 5))
 SELECT d.dataset, d.year, c.raw_name, c.canonical, c.method, c.confidence, c.needs_review, c.action,
   '{NEW_STAMP}' AS logged_at, CAST(c.ordinal AS BIGINT) AS ordinal FROM d, c"""
+
+# -- results read back ------------------------------------------------------------------------
+
+ORACLES["write_merged"] = f"WITH {YEARLY} SELECT DISTINCT year, status, amount, priority FROM y"
+ORACLES["write_dataset_files"] = f"""WITH {YEARLY}
+SELECT DISTINCT year, status, amount, priority, replace(replace(dataset, '=', '_'), '.', '_') || '_clean' AS dataset FROM y"""
+ORACLES["match_log_files"] = ORACLES["harmonise_audit"].replace(", CAST(c.ordinal AS BIGINT) AS ordinal", "")
+ORACLES["conformance_many_codes"] = """SELECT DISTINCT 'key' AS variable, CAST(o_orderkey AS VARCHAR) AS code
+FROM orders WHERE o_orderkey <> 1"""

@@ -16,10 +16,10 @@ from wavemeld.operators.merge import merge_datasets
 from wavemeld.plans import audit, report
 from wavemeld.plans.harmonise import run_pipeline
 from wavemeld.queries.maps import CODES, LABELLED, WAVES, WORDS
-from wavemeld.sources.manifest import group_files, manifest_table, read_manifest, scan
+from wavemeld.sources.manifest import group_files, manifest_table, named, read_manifest, scan
 from wavemeld.sources.readers import read_raw, spread
 from wavemeld.sources.scratch import scratch_dir
-from wavemeld.sources.stata import read_stata
+from wavemeld.sources.sinks import PER_DATASET, TEXT, write_datasets, write_table
 from wavemeld.spec import (Spec, alias_table, keyword_table, label_table, missing_table, recode_table, type_table,
                            value_table)
 
@@ -40,14 +40,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 # -- inputs derived from the tables ---------------------------------------------
 
-def words(spark: SparkSession, sf: str) -> DataFrame:
+def words(spark: SparkSession, sf: str, where: str = "true") -> DataFrame:
     """Every word of every document as a column of a file named by the document.
 
     Names are normalised inside the array: a filter on an exploded expression
     would be pushed down and normalise every word twice.
     """
     names = F.transform(F.split("text", "[ \t\n\r]+"), normalise)
-    return (spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return (spread(table(spark, sf, "documents").filter(where).select("doc_id", "text"))
             .select(F.col("doc_id").cast("string").alias("dataset"), F.posexplode(names).alias("ordinal", "raw_name"))
             .withColumn("ordinal", F.col("ordinal").cast("bigint"))
             .filter("raw_name <> ''"))
@@ -59,12 +59,12 @@ def word_years(spark: SparkSession, sf: str) -> DataFrame:
         .cast("int").alias("year"))
 
 
-def word_match(spark: SparkSession, sf: str, layers: tuple[str, ...] = matching.LAYERS) -> matching.MatchResult:
-    return matching.match_columns(words(spark, sf), WORDS, layers=layers)
+def word_match(spark: SparkSession, sf: str, layers: tuple[str, ...] = matching.LAYERS, where: str = "true") -> matching.MatchResult:
+    return matching.match_columns(words(spark, sf, where), WORDS, layers=layers)
 
 
-def word_log(spark: SparkSession, sf: str, stamp: str = NEW_STAMP) -> DataFrame:
-    return audit.audit_log(word_match(spark, sf), word_years(spark, sf), stamp)
+def word_log(spark: SparkSession, sf: str, stamp: str = NEW_STAMP, where: str = "true") -> DataFrame:
+    return audit.audit_log(word_match(spark, sf, where=where), word_years(spark, sf), stamp)
 
 
 def definitions(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,8 +106,8 @@ def flat_issues(issues: DataFrame) -> DataFrame:
 def yearly_files(spark: SparkSession, sf: str) -> list[tuple[str, int]]:
     """Orders as a delimited file per order year, and the manifest of them."""
     folder = scratch_dir(spark, "orders-by-year")
-    orders = table(spark, sf, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", F.year("o_orderdate").alias("y"))
+    orders = (table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
+              .withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")))
     years = sorted(r["y"] for r in orders.select("y").distinct().collect())
     (orders.withColumn("wave", F.concat(F.col("y").cast("string"), F.lit(".csv"))).drop("y")
      .write.partitionBy("wave").option("header", True).csv(folder))
@@ -124,6 +124,14 @@ def scan_csv(spark, sf):
     return read_raw(spark, path)
 
 
+@query
+def scan_csv_text(spark, sf):
+    """Whole texts with quotes and line breaks, written and read back."""
+    path = scratch_dir(spark, "documents") + ".csv"
+    table(spark, sf, "documents").write.options(**TEXT).csv(path)
+    return read_raw(spark, path)
+
+
 @query
 def scan_tsv(spark, sf):
     path = scratch_dir(spark, "orders") + ".tsv"
@@ -135,43 +143,19 @@ def scan_tsv(spark, sf):
 @query
 def scan_orc(spark, sf):
     path = scratch_dir(spark, "events") + ".orc"
-    table(spark, sf, "events").drop("ts").write.orc(path)
+    table(spark, sf, "events").write.orc(path)
     return read_raw(spark, path)
 
 
-@query
-def scan_stata(spark, sf):
-    """Customers written as a Stata file per task and batch, read back by row ranges."""
-    folder = scratch_dir(spark, "customer-dta")
-
-    def write(batches):
-        import io
-        import uuid
-        import pandas as pd
-        import pyarrow.fs
-        for batch in batches:
-            text = io.BytesIO()
-            batch.to_stata(text, write_index=False)
-            fs, path = pyarrow.fs.FileSystem.from_uri(folder)
-            fs.create_dir(path)
-            name = f"part-{uuid.uuid4().hex}.dta"
-            with fs.open_output_stream(f"{path}/{name}") as out:
-                out.write(text.getvalue())
-            yield pd.DataFrame({"path": [f"{folder}/{name}"]})
-
-    written = table(spark, sf, "customer").mapInPandas(write, "path string").collect()
-    return read_stata(spark, [r["path"] for r in written], rows_per_split=50_000)
-
-
 @query
 def manifest_scan(spark, sf):
     entries = read_manifest(yearly_files(spark, sf))
     groups = group_files(spark, entries)
-    rows = scan(spark, groups[0])
+    rows = named(scan(spark, groups[0]), groups[0])
     for g in groups[1:]:
-        rows = rows.unionByName(scan(spark, g))
+        rows = rows.unionByName(named(scan(spark, g), g))
     years = manifest_table(spark, entries).select("dataset", "year")
-    return rows.join(years, "dataset").select("dataset", "year", "o_orderkey", "o_orderstatus", "o_totalprice")
+    return rows.join(years, "dataset")
 
 
 # -- variable map -------------------------------------------------------------------
@@ -288,7 +272,7 @@ def match_report_lines(spark, sf):
 
 @query
 def rename_columns(spark, sf):
-    return clean.rename_columns(table(spark, sf, "lineitem").drop("l_shipdate"),
+    return clean.rename_columns(table(spark, sf, "lineitem"),
                                 {"l_linestatus": "status", "l_quantity": "quantity", "absent": "line"})
 
 
@@ -559,11 +543,11 @@ def audit_log(spark, sf):
     return word_log(spark, sf)
 
 
-def rerun(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The master log, and the log of the English documents matched again."""
+def rerun(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The master log, the log of the English documents matched again, and which these are."""
     master = word_log(spark, sf, OLD_STAMP).drop("ordinal")
     english = table(spark, sf, "documents").filter("lang = 'en'").select(F.col("doc_id").cast("string").alias("dataset"))
-    return master, word_log(spark, sf, NEW_STAMP).drop("ordinal").join(english, "dataset", "left_semi")
+    return master, word_log(spark, sf, NEW_STAMP, "lang = 'en'").drop("ordinal"), english
 
 
 @query
@@ -723,3 +707,37 @@ def harmonise_issues(spark, sf):
 def harmonise_audit(spark, sf):
     done = harmonised(spark, sf)
     return audit.audit_log(done.match, done.years, NEW_STAMP)
+
+
+@query
+def write_merged(spark, sf):
+    """The stacked waves written as text and read back."""
+    path = scratch_dir(spark, "merged") + ".csv"
+    write_table(harmonised(spark, sf).merged(), path)
+    return read_raw(spark, path)
+
+
+@query
+def write_dataset_files(spark, sf):
+    """A folder for each wave, written as text; read back with the folder's name."""
+    folder = scratch_dir(spark, "datasets")
+    for part in harmonised(spark, sf).parts:
+        write_datasets(part.data, folder, "parquet")
+    return spark.read.parquet(folder)
+
+
+@query
+def match_log_files(spark, sf):
+    """The match logs of all waves, read back from their folders."""
+    done, folder = harmonised(spark, sf), scratch_dir(spark, "logs")
+    audit.export_match_log(done.match, folder, done.issues, done.years, logged_at=NEW_STAMP)
+    logs = spark.read.options(header=True, sep=";", escape='"').csv(f"{folder}/{PER_DATASET}/log=match_log_*")
+    return logs.withColumn("year", F.col("year").cast("int")).withColumn("needs_review", F.col("needs_review").cast("boolean"))
+
+
+@query
+def conformance_many_codes(spark, sf):
+    """Every order key but one is undeclared: a row for each."""
+    spec = Spec.from_dict({"key": {"type": "integer", "value": {1: "one"}}})
+    keys = table(spark, sf, "orders").select(F.col("o_orderkey").cast("int").alias("key"))
+    return validate.conformance_report(keys, spec).select("variable", F.explode("unexpected").alias("code"))

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import posixpath
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from wavemeld.sources import stata
-from wavemeld.sources.readers import (COLUMNAR, SEPARATORS, cell_kinds, check_extension, delimited, header_of,
-                                      typed_schema)
+from wavemeld.functions.names import safe_label_text, unique_header
+from wavemeld.sources.readers import (COLUMNAR, SEPARATORS, Layout, cell_kinds, check_extension, dataset_of, delimited,
+                                      layouts, owners, positions, text_schema, typed_schema)
 from wavemeld.spec import small_table
 
-HEADER_READERS = 16  # first lines read at a time
-
 
 @dataclass(frozen=True)
 class Entry:
@@ -35,30 +33,34 @@ class FileGroup:
 
     ext: str
     schema: StructType
+    header: tuple[str, ...]
     entries: tuple[Entry, ...]
-
-    @property
-    def header(self) -> tuple[str, ...]:
-        return tuple(self.schema.names)
+    multi_line: bool = False
 
     def of(self, datasets: Iterable[str]) -> "FileGroup":
         wanted = set(datasets)
-        return FileGroup(self.ext, self.schema, tuple(e for e in self.entries if e.dataset in wanted))
+        return replace(self, entries=tuple(e for e in self.entries if e.dataset in wanted))
 
 
 def read_manifest(manifest) -> list[Entry]:
     """Entries of a manifest: pairs (path, year) or a DataFrame ``(path, year_tag)``.
 
-    A dataset is known by its file name, so two files of one name are an error.
+    A dataset is known by its file name, so two files of one name are an error,
+    and so are two names that are equal once they are fit for a folder.
     """
     if isinstance(manifest, DataFrame):
         manifest = [(r["path"], r["year_tag"]) for r in manifest.select("path", "year_tag").collect()]
     entries = [Entry(str(p), None if y is None or y != y else int(y)) for p, y in manifest]
     seen: dict[str, str] = {}
+    labels: dict[str, str] = {}
     for e in entries:
         if e.dataset in seen:
             raise ValueError(f"Two files are named {e.dataset!r}: {seen[e.dataset]} and {e.path}")
+        label = safe_label_text(e.dataset)
+        if label in labels:
+            raise ValueError(f"{labels[label]!r} and {e.dataset!r} would be written to one folder, {label!r}")
         seen[e.dataset] = e.path
+        labels[label] = e.dataset
         check_extension(e.path)
     return entries
 
@@ -73,69 +75,67 @@ def manifest_table(spark: SparkSession, entries: list[Entry]) -> DataFrame:
 def group_files(spark: SparkSession, entries: list[Entry], **options) -> list[FileGroup]:
     """Group the files by header, then by the types found in each file.
 
-    Delimited files of one header are typed by one aggregate, a row per file.
+    One job reads the headers of all delimited files of a separator, and one
+    aggregate types those of a header, a row for each file.
     """
     groups: dict[tuple, list[Entry]] = {}
-    texts: dict[tuple[str, tuple[str, ...]], list[Entry]] = {}
-
-    def schema_of(e: Entry):
-        ext = check_extension(e.path)
-        if ext in SEPARATORS:
-            return ext, tuple(header_of(spark, e.path, sep=SEPARATORS[ext], **options))
-        if ext == "dta":
-            return ext, StructType.fromDDL(stata_schemas[e.path])
-        return ext, spark.read.format(ext).load(e.path).schema
-
-    stata_files = [e.path for e in entries if check_extension(e.path) == "dta"]
-    stata_schemas = {p: ddl for p, ddl, _ in stata.headers(spark, stata_files)} if stata_files else {}
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        found = list(pool.map(schema_of, entries))
-    for e, (ext, shape) in zip(entries, found):
-        if isinstance(shape, tuple):
-            texts.setdefault((ext, shape), []).append(e)
-        else:
-            groups.setdefault((ext, shape.json()), []).append(e)
-    for (ext, names), members in texts.items():
-        text = with_dataset(delimited(spark, sep=SEPARATORS[ext], **options), ext, members)
-        kinds = {r["dataset"]: list(r)[1:] for r in cell_kinds(text, ("dataset",)).collect()}
+    for ext in dict.fromkeys(check_extension(e.path) for e in entries):
+        members = [e for e in entries if check_extension(e.path) == ext]
+        if ext in COLUMNAR:
+            for e in members:
+                schema = spark.read.format(ext).load(e.path).schema
+                groups.setdefault((ext, tuple(schema.names), schema.json(), False), []).append(e)
+            continue
+        found = layouts(spark, [e.path for e in members], sep=SEPARATORS[ext], **options)
+        shapes: dict[Layout, list[Entry]] = {}
         for e in members:
-            schema = typed_schema(list(names), kinds.get(e.dataset, [0] * len(names)))
-            groups.setdefault((ext, schema.json()), []).append(e)
-    return [FileGroup(ext, StructType.fromJson(_json(schema)), tuple(members))
-            for (ext, schema), members in groups.items()]
-
-
-def _json(text: str) -> dict:
-    import json
-    return json.loads(text)
+            # A file without a single line has no column.
+            shapes.setdefault(found.get(e.path, Layout(())), []).append(e)
+        for shape, alike in shapes.items():
+            for e, schema in zip(alike, _typed(spark, ext, shape, alike, options)):
+                groups.setdefault((ext, shape.names, schema.json(), shape.multi_line), []).append(e)
+    return [FileGroup(ext, StructType.fromJson(json.loads(schema)), names, tuple(members), multi_line)
+            for (ext, names, schema, multi_line), members in groups.items()]
+
+
+def _typed(spark: SparkSession, ext: str, shape: Layout, entries: list[Entry], options: dict) -> list[StructType]:
+    n = len(shape.names)
+    if not n:
+        return [StructType([]) for _ in entries]
+    reader = delimited(spark, sep=SEPARATORS[ext], **options).option("multiLine", shape.multi_line)
+    text = with_dataset(reader.schema(text_schema(n)), ext, entries)
+    kinds = {r["dataset"]: list(r)[1:] for r in cell_kinds(text, ("dataset",)).collect()}
+    # A file of which only the header is there has no row in the aggregate, and no cell to type.
+    return [typed_schema(positions(n), kinds.get(e.dataset, [0] * n)) for e in entries]
 
 
 def with_dataset(reader, ext: str, entries: Iterable[Entry]) -> DataFrame:
-    """Read files together; ``dataset`` is the manifest's name of a row's file.
+    """Read files together, columns by place; ``dataset`` is the manifest's name of a row's file.
 
-    A plain file is its own name; a folder of part files is named by the folder.
+    A row's file is looked up in the listing, by the manifest's path that holds
+    it; a file that no entry holds is an error.
     """
-    paths = [e.path for e in entries]
-    df = reader.format("csv" if ext in SEPARATORS else ext).load(paths)
-    def plain(c):  # metadata paths are URL-encoded; most have nothing to decode
-        return F.when(c.contains("%"), F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))).otherwise(c)
-
-    name, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
-    dataset = (F.when(name.endswith("." + ext) & ~name.startswith("part-"), plain(name))
-               .otherwise(plain(F.element_at(F.split(path, "/"), -2))))
-    return df.select(*[F.col(f"`{c}`") for c in df.columns], dataset.alias("dataset"))
+    names = {e.path: e.dataset for e in entries}
+    df = reader.format("csv" if ext in SEPARATORS else ext).load(list(names))
+    dataset = dataset_of(F.col("_metadata.file_path"), owners(df.inputFiles(), list(names)), names.get)
+    return df.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(df.columns, positions(len(df.columns)))],
+                     dataset.alias("dataset"))
 
 
 def scan(spark: SparkSession, group: FileGroup, **options) -> DataFrame:
-    """All rows of a group with their ``dataset``, as one lazy plan."""
-    if group.ext == "dta":
-        df = stata.read_stata(spark, [e.path for e in group.entries], path_column="_path")
-        names = small_table(spark, [{"_path": e.path, "dataset": e.dataset} for e in group.entries],
-                            pa.schema([("_path", pa.string()), ("dataset", pa.string())]))
-        return df.join(names, "_path").select(*[F.col(f"`{c}`") for c in group.header], "dataset")
+    """All rows of a group, columns by place (``_c0``, ...), with their ``dataset``, as one lazy plan."""
+    if not group.schema.names:
+        return spark.createDataFrame([], "dataset string")
     if group.ext in SEPARATORS:
-        reader = delimited(spark, sep=SEPARATORS[group.ext], **options)
+        reader = delimited(spark, sep=SEPARATORS[group.ext], **options).option("multiLine", group.multi_line)
     else:
-        assert group.ext in COLUMNAR
         reader = spark.read
     return with_dataset(reader.schema(group.schema), group.ext, group.entries)
+
+
+def named(df: DataFrame, group: FileGroup) -> DataFrame:
+    """The rows of :func:`scan` under the names of the header, made unique."""
+    names = unique_header(list(group.header))
+    if "dataset" in names:
+        raise ValueError("A column is called 'dataset'; use the columns by place")
+    return df.toDF(*names, "dataset")

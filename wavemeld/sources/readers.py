@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 import posixpath
+import re
+from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from wavemeld.functions.cells import BLANKS, NUMBER
-from wavemeld.sources import stata
 
 SEPARATORS = {"csv": ",", "tsv": "\t"}
 COLUMNAR = ("parquet", "orc", "json")
@@ -28,7 +31,7 @@ def extension(path: str) -> str:
 
 def check_extension(path: str) -> str:
     ext = extension(path)
-    if ext not in SEPARATORS and ext not in COLUMNAR and ext != "dta":
+    if ext not in SEPARATORS and ext not in COLUMNAR:
         raise ValueError(f"Unsupported file type: .{ext}")
     return ext
 
@@ -39,30 +42,129 @@ def read_raw(spark: SparkSession, path: str, schema: StructType | str | None = N
     if ext in SEPARATORS:
         options.setdefault("sep", SEPARATORS[ext])
         return read_delimited(spark, [path], schema, **options)
-    if ext == "dta":
-        return stata.read_stata(spark, path)
     reader = spark.read.options(**options)
     return (reader.schema(schema) if schema is not None else reader).format(ext).load(path)
 
 
-def delimited(spark: SparkSession, sep: str = ",", encoding: str = "UTF-8", **options):
-    return spark.read.options(header=True, sep=sep, encoding=encoding, nullValue=MISSING_WORD,
+def delimited(spark: SparkSession, sep: str = ",", encoding: str = "UTF-8", header: bool = True, **options):
+    return spark.read.options(header=header, sep=sep, encoding=encoding, nullValue=MISSING_WORD, escape='"',
                               ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, **options)
 
 
-def header_of(spark: SparkSession, path: str, **options) -> list[str]:
-    """Column names of a delimited file; reads its first line only."""
-    return delimited(spark, **options).csv(path).columns
+@dataclass(frozen=True)
+class Layout:
+    """What a delimited file looks like: its column names as written, and whether a quoted cell spans lines."""
+
+    names: tuple[str, ...]
+    multi_line: bool = False
+
+
+def place(path: str) -> str:
+    """A path without scheme, host and encoding, to compare a listed file with a manifest's path."""
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
+    return "/" + unquote(bare).strip("/")
+
+
+def owners(files: list[str], paths: list[str]) -> dict[str, str]:
+    """Which of ``paths`` each listed file belongs to: the longest that is the file or a folder above it."""
+    by_place = {}
+    for p in paths:
+        # A path on this machine may be written with a scheme or without, plain or encoded.
+        bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", p)
+        for form in (place(p), "/" + bare.strip("/")):
+            by_place.setdefault(form, p)
+    out = {}
+    for f in files:
+        at = place(f)
+        while at not in by_place and at != "/":
+            at = posixpath.dirname(at)
+        if at in by_place:
+            out[f] = by_place[at]
+            continue
+        # A path that is not absolute is the end of the place it names.
+        tails = [p for form, p in by_place.items() if place(f).endswith(form) or f"{form}/" in place(f)]
+        if not tails:
+            raise ValueError(f"The file {f} belongs to none of the paths that were listed")
+        out[f] = max(tails, key=len)
+    return out
+
+
+def layouts(spark: SparkSession, paths: list[str], sep: str = ",", encoding: str = "UTF-8", **_) -> dict[str, Layout]:
+    """The layout of each delimited file or folder, by one job over the raw lines of all of them.
+
+    The names come from the first line as it stands, so none is changed for
+    being there twice.  A line with an odd number of quotes opens a cell that
+    goes on in the next line.
+    """
+    lines = spark.read.text(paths)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    first = F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"))
+    found = (lines.select(F.col("_metadata.file_path").alias("file"), F.decode(F.col("value").cast("binary"), encoding)
+                          .alias("value"), first.alias("first"), (quotes % 2 != 0).alias("odd"))
+             .groupBy("file").agg(F.min_by("value", "first").alias("line"), F.max("odd").alias("odd")).collect())
+    owner = owners([r["file"] for r in found], paths)
+    out: dict[str, Layout] = {}
+    for r in sorted(found, key=lambda r: r["file"]):
+        names, odd = _names(r["line"], sep), bool(r["odd"])
+        if names is None:
+            # The header itself spans lines: the reader takes it from the file.
+            row = delimited(spark, sep, encoding, header=False, multiLine=True).csv(r["file"]).first()
+            names = tuple("" if c is None else c for c in row)
+        have = out.get(owner[r["file"]])
+        if have is not None and have.names != names:
+            raise ValueError(f"{owner[r['file']]}: its files have different headers")
+        out[owner[r["file"]]] = Layout(names, odd or (have is not None and have.multi_line))
+    return out
+
+
+def _names(line: str, sep: str) -> tuple[str, ...] | None:
+    """The cells of a header line; None if its last cell is not closed."""
+    if line.count('"') % 2:
+        return None
+    cells = next(csv.reader([line.removeprefix("\ufeff").rstrip("\r")], delimiter=sep, skipinitialspace=True), [])
+    return tuple(c.strip(" ") for c in cells)
+
+
+def positions(n: int) -> list[str]:
+    """Column names by place, which no repeated header name can disturb."""
+    return [f"_c{i}" for i in range(n)]
+
+
+def text_schema(n: int) -> StructType:
+    return StructType([StructField(c, StringType()) for c in positions(n)])
 
 
 def read_delimited(spark: SparkSession, paths: list[str], schema: StructType | str | None = None,
                    **options) -> DataFrame:
-    """Read delimited files of one header; without a schema, types are found first."""
-    if schema is None:
-        text = delimited(spark, **options).csv(paths)
-        kinds = cell_kinds(text).first()
-        schema = typed_schema(text.columns, list(kinds))
-    return delimited(spark, **options).schema(schema).csv(paths)
+    """Read delimited files of one header; without a schema, types are found first.
+
+    Columns bear the names of the header as written, also where they repeat.
+    """
+    found = layouts(spark, paths, **options)
+    shapes = {x.names for x in found.values()}
+    if len(shapes) > 1:
+        raise ValueError("The files have different headers")
+    names = next(iter(shapes), ())
+    reader = delimited(spark, **options).option("multiLine", any(x.multi_line for x in found.values()))
+    if schema is not None:
+        return reader.schema(schema).csv(paths)
+    if not names:
+        return spark.createDataFrame([], StructType([]))
+    kinds = cell_kinds(reader.schema(text_schema(len(names))).csv(paths)).first()
+    return reader.schema(typed_schema(positions(len(names)), list(kinds))).csv(paths).toDF(*names)
+
+
+def dataset_of(files: Column, owner: dict[str, str], name) -> Column:
+    """The dataset of a row's file, from the driver's listing; a file it does not know is an error."""
+    pairs = [F.lit(x) for f, p in owner.items() for x in (place(f), name(p))]
+    if not pairs:
+        return F.lit(None).cast("string")
+    bare = F.regexp_replace(files, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    # Metadata paths are URL-encoded; most have nothing to decode.
+    plain = F.when(bare.contains("%"), F.url_decode(F.replace(bare, F.lit("+"), F.lit("%2B")))).otherwise(bare)
+    at = F.concat(F.lit("/"), F.btrim(plain, F.lit("/")))
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), at),
+                      F.raise_error(F.concat(F.lit("No dataset was listed for the file "), files)))
 
 
 def cell_kinds(text: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wavemeld.functions.names import safe_label
 
 PER_DATASET = "per_dataset"
+#: Cells are written so that the readers give them back as they are: quotes doubled, blanks kept.
+TEXT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -23,7 +25,7 @@ def write_table(df: DataFrame, path: str | None, format: str = "csv") -> None:
     if path is None:
         return
     writer = df.write.mode("overwrite").format(format)
-    (writer.option("header", True) if format == "csv" else writer).save(path)
+    (writer.options(**TEXT) if format == "csv" else writer).save(path)
 
 
 def write_by_dataset(df: DataFrame, folder: str, name: Column, order: list[Column], columns: list[str]) -> None:
@@ -36,14 +38,17 @@ def write_by_dataset(df: DataFrame, folder: str, name: Column, order: list[Colum
      .sortWithinPartitions("log", *order)
      .select(*columns, "log")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log")
-     .option("header", True).option("sep", ";").csv(f"{folder}/{PER_DATASET}"))
+     .options(**TEXT).option("sep", ";").csv(f"{folder}/{PER_DATASET}"))
 
 
 def write_datasets(df: DataFrame, path: str | None, format: str = "csv") -> None:
-    """Write tables that share a schema: a folder ``dataset=<label>_clean`` each."""
+    """Write tables that share a schema: a folder ``dataset=<label>_clean`` each.
+
+    Rebalancing keeps a small dataset in one file and splits a large one.
+    """
     if path is None:
         return
-    named = df.withColumn("dataset", F.concat(safe_label("dataset"), F.lit("_clean")))
+    named = df.withColumn("dataset", F.concat(safe_label("dataset"), F.lit("_clean"))).hint("rebalance", "dataset")
     writer = (named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("dataset").format(format))
-    (writer.option("header", True) if format == "csv" else writer).save(path)
+    (writer.options(**TEXT) if format == "csv" else writer).save(path)

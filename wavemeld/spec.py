@@ -89,7 +89,7 @@ class Variable:
     @property
     def pattern(self) -> str | None:
         """Regular expression that finds a whole keyword in a name."""
-        words = (k.strip().lower() for k in self.keywords)
+        words = (k.strip(" \t\n\r\x0b\x0c").lower() for k in self.keywords)
         words = [k for k in words if k not in EMPTY_KEYWORDS and len(k) >= MIN_KEYWORD]
         if not words:
             return None
@@ -143,8 +143,7 @@ class Spec:
             )
             if var.values and var.code_type == "character":
                 warnings.warn(
-                    f"Config value for `{name}` is strings keys. "
-                    "Consider using integer keys if possible.", stacklevel=2)
+                    f"The codes of `{name}` are text; whole numbers are safer where the data allow them.", stacklevel=2)
             out.append(var)
         return cls(tuple(out))
 
@@ -303,7 +302,7 @@ def missing_table(definitions: DataFrame) -> DataFrame:
 
 def keyword_table(definitions: DataFrame) -> DataFrame:
     """canonical -> keyword pattern, for definitions with a usable keyword."""
-    words = F.transform("keywords", lambda k: F.lower(F.trim(k)))
+    words = F.transform("keywords", lambda k: F.lower(F.btrim(k, F.lit(" \t\n\r\x0b\x0c"))))
     usable = F.filter(words, lambda k: ~k.isin(*EMPTY_KEYWORDS) & (F.length(k) >= MIN_KEYWORD))
     escaped = F.array_distinct(F.transform(usable, lambda k: F.regexp_replace(k, KEYWORD_META, r"\\$1")))
     return (definitions.select("ord", "canonical", escaped.alias("words")).filter(F.size("words") > 0)
