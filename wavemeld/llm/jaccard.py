@@ -1,10 +1,11 @@
 """Documents linked by the Jaccard similarity of their word shingles, and the groups that links make.
 
 Every document is a set of hashed shingles; equal sets are one from then on.
-Two sets that are similar enough share a shingle among the quarter of each that
-comes first in one fixed order, so sets without a shared one are done, and the
-others form clusters.  A cluster is cut into leaves of similar size.  A
-signature tree stands over each leaf: its nodes hold the combined bitmaps and
+Two sets that are similar enough share several shingles among the quarter of
+each that comes first in one fixed order, so sets that share too few with any
+other are done, and the others form clusters.  Where many sets have a shingle
+of their first quarter, these are one cluster without counting pairs.  A
+cluster is cut into leaves of similar size.  A signature tree stands over each leaf: its nodes hold the combined bitmaps and
 the size range of the sets below.  Two trees are walked together, and a pair of
 nodes is left when the largest overlap it allows is too small, or when all
 below is linked already.  What remains is compared exactly.
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wavemeld.llm import tokens
 from wavemeld.llm.common import components, fresh, same, settle
@@ -24,17 +25,32 @@ from wavemeld.llm.common import components, fresh, same, settle
 #: Similarity in hundredths.
 PERCENT = 75
 #: Rows looked at for shingles that very many texts have; these come last in the order, which any order allows.
-SAMPLE_ROWS = 2000
-COMMON = 20
+SAMPLE_ROWS = 8000
+COMMON = 3
+#: Sets that share a shingle are paired up to this many; more are put into one cluster.
+PAIRED = 64
 LEAF = 512
 FANOUT = 4
 BITMAP_WORDS = 16
 _WORD = "[^ \\t\\n\\x0B\\f\\r]"
 
 
+def _shared_least(n):
+    """How many shingles two similar sets share within their prefixes, if the smaller has ``n``."""
+    return 1 + n // 25
+
+
+def _shared_least_col(n: str) -> Column:
+    return 1 + F.floor(F.col(n) / 25)
+
+
 def _prefix(grams: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The shingles of which two similar sets share one: all but the last three quarters in the order."""
-    count = len(grams) - -(-PERCENT * len(grams) // 100) + 1
+    """The first shingles in the order, of which two similar sets share some.
+
+    An overlap of three quarters of a set leaves room for a quarter of it
+    before the first shared shingle; each place more holds a further shared one.
+    """
+    count = len(grams) - -(-PERCENT * len(grams) // 100) + _shared_least(len(grams))
     if len(common):
         at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
         late = common[at] == grams
@@ -70,29 +86,30 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _keys(docs: DataFrame, k: int, common) -> DataFrame:
-    """(gram, name) of every prefix."""
+    """(gram, name, n) of every prefix."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams, names = [], []
+            grams, names, sizes = [], [], []
             size = 0
             for _, own in tokens.shingle_sets(batch.column("text"), k):
                 if len(own):
                     part = _prefix(own, common.value)
                     grams.append(part)
                     names.append(np.full(len(part), _set_names(own)))
+                    sizes.append(np.full(len(part), len(own)))
                     size += len(part)
                 if size > 200_000:
-                    yield _key_batch(grams, names)
-                    grams, names, size = [], [], 0
+                    yield _key_batch(grams, names, sizes)
+                    grams, names, sizes, size = [], [], [], 0
             if grams:
-                yield _key_batch(grams, names)
+                yield _key_batch(grams, names, sizes)
 
-    return docs.select("text").mapInArrow(work, "gram long, name long")
+    return docs.select("text").mapInArrow(work, "gram long, name long, n long")
 
 
-def _key_batch(grams: list, names: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(names))],
-                                      ["gram", "name"])
+def _key_batch(grams: list, names: list, sizes: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(names)),
+                                       pa.array(np.concatenate(sizes).astype(np.int64))], ["gram", "name", "n"])
 
 
 def _common(docs: DataFrame, k: int) -> np.ndarray:
@@ -104,9 +121,9 @@ def _common(docs: DataFrame, k: int) -> np.ndarray:
         for batch in batches:
             for _, own in tokens.shingle_sets(batch.column("text"), k):
                 if len(own):
-                    yield _key_batch([own], [np.full(len(own), _set_names(own))])
+                    yield _key_batch([own], [np.full(len(own), _set_names(own))], [np.full(len(own), len(own))])
 
-    grams = (rows.select("text").mapInArrow(work, "gram long, name long").distinct()
+    grams = (rows.select("text").mapInArrow(work, "gram long, name long, n long").select("gram", "name").distinct()
              .groupBy("gram").agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") >= COMMON))
     return np.sort(np.array([r["gram"] for r in grams.select("gram").collect()], dtype=np.int64).view(np.uint64))
 
@@ -221,8 +238,11 @@ def _link_leaves(k: int):
 def _leaf_pairs(members: DataFrame) -> DataFrame:
     """(pair, second, name) for members (name, n, root): each pair of leaves whose sizes can link, and each leaf itself."""
     # Sizes of one class differ by less than the similarity, so links join a class with itself and the next one.
+    # A cluster that is no larger than a leaf is one leaf.
     step = F.lit(100 / PERCENT)
-    sized = members.withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / F.log(step)))
+    totals = members.groupBy("root").agg(F.count(F.lit(1)).alias("total"))
+    by_size = F.floor(F.log(F.col("n").cast("double")) / F.log(step))
+    sized = members.join(totals, "root").withColumn("size_class", F.when(F.col("total") > LEAF, by_size).otherwise(F.lit(0)))
     counts = sized.groupBy("root", "size_class").agg(F.ceil(F.count(F.lit(1)) / F.lit(LEAF)).alias("slices"))
     placed = sized.join(counts, ["root", "size_class"]).withColumn(
         "slice", F.pmod(F.xxhash64("name"), F.col("slices")))
@@ -251,8 +271,17 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     shared = (keys.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
               .select(F.col("gram").alias("shared")))
     held = settle(keys.join(shared, F.col("gram") == F.col("shared"), "left_semi").distinct(), "keys")
-    hubs = held.groupBy("gram").agg(F.min("name").alias("hub"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-    edges = held.join(hubs.select("gram", "hub"), "gram").filter("name <> hub").select("name", "hub").distinct()
+    groups = held.groupBy("gram").agg(F.min("name").alias("hub"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    grouped = settle(held.join(groups, "gram"), "groups")
+    many = grouped.filter(F.col("sets") > PAIRED).filter("name <> hub").select("name", "hub").distinct()
+    few = grouped.filter(F.col("sets") <= PAIRED).select("gram", "name", "n")
+    other = few.select("gram", F.col("name").alias("hub"), F.col("n").alias("m"))
+    alike = (F.col("name") < F.col("hub")) & (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m"))
+    # Sets that share a shingle with many others are in its cluster anyway, so that counting the rest is enough.
+    pairs = (few.join(other, "gram").filter(alike).groupBy("name", "hub")
+             .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("n", "m")).alias("n"))
+             .filter(F.col("shared") >= _shared_least_col("n")).select("name", "hub"))
+    edges = many.unionAll(pairs)
     clusters = components(edges, "name", "hub")
     members = settle(clusters.join(sets, F.col("node") == F.col("name")).select("name", "n", "low", "root"), "members")
     pairs = settle(_leaf_pairs(members), "pairs")
