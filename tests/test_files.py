@@ -174,6 +174,14 @@ def test_no_file_is_lost(spark, spec, tmp_path):
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_validation_is_written(spark, spec, files, tmp_path):
+    wm.run_pipeline(spark, files, spec, log_dir=str(tmp_path / "logs"))
+    missing = spark.read.csv(str(tmp_path / "logs" / "validation_missing"), header=True).collect()
+    assert {r["dataset"] for r in missing} == {"w2021.csv", "w2022.csv", "w2023.tsv"}
+    codes = spark.read.csv(str(tmp_path / "logs" / "validation_codes"), header=True, escape='"').collect()
+    assert all(r["passed"] == "false" for r in codes)
+
+
 def test_outputs_that_would_meet_are_refused():
     with pytest.raises(ValueError, match="one folder"):
         read_manifest([("x/a b.csv", 1), ("x/a_b.csv", 2)])

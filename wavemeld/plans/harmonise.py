@@ -64,6 +64,17 @@ class Harmonised:
                                         conformance_report(p.data, self.spec, by=("dataset",))) for p in self.parts}
 
 
+def write_validation(done: Harmonised, log_dir: str) -> None:
+    """The reports on all cleaned datasets: missing cells and undeclared codes, a table each."""
+    reports = list(done.validation().values())
+    if not reports:
+        return
+    missing = reduce(DataFrame.unionByName, [m for m, _ in reports])
+    codes = reduce(DataFrame.unionByName, [c for _, c in reports]).withColumn("unexpected", F.to_json("unexpected"))
+    write_table(missing, f"{log_dir}/validation_missing")
+    write_table(codes, f"{log_dir}/validation_codes")
+
+
 def match_groups(spark: SparkSession, groups: list[FileGroup], spec: Spec) -> tuple[MatchResult, list[dict[str, str]]]:
     """Match each distinct header once; results per dataset, and renames per group."""
     headers: dict[tuple[str, ...], str] = {}
@@ -153,7 +164,7 @@ def run_pipeline(spark: SparkSession, manifest, config, log_dir: str | None = No
                  apply_missing: bool = False, merge: bool = False, format: str = "csv",
                  logged_at: str | None = None, dedupe: bool = True, year_counts_as_value: bool = False,
                  check_strings: bool = False, **options) -> Harmonised:
-    """Read, match, clean, log and, if a path is given, write every file.
+    """Read, match, clean, log, validate and, if a path is given, write every file.
 
     ``merge=True`` writes one stacked table, otherwise one per dataset.
     """
@@ -171,6 +182,8 @@ def run_pipeline(spark: SparkSession, manifest, config, log_dir: str | None = No
         export_match_log(match, log_dir, issues, years, logged_at=logged_at)
         summary = summarise_master_log(spark, log_dir)
     out = Harmonised(parts, issues, cells, match, years, spec, summary)
+    if log_dir is not None:
+        write_validation(out, log_dir)
     if merge:
         write_table(out.merged() if output_path else None, output_path, format)
     else:
