@@ -28,7 +28,7 @@ PERCENT = 75
 SAMPLE_ROWS = 8000
 COMMON = 3
 #: Sets that share a shingle are paired up to this many; more are put into one cluster.
-PAIRED = 64
+PAIRED = 256
 LEAF = 512
 FANOUT = 4
 BITMAP_WORDS = 16
