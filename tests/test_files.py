@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import wavemeld as wm
 from wavemeld.operators.matching import match_columns
 from wavemeld.plans import audit, report
-from wavemeld.sources.manifest import group_files, read_manifest, scan
+from wavemeld.sources.manifest import group_files, named, read_manifest, scan
 from wavemeld.sources.readers import check_extension, read_raw
 from wavemeld.sources.scratch import scratch_dir
 
@@ -62,7 +62,7 @@ def test_same_schema_is_one_plan(spark, tmp_path):
         (tmp_path / f"f {i}+x.csv").write_text(f"Alder,Siv\n{i},1\n")
     groups = group_files(spark, read_manifest([(str(tmp_path / f"f {i}+x.csv"), i) for i in range(3)]))
     assert len(groups) == 1
-    rows = {(r["dataset"], r["Alder"]) for r in scan(spark, groups[0]).collect()}
+    rows = {(r["dataset"], r["Alder"]) for r in named(scan(spark, groups[0]), groups[0]).collect()}
     assert rows == {(f"f {i}+x.csv", i) for i in range(3)}
 
 

@@ -78,13 +78,17 @@ def allowed_edits(length: Column, max_distance: float) -> Column:
     return F.ceil(length * F.lit(Decimal(str(max_distance)))).cast("int")
 
 
-def fuzzy_candidates(names: DataFrame, spec: Spec, max_distance: float = 0.15) -> DataFrame:
+def fuzzy_candidates(names: DataFrame, spec: Spec, max_distance: float = 0.15, at: str | None = None) -> DataFrame:
     """``(raw_name, fuzzy)``: the first alias that approximately contains the name.
 
     ``names`` holds distinct names.  With k edits allowed, a name cut into k+1
     pieces has at least one piece unharmed inside the alias, so names and
     aliases meet in an equi-join on pieces; only those pairs are measured, by
     edit distance to every substring of the alias of a possible length.
+
+    ``at`` is a column that is never negative and that the names have from an
+    aggregate.  Asking for it in the test on the name keeps the test above that
+    aggregate, so that whoever else uses it shares its shuffle.
     """
     spark = names.sparkSession
     aliases = spec.alias_frame(spark).withColumn("alias", F.lower("alias"))
@@ -96,10 +100,11 @@ def fuzzy_candidates(names: DataFrame, spec: Spec, max_distance: float = 0.15) -
 
     pieces = F.array_distinct(F.transform(
         F.sequence(F.lit(0), k), lambda i: F.substring(F.col("low"), start(i) + 1, start(i + 1) - start(i))))
-    cut = (names.filter(F.col("raw_name") != "").withColumn("low", F.lower("raw_name"))
-           .withColumn("n", F.length("low")).withColumn("k", allowed_edits(F.length("raw_name"), max_distance))
-           .filter(n - k <= longest)
-           .withColumn("piece", F.explode(pieces)))
+    size, edits = F.length(F.lower("raw_name")), allowed_edits(F.length("raw_name"), max_distance)
+    fits = (F.col("raw_name") != "") & (size - edits <= longest)
+    cut = (names.filter(fits if at is None else F.when(F.col(at) >= 0, fits).otherwise(F.lit(False)))
+           .withColumn("low", F.lower("raw_name"))
+           .withColumn("n", size).withColumn("k", edits).withColumn("piece", F.explode(pieces)))
     # Substrings of the aliases that a piece can equal.
     longest_piece = _longest_piece(longest, max_distance)
     parts = F.flatten(F.transform(
@@ -147,13 +152,9 @@ def name_candidates(columns: DataFrame, spec: Spec, layers: tuple[str, ...] = LA
     else:
         columns = columns.withColumn("exact", none)
     if "fuzzy" in layers:
-        # Asking for the position, which is never negative, keeps it in the plan of
-        # the names, which then shares the shuffle of the columns: one read, not two.
-        names = columns.groupBy("raw_name").agg(F.min("ordinal").alias("at")).filter("at >= 0")
-        hits = fuzzy_candidates(names.select("raw_name"), spec, max_distance)
-        # Names so close to an alias are bounded by the map, and split by the shuffle:
-        # hashing them saves sorting the catalogue.
-        columns = columns.join(hits.hint("shuffle_hash"), "raw_name", "left").withColumn("fuzzy", listed("fuzzy"))
+        names = columns.groupBy("raw_name").agg(F.min("ordinal").alias("at"))
+        hits = fuzzy_candidates(names, spec, max_distance, "at")
+        columns = columns.join(hits, "raw_name", "left").withColumn("fuzzy", listed("fuzzy"))
     else:
         columns = columns.withColumn("fuzzy", none)
     return columns.withColumn(
