@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wavemeld.llm.common import BUCKET_ROWS, rank_in_groups, settle
 
-ROUNDS = 3
+ROUNDS = 6
 
 
 def _pick(shard: str, values: list) -> F.Column:
