@@ -39,7 +39,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     (``rows``), shard, slot (0, 1, ... in the shard), grown_shard (null).
     Null and empty texts are equal texts.  A group of equal texts stays in one
     shard unless it is larger than a shard or than what the others leave room
-    for; a larger one fills shards in turn.  Rows equal in id and text go
+    for; a larger one is spread over the shards.  Rows equal in id and text go
     anywhere near each other; other columns are not looked at.  An empty table
     gives no rows.
     """
@@ -51,9 +51,11 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     groups = settle(rows.groupBy("group").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "groups")
     start = F.pmod(F.col("draw"), F.lit(shards)).cast("int")
     joined = rows.withColumn("shard", start).join(groups, "group", "left")
-    alone = settle(joined.filter("copies is null").drop("copies"), "alone")
-    linked = settle(joined.filter("copies is not null"), "linked")
     target = total / shards
+    # A group that no shard can hold is cut anyway: its rows make way like those without a link.
+    held_whole = F.col("copies").isNotNull() & (F.col("copies") <= F.lit(max(1.0, target)))
+    alone = settle(joined.filter(~held_whole).drop("copies"), "alone")
+    linked = settle(joined.filter(held_whole), "linked")
     for turn in range(rounds):
         votes = linked.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("votes"))
         wish = votes.groupBy("group").agg(
@@ -73,7 +75,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
         room = [max(0.0, target - held[s] + leaving[s]) for s in range(shards)]
         part = [min(1.0, room[s] / coming[s]) if coming[s] else 1.0 for s in range(shards)]
         lot = F.pmod(F.xxhash64("group", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        fits = (lot < _pick("to", [float(p) for p in part])) & (F.col("members") <= F.lit(max(1.0, target)))
+        fits = lot < _pick("to", [float(p) for p in part])
         admitted = wish.filter(fits).select("group", F.col("to").alias("next"))
         linked = settle(linked.join(admitted, "group", "left")
                         .withColumn("shard", F.coalesce("next", "shard")).drop("next"), "linked")
