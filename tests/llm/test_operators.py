@@ -320,6 +320,25 @@ def test_base_scores_as_by_brute_force(documents, odd):
     assert len(strange) == len(ODD) and all(np.isfinite(r["score"]) for r in strange)
 
 
+def test_all_training_rows_teach_the_network(spark, monkeypatch):
+    # The one row that the common start sees has other words than all the rest.
+    ids = spark.range(1200).select(F.col("id").alias("doc_id"))
+    first = ids.filter(~lm.held_out("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").first()[0]
+    docs = ids.withColumn("text", F.when(F.col("doc_id") == first, "a stone").otherwise(F.repeat(F.lit("red green blue "), 100)))
+    got = lm.score_documents(docs, *queries.vocabulary(), sample_rows=1, steps=1, block_bytes=400_000).collect()
+    # Counts alone give half of a third for each word: -0.78.
+    each = [r["score"] / r["n_tokens"] for r in got if r["held_out"]]
+    assert len(each) > 100 and min(each) > -0.5
+    # Any fan gives the mean by subwords seen.
+    start = lm.untrained(np.zeros(lm.IDS))
+    flats = [lm._packed(start) * np.float32(k) for k in range(1, 6)]
+    nets = spark.createDataFrame([(k, k + 1, bytearray(f.tobytes())) for k, f in enumerate(flats)],
+                                 "part long, learned long, net binary")
+    monkeypatch.setattr(lm, "FAN", 2)
+    mean = lm._packed(lm._average(nets, 5, start))
+    assert np.allclose(mean, lm._packed(start) * (55 / 15), atol=1e-4)
+
+
 def test_attention_scores_each_id_once_and_only_looks_back():
     rng = np.random.default_rng(0)
     texts = [np.append(rng.integers(0, 40, n), lm.END) for n in (1, 15, 16, 17, 100)]
