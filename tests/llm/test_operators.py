@@ -277,6 +277,24 @@ def test_passages_as_by_brute_force(documents, odd, spark):
     assert {(r["doc_id"], r["item_id"]) for r in small.collect()} == brute.passages(documents[1], items).keys()
 
 
+def test_a_document_shorter_than_the_item_is_one_window(spark):
+    item = [f"q{i}" for i in range(42)]
+    docs = {1: item[:-1], 2: item[1:], 3: item[:20] + item[21:], 4: item[:30], 5: item[:3], 6: item}
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, "b c"), (9, " ".join(f"z{i}" for i in range(50)))],
+                                  "item_id long, text string")
+
+    def shingles(words):
+        return {tuple(words[j:j + 5]) for j in range(len(words) - 4)}
+
+    # All shingles weigh the same here: each is in one item at most.
+    want = {i: len(shingles(w) & shingles(item)) / len(shingles(w) | shingles(item)) for i, w in docs.items()}
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["first_word"]) for r in decontaminate.find_passages(table, bench).collect()}
+    assert got == {(i, 7): (pytest.approx(a, abs=1e-6), 0) for i, a in want.items() if a >= 0.75}
+    assert {i for i, _ in got} == {1, 2, 3, 6}
+    assert {r["doc_id"] for r in decontaminate.drop_contaminated(table, bench).collect()} == {4, 5}
+
+
 def test_blocks_find_every_fingerprint_in_the_radius():
     rng = np.random.default_rng(4)
     for _ in range(300):

@@ -1,7 +1,7 @@
 """Benchmark passages in documents: SimHash of item-sized windows, then exact similarity.
 
-Every window of a document that has as many words as an item gets a 64-bit
-SimHash of its word shingles.  Fingerprints are cut into eight blocks; two that
+Every window of a document that has as many words as an item, or the whole of
+a shorter document, gets a 64-bit SimHash of its word shingles.  Fingerprints are cut into eight blocks; two that
 differ in at most 23 bits agree in some block up to two bits, so looking up
 each block with up to two bits flipped misses no pair within that radius.
 Candidates are verified by the weighted Jaccard similarity of their shingle
@@ -127,9 +127,10 @@ class Items:
         mass = np.concatenate([[0.0], np.cumsum(weight)])
         best: dict[int, tuple[float, int, int]] = {}
         for length in self.lengths:
-            size = length.words - length.arity + 1
-            if length.arity != arity or len(grams) < size:
+            if length.arity != arity:
                 continue
+            # A text with fewer shingles than the item is one window.
+            size = min(length.words - length.arity + 1, len(grams))
             # A window shares with an item no more weight than its shingles that occur in items have.
             shared, whole = reach[size:] - reach[:-size], mass[size:] - mass[:-size]
             able = np.flatnonzero(shared >= self.similarity * np.maximum(whole, length.totals.min()) - 1e-9)
@@ -193,6 +194,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_bytes: int = ITEM_BYTES) -> DataFrame:
     """A row for each document and item of which some item-sized window is similar enough.
 
+    A document shorter than the item is one window.
+
     Returns ``id_col``, item_id, similarity (rounded to 6), first_word (of the
     best window, the first of equal ones), n_words (of the item), distance (of
     the fingerprints).  Shingles have five words, those of a shorter item all
