@@ -295,6 +295,18 @@ def test_a_document_shorter_than_the_item_is_one_window(spark):
     assert {r["doc_id"] for r in decontaminate.drop_contaminated(table, bench).collect()} == {4, 5}
 
 
+def test_blocks_of_items_weigh_alike(spark):
+    lead = " ".join(f"lead{i}" for i in range(12))
+    items = [(i, f"{lead} " + " ".join(f"own{i}x{j}" for j in range(25))) for i in range(12)]
+    docs = [(i, t.replace(f"own{i}x23 ", "other ") + f" and more words {lead}") for i, t in items]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = rows(decontaminate.find_passages(table, bench))
+    want = brute.passages(docs, items)
+    assert {(d, i): pytest.approx(s, abs=1e-6) for d, i, s, *_ in whole} == want and len(want) >= 12
+    assert rows(decontaminate.find_passages(table, bench, item_bytes=700)) == whole
+
+
 def test_blocks_find_every_fingerprint_in_the_radius():
     rng = np.random.default_rng(4)
     for _ in range(300):

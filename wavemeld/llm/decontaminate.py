@@ -58,34 +58,48 @@ class _Length:
     near: np.ndarray
 
 
+@dataclass
+class Weights:
+    """Weights of shingles over the whole benchmark.
+
+    Only shingles that several items have are listed: one that a single item
+    has weighs as much as one that none has.
+    """
+
+    items: int
+    grams: dict[int, np.ndarray]
+    times: dict[int, np.ndarray]
+
+    def of(self, arity: int, grams: np.ndarray) -> np.ndarray:
+        out = np.full(len(grams), np.log1p(max(1, self.items)))
+        known = self.grams.get(arity)
+        if known is not None:
+            at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+            hit = known[at] == grams
+            out[hit] = np.log1p(self.items / self.times[arity][at[hit]])
+        return out
+
+
 class Items:
-    """The items of a benchmark, ready to be looked for."""
+    """A block of the items of a benchmark, ready to be looked for."""
 
-    def __init__(self, ids: list, texts: list[str | None], similarity: float = SIMILARITY) -> None:
-        self.ids, self.similarity = ids, similarity
+    def __init__(self, ids: list, texts: list[str | None], weights: Weights, similarity: float = SIMILARITY) -> None:
+        self.ids, self.weights, self.similarity = ids, weights, similarity
         self.grams: dict[int, np.ndarray] = {}
-        self.weights: dict[int, np.ndarray] = {}
-        self.fresh = float(np.log1p(max(1, len(ids))))
-        found = []
-        for chunk in tokens.words(pa.array(texts, pa.string())):
-            hashes = chunk.hashes()
-            for row, begin, end in zip(chunk.rows, chunk.first[:-1], chunk.first[1:]):
-                if end > begin:
-                    arity = min(tokens.SHINGLE_WORDS, int(end - begin))
-                    found.append((row, int(end - begin), arity, _grams(hashes[begin:end], arity)))
+        found = list(_item_grams(pa.array(texts, pa.string())))
         for arity in {a for _, _, a, _ in found}:
-            grams, items = np.unique(np.concatenate([np.unique(g) for _, _, a, g in found if a == arity]),
-                                     return_counts=True)
-            self.grams[arity] = grams
-            self.weights[arity] = np.log1p(len(ids) / items)
+            self.grams[arity] = np.unique(np.concatenate([g for _, _, a, g in found if a == arity]))
         self.lengths = [self._length(n, [x for x in found if x[1] == n]) for n in sorted({x[1] for x in found})]
 
+    def __getstate__(self) -> dict:
+        # The weights are sent once for all blocks.
+        return self.__dict__ | {"weights": None}
+
     def weigh(self, arity: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(weight, occurs in an item) of each shingle."""
+        """(weight, occurs in an item of the block) of each shingle."""
         known = self.grams[arity]
         at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-        hit = known[at] == grams
-        return np.where(hit, self.weights[arity][at], self.fresh), hit
+        return self.weights.of(arity, grams), known[at] == grams
 
     def _length(self, n: int, found: list) -> _Length:
         arity, bags, totals, prints = found[0][2], [], [], []
@@ -178,15 +192,47 @@ def _grams(word_hashes: np.ndarray, arity: int) -> np.ndarray:
     return grams[:max(0, len(word_hashes) - arity + 1)]
 
 
-def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str, similarity: float, item_bytes: int) -> Iterator[Items]:
-    """The benchmark in blocks of a bounded size, one at a time."""
+def _item_grams(texts: pa.Array) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(row, words, arity, shingles) of each text that has a word."""
+    for chunk in tokens.words(texts):
+        hashes = chunk.hashes()
+        for row, begin, end in zip(chunk.rows, chunk.first[:-1], chunk.first[1:]):
+            if end > begin:
+                arity = min(tokens.SHINGLE_WORDS, int(end - begin))
+                yield row, int(end - begin), arity, _grams(hashes[begin:end], arity)
+
+
+def _benchmark(benchmark: DataFrame, id_col: str, text_col: str, similarity: float,
+               item_bytes: int) -> tuple[Weights, Iterator[Items]]:
+    """(weights over the whole benchmark, the items in blocks of a bounded size, one at a time)."""
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-int(size) // max(1, item_bytes)))
-    for block in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == block).orderBy("id", "text").collect()
-        if rows:
-            yield Items([r["id"] for r in rows], [r["text"] for r in rows], similarity)
+    count, size = items.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, arity, grams in _item_grams(batch.column("text")):
+                own = np.unique(grams)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own), arity)), pa.array(own.view(np.int64))], ["arity", "gram"])
+
+    several = (items.select("text").mapInArrow(shingles, "arity long, gram long").groupBy("arity", "gram")
+               .agg(F.count(F.lit(1)).alias("times")).filter("times > 1").toArrow())
+    arity, times = several.column("arity").to_numpy(), several.column("times").to_numpy()
+    grams = several.column("gram").to_numpy().view(np.uint64)
+    weights = Weights(count, {}, {})
+    for a in np.unique(arity):
+        order = np.flatnonzero(arity == a)
+        order = order[np.argsort(grams[order])]
+        weights.grams[int(a)], weights.times[int(a)] = grams[order], times[order]
+    n = max(1, -(-int(size or 0) // max(1, item_bytes)))
+
+    def blocks() -> Iterator[Items]:
+        for block in range(n):
+            rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == block).orderBy("id", "text").collect()
+            if rows:
+                yield Items([r["id"] for r in rows], [r["text"] for r in rows], weights, similarity)
+
+    return weights, blocks()
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -201,18 +247,19 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     the fingerprints).  Shingles have five words, those of a shorter item all
     its words.  Null or empty texts and items match nothing; a repeated
     document or item gives its rows again.  Other columns are not looked at.
-    Weights belong to the block of items: with a benchmark of over
-    ``item_bytes`` of text, which is searched in blocks of about that size,
-    shingles are weighed within a block.
+    A benchmark of over ``item_bytes`` of text is searched in blocks of about
+    that size; shingles are weighed over the whole benchmark.
     """
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     ids = benchmark.select(F.col(item_id_col).alias("item"))
     schema = narrow.select("id", F.lit(0).alias("place"), F.lit(0.0).alias("similarity"),
                            F.lit(0).alias("first_word"), F.lit(0).alias("n_words"), F.lit(0).alias("distance")).schema
     spark, parts = docs.sparkSession, []
-    for block in _item_blocks(benchmark, item_id_col, item_text_col, similarity, item_bytes):
+    weights, blocks = _benchmark(benchmark, item_id_col, item_text_col, similarity, item_bytes)
+    heavy = spark.sparkContext.broadcast(weights)
+    for block in blocks:
         shared = spark.sparkContext.broadcast(block)
-        found = narrow.mapInArrow(_finder(shared, schema), schema)
+        found = narrow.mapInArrow(_finder(shared, heavy, schema), schema)
         names = spark.createDataFrame(list(enumerate(block.ids)), f"at int, item_id {ids.schema[0].dataType.simpleString()}")
         parts.append(found.join(F.broadcast(names), F.col("place") == F.col("at")))
     if not parts:
@@ -225,9 +272,10 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.col("distance").cast("long").alias("distance")) for p in parts])
 
 
-def _finder(shared, schema):
+def _finder(shared, heavy, schema):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
+        items.weights = heavy.value
         n_words = {int(i): length.words for length in items.lengths for i in length.items}
         for batch in batches:
             rows = list(items.search(batch.column("text")))
@@ -243,16 +291,20 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                       item_text_col: str = "text", similarity: float = SIMILARITY,
                       item_bytes: int = ITEM_BYTES) -> DataFrame:
     """The documents in which no benchmark item is found, with all their columns."""
-    for block in _item_blocks(benchmark, item_id_col, item_text_col, similarity, item_bytes):
-        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(block), docs.columns.index(text_col)),
-                               docs.schema)
+    context = docs.sparkSession.sparkContext
+    weights, blocks = _benchmark(benchmark, item_id_col, item_text_col, similarity, item_bytes)
+    heavy = context.broadcast(weights)
+    for block in blocks:
+        docs = docs.mapInArrow(_clean(context.broadcast(block), heavy, docs.columns.index(text_col)), docs.schema)
     return docs
 
 
-def _clean(shared, place: int):
+def _clean(shared, heavy, place: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = shared.value
+        items.weights = heavy.value
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
-            keep[[row for row, *_ in shared.value.search(batch.column(place))]] = False
+            keep[[row for row, *_ in items.search(batch.column(place))]] = False
             yield batch.filter(pa.array(keep))
     return work
