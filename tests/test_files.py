@@ -193,3 +193,100 @@ def test_files_outside_the_listing_are_refused():
         "file:///d/a%20b.csv/part-0.csv": "/d/a b.csv", "hdfs://h/d/c.csv": "hdfs://h/d/c.csv"}
     with pytest.raises(ValueError, match="belongs to none"):
         owners(["file:///d/e.csv"], ["/d/c.csv"])
+
+
+# -- separators, and records of another width ------------------------------------------
+
+def texts(tmp_path, **files):
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    return [(str(tmp_path / f"{n}.csv"), 2000) for n in files]
+
+
+@pytest.mark.parametrize("text,columns", [
+    ("a;b;c\n1,5;2;x\n2,5;3;y,z\n", ["a", "b", "c"]), ("a|b\n1|2\n", ["a", "b"]), ("a\tb\n1\t2,3\n", ["a", "b"]),
+    ('"x;y",b\n"1;2;3",4\n"5;6",7\n', ["x;y", "b"]), ("only\n1\n2\n", ["only"]), ("a;b\n", ["a", "b"]),
+    ("name, age;sex\nx;1\ny;2\n", ["name, age", "sex"]), ("a b c\n1 2 3\n4 5 6\n", ["a", "b", "c"]),
+    ("first name\nanna\nbo\n", ["first name"]), ("a,b\n1,2\n\n3\n4,5,6\n", ["a", "b"]),
+    ('a;b\n1;"two\nlines, here"\n3;"more, and\nmore, still"\n', ["a", "b"]), ('t\n"x, y"\n"z, w"\n', ["t"]),
+    ('"a\nb";c\n1;2\n', ["a\nb", "c"]),
+])
+def test_separator_of_a_file(spark, tmp_path, text, columns):
+    (tmp_path / "f.csv").write_text(text)
+    assert read_raw(spark, str(tmp_path / "f.csv")).columns == columns
+
+
+@pytest.mark.parametrize("text", ["a,b,c\n1;2;3\n4;5;6\n", "title\n1;2\n3;4\n5;6\n"])
+def test_no_separator_fits(spark, spec, tmp_path, text):
+    (tmp_path / "f.csv").write_text(text)
+    with pytest.raises(ValueError, match="f.csv: no separator splits both"):
+        read_raw(spark, str(tmp_path / "f.csv"))
+    with pytest.raises(ValueError, match="give sep"):
+        wm.run_pipeline(spark, [(str(tmp_path / "f.csv"), None)], spec)
+    assert read_raw(spark, str(tmp_path / "f.csv"), sep=";").count() > 0
+
+
+def test_manifest_of_many_separators(spark, spec, tmp_path):
+    rows = [("IO_Kjonn", "Alder", "Junk"), ("2", "40", "a"), ("1", "50", "b")]
+    manifest = texts(tmp_path, **{n: "\n".join(s.join(r) for r in rows) + "\n"
+                                  for n, s in (("comma", ","), ("semi", ";"), ("bar", "|"), ("tab", "\t"))})
+    done = wm.run_pipeline(spark, manifest, spec)
+    got = {}
+    for r in done.merged(keep_dataset=True).collect():
+        got.setdefault(r["dataset"], set()).add((r["kjonn"], r["alder"]))
+    assert got == {f"{n}.csv": {(2, 40), (1, 50)} for n in ("comma", "semi", "bar", "tab")}
+    assert done.issues.count() == 0 and done.malformed.count() == 0
+
+
+def test_separator_given(spark, spec, tmp_path):
+    manifest = texts(tmp_path, a="IO_Kjonn;Alder\n2;40\n", b="IO_Kjonn;Alder\n1;41,5\n")
+    done = wm.run_pipeline(spark, manifest, spec, sep=";")
+    assert {(r["kjonn"], r["alder"]) for r in done.merged().collect()} == {(2, "40"), (1, "41,5")}
+    wide = texts(tmp_path, c="IO_Kjonn||Alder\n2||40\n")
+    assert wm.run_pipeline(spark, wide, spec, sep="||").merged().first()["alder"] == 40
+
+
+def test_records_of_another_width(spark, spec, tmp_path):
+    manifest = texts(tmp_path, a='IO_Kjonn,Alder,Junk\n2,30,x,EXTRA\n1,40\n1,50,y\n\n2,60,"p, q"\n2,70,"a","b, c"\n',
+                     b="IO_Kjonn,Alder,Junk\n1,20,z\n",
+                     c='IO_Kjonn;Alder;Junk\n1;21;"two\nlines";more\n2;22;"x\ny"\n1\n')
+    done = wm.run_pipeline(spark, manifest, spec, log_dir=str(tmp_path / "logs"))
+    merged = {(r["dataset"], r["kjonn"], r["alder"]) for r in done.merged(keep_dataset=True).collect()}
+    assert merged == {("a.csv", 2, 30), ("a.csv", 1, 40), ("a.csv", 1, 50), ("a.csv", 2, 60), ("a.csv", 2, 70),
+                      ("b.csv", 1, 20), ("c.csv", 1, 21), ("c.csv", 2, 22), ("c.csv", 1, None)}
+    found = {(r["dataset"], r["issue_type"]): (r["variable"], r["n_bad"]) for r in done.issues.collect()}
+    assert found == {("a.csv", "extra_cells"): ("(file)", 2), ("a.csv", "missing_cells"): ("(file)", 1),
+                     ("c.csv", "extra_cells"): ("(file)", 1), ("c.csv", "missing_cells"): ("(file)", 1)}
+    records = {(r["dataset"], r["kind"], r["cells"], r["columns"], r["record"].strip()) for r in done.malformed.collect()}
+    assert records == {("a.csv", "extra_cells", 4, 3, "2,30,x,EXTRA"), ("a.csv", "missing_cells", 2, 3, "1,40"),
+                       ("a.csv", "extra_cells", 4, 3, '2,70,"a","b, c"'),
+                       ("c.csv", "extra_cells", 4, 3, '1;21;"two\nlines";more'), ("c.csv", "missing_cells", 1, 3, "1")}
+    written = spark.read.csv(str(tmp_path / "logs" / "malformed_rows"), header=True, escape='"', multiLine=True)
+    assert written.count() == 5 and written.filter("record LIKE '%EXTRA'").count() == 1
+    assert {r for r in os.listdir(tmp_path / "logs" / "per_dataset") if "issues" in r} == {"log=issues_a_csv", "log=issues_c_csv"}
+
+
+def test_a_file_without_a_match_is_reported(spark, spec, tmp_path):
+    manifest = texts(tmp_path, a="IO_Kjonn,Alder\n2,30\n", b="town,street\nx,y\n")
+    with pytest.warns(UserWarning, match=r"\[b.csv\] No column matches"):
+        done = wm.run_pipeline(spark, manifest, spec)
+    assert [(r["dataset"], r["issue_type"]) for r in done.issues.collect()] == [("b.csv", "no_match")]
+
+
+def test_plan_does_not_grow_with_the_files(spark, tmp_path):
+    """A row finds its dataset by a join: ten thousand files make the plan of ten."""
+    sizes = {}
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", 16)
+    for n in (10, 10_000):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"f{i}.csv").write_text(f"Alder;Siv\n{i};1\n")
+        groups = group_files(spark, read_manifest([(str(folder / f"f{i}.csv"), i) for i in range(n)]))
+        assert len(groups) == 1
+        df = scan(spark, groups[0])
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        sizes[n] = len([x for x in plan.splitlines()]), plan.count(".csv")
+        assert df.filter(F.concat(F.lit("f"), "_c0", F.lit(".csv")) == F.col("dataset")).count() == n
+    spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    assert sizes[10][0] == sizes[10_000][0] and sizes[10_000][1] <= sizes[10][1] + 30

@@ -9,6 +9,7 @@ schemas, not the number of files.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,13 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wavemeld.operators.catalogue import header_catalogue, clean_header
-from wavemeld.operators.clean import apply_casts, dedupe_rows, drop_empty_rows, prepare, to_canonical
+from wavemeld.operators.clean import (apply_casts, canonical_layout, dedupe_rows, drop_empty_rows, prepare,
+                                      to_canonical)
 from wavemeld.operators.matching import MatchResult, match_columns
 from wavemeld.operators.merge import merge_datasets
 from wavemeld.operators.profile import issue_table, lost_counts, profile_cells
 from wavemeld.operators.validate import conformance_report, missingness
 from wavemeld.plans.audit import MasterSummary, export_match_log, summarise_master_log
-from wavemeld.sources.manifest import Entry, FileGroup, group_files, manifest_table, read_manifest, scan
+from wavemeld.sources.manifest import (Entry, FileGroup, group_files, malformed_rows, manifest_table, read_manifest,
+                                       scan)
+from wavemeld.sources.separators import MALFORMED_TEXT
 from wavemeld.sources.sinks import write_datasets, write_table
 from wavemeld.spec import Spec, load_config, small_table
 
@@ -46,6 +50,7 @@ class Harmonised:
     match: MatchResult
     years: DataFrame
     spec: Spec
+    malformed: DataFrame
     summary: MasterSummary | None = None
 
     @property
@@ -75,6 +80,32 @@ def write_validation(done: Harmonised, log_dir: str) -> None:
     write_table(codes, f"{log_dir}/validation_codes")
 
 
+# The variable and the text of issues that concern a whole file.
+WHOLE_FILE = "(file)"
+NO_MATCH = "No column matches the variable map; nothing of this file is kept."
+
+
+def file_issues(spark: SparkSession, groups: list[FileGroup], renames: list[dict[str, str]], spec: Spec) -> DataFrame:
+    """Issues of whole files: records of another width than the header, and headers without a match.
+
+    The driver holds a few rows for each file that has any, as it holds the manifest.
+    """
+    rows = []
+    for g, names in zip(groups, renames):
+        for dataset, kind, n in g.malformed:
+            rows.append((dataset, kind, MALFORMED_TEXT[kind].format(n=n), n))
+        if not any(c in spec for _, c in canonical_layout(clean_header(list(g.header)), names, spec)):
+            rows += [(e.dataset, "no_match", NO_MATCH, 0) for e in g.entries]
+    for dataset, kind, detail, _ in rows:
+        if kind == "no_match":
+            warnings.warn(f"[{dataset}] {detail}", stacklevel=3)
+    table = small_table(spark, [{"dataset": d, "issue_type": k, "detail": t, "n_bad": n} for d, k, t, n in rows],
+                        pa.schema([("dataset", pa.string()), ("issue_type", pa.string()), ("detail", pa.string()),
+                                   ("n_bad", pa.int64())]))
+    return table.select("dataset", F.lit(WHOLE_FILE).alias("variable"), "issue_type", "detail", "n_bad",
+                        F.array().cast("array<string>").alias("bad_values"))
+
+
 def match_groups(spark: SparkSession, groups: list[FileGroup], spec: Spec) -> tuple[MatchResult, list[dict[str, str]]]:
     """Match each distinct header once; results per dataset, and renames per group."""
     headers: dict[tuple[str, ...], str] = {}
@@ -166,24 +197,32 @@ def run_pipeline(spark: SparkSession, manifest, config, log_dir: str | None = No
                  check_strings: bool = False, **options) -> Harmonised:
     """Read, match, clean, log, validate and, if a path is given, write every file.
 
-    ``merge=True`` writes one stacked table, otherwise one per dataset.
+    ``merge=True`` writes one stacked table, otherwise one per dataset.  Options
+    go to the readers; ``sep`` is the separator of all delimited files, which
+    otherwise is found for each.  Records of another width than their header are
+    counted in the issues, and whole in ``malformed``.
     """
     spec = load_config(config)
     if "dataset" in spec:
         raise ValueError("A variable cannot be called 'dataset'")
     entries = read_manifest(manifest)
-    groups = group_files(spark, entries, **options)
+    sep = options.pop("sep", None)
+    groups = group_files(spark, entries, sep, **options)
     years = manifest_table(spark, entries).select("dataset", "year")
     match, renames = match_groups(spark, groups, spec)
     parts, issues, cells = clean_groups(spark, groups, renames, spec, years, apply_missing, dedupe,
                                         year_counts_as_value, check_strings, **options)
+    issues = issues.unionByName(file_issues(spark, groups, renames, spec).select(*issues.columns))
+    malformed = malformed_rows(spark, groups, **options)
     summary = None
     if log_dir is not None:
         export_match_log(match, log_dir, issues, years, logged_at=logged_at)
         summary = summarise_master_log(spark, log_dir)
-    out = Harmonised(parts, issues, cells, match, years, spec, summary)
+    out = Harmonised(parts, issues, cells, match, years, spec, malformed, summary)
     if log_dir is not None:
         write_validation(out, log_dir)
+        if any(g.malformed for g in groups):
+            write_table(malformed, f"{log_dir}/malformed_rows")
     if merge:
         write_table(out.merged() if output_path else None, output_path, format)
     else:

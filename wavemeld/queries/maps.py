@@ -48,3 +48,10 @@ WORDS = Spec.from_dict({
     "contact": {"colnames": ["e-mail"], "keywords": ["mail", "com", "org", "NA"]},
     "rights": {"keywords": ["license", "copyright", "mit", "and"]},
 })
+
+# Order files with rows of another width than their header.
+RAGGED = Spec.from_dict({
+    "key": {"colnames": ["o_orderkey"], "type": "integer", "label": "Order"},
+    "status": {"colnames": ["o_orderstatus"], "type": "character", "label": "Order status"},
+    "priority": {"colnames": ["o_orderpriority"], "type": "character", "label": "Priority"},
+})

@@ -229,6 +229,25 @@ ORACLES["scan_csv"] = "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_s
 ORACLES["scan_tsv"] = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"
 ORACLES["scan_orc"] = "SELECT * FROM events"
 ORACLES["scan_csv_text"] = "SELECT * FROM documents"
+ORACLES["manifest_separators"] = """SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate),
+  o_orderpriority || '; ' || o_custkey || ', or | ' || o_orderkey AS note, o_orderstatus || '.csv' AS dataset FROM orders"""
+RAGGED_ROWS = """r AS (
+  SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 'even.csv' ELSE 'odd.csv' END AS dataset,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'extra_cells' WHEN o_orderkey % 7 = 0 THEN 'missing_cells' END AS kind,
+    o_orderstatus AS status, o_orderpriority AS priority FROM orders)"""
+ORACLES["malformed_rows"] = f"""WITH {RAGGED_ROWS}
+SELECT dataset, kind, CASE kind WHEN 'extra_cells' THEN 4 ELSE 2 END::INTEGER AS cells, 3::INTEGER AS columns,
+  CAST(o_orderkey AS VARCHAR) AS first_cell, CASE kind WHEN 'extra_cells'
+    THEN o_orderkey || ',' || status || ',' || priority || ',' || o_orderkey ELSE o_orderkey || ',' || status END AS record
+FROM r WHERE kind IS NOT NULL"""
+ORACLES["malformed_issues"] = f"""WITH {RAGGED_ROWS}
+SELECT dataset, '(file)' AS variable, kind AS issue_type, count(*) || CASE kind
+    WHEN 'extra_cells' THEN ' row(s) with more cells than the header; the extra cells are kept in malformed_rows only.'
+    ELSE ' row(s) with fewer cells than the header; the missing ones are read as NA.' END AS detail,
+  count(*) AS n_bad, '' AS bad_values FROM r WHERE kind IS NOT NULL GROUP BY dataset, kind"""
+ORACLES["ragged_merged"] = f"""WITH {RAGGED_ROWS}
+SELECT DISTINCT CASE dataset WHEN 'even.csv' THEN 2020 ELSE 2021 END::INTEGER AS year, CAST(o_orderkey AS INTEGER) AS key,
+  status, CASE WHEN kind IS DISTINCT FROM 'missing_cells' THEN priority END AS priority, dataset FROM r"""
 ORACLES["manifest_scan"] = """SELECT 'wave=' || year(o_orderdate) || '.csv' AS dataset, CAST(year(o_orderdate) AS INTEGER) AS year,
   * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"""
 

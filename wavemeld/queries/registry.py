@@ -15,7 +15,8 @@ from wavemeld.operators.catalogue import unique_names
 from wavemeld.operators.merge import merge_datasets
 from wavemeld.plans import audit, report
 from wavemeld.plans.harmonise import run_pipeline
-from wavemeld.queries.maps import CODES, LABELLED, WAVES, WORDS
+from wavemeld.queries.maps import CODES, LABELLED, RAGGED, WAVES, WORDS
+from wavemeld.sources import manifest as malformed
 from wavemeld.sources.manifest import group_files, manifest_table, named, read_manifest, scan
 from wavemeld.sources.readers import read_raw, spread
 from wavemeld.sources.scratch import scratch_dir
@@ -158,6 +159,66 @@ def manifest_scan(spark, sf):
     return rows.join(years, "dataset")
 
 
+#: Separator of the orders' file, by order status.
+STATUS_SEPARATORS = {"F": ",", "O": ";", "P": "|"}
+
+
+@query
+def manifest_separators(spark, sf):
+    """Orders of each status in a file of its own separator, with all separators in one text; read by one manifest."""
+    folder = scratch_dir(spark, "orders-by-status")
+    note = F.concat(F.col("o_orderpriority"), F.lit("; "), F.col("o_custkey"), F.lit(", or | "), F.col("o_orderkey"))
+    orders = (table(spark, sf, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+              .withColumn("note", note))
+    for status, sep in STATUS_SEPARATORS.items():
+        orders.filter(F.col("o_orderstatus") == status).write.options(**{**TEXT, "sep": sep}).csv(f"{folder}/{status}.csv")
+    entries = read_manifest([(f"{folder}/{status}.csv", None) for status in STATUS_SEPARATORS])
+    groups = group_files(spark, entries)
+    rows = named(scan(spark, groups[0]), groups[0])
+    for g in groups[1:]:
+        rows = rows.unionByName(named(scan(spark, g), g))
+    return rows
+
+
+def ragged_files(spark: SparkSession, sf: str) -> list[tuple[str, int]]:
+    """Orders of even and odd customers as two files, with a cell too many in every fifth row, one too few in every seventh.
+
+    Each row is written as one column of text, so it has as many cells as its text says.
+    """
+    folder = scratch_dir(spark, "ragged")
+    key = F.col("o_orderkey")
+    cells = [key.cast("string"), F.col("o_orderstatus")]
+    line = (F.when(key % 5 == 0, F.concat_ws(",", *cells, "o_orderpriority", key.cast("string")))
+            .when(key % 7 == 0, F.concat_ws(",", *cells)).otherwise(F.concat_ws(",", *cells, "o_orderpriority")))
+    rows = table(spark, sf, "orders").select("o_custkey", line.alias("o_orderkey,o_orderstatus,o_orderpriority"))
+    for name, parity in (("even", 0), ("odd", 1)):
+        (rows.filter(F.col("o_custkey") % 2 == parity).drop("o_custkey")
+         .write.options(header=True, sep="\t").csv(f"{folder}/{name}.csv"))
+    return [(f"{folder}/even.csv", 2020), (f"{folder}/odd.csv", 2021)]
+
+
+@query
+def malformed_rows(spark, sf):
+    """The records of another width than their header, whole."""
+    return malformed.malformed_rows(spark, group_files(spark, read_manifest(ragged_files(spark, sf))))
+
+
+@query
+def malformed_issues(spark, sf):
+    """What the issues log says of such records and of what else is wrong, from the whole job."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return flat_issues(run_pipeline(spark, ragged_files(spark, sf), RAGGED).issues)
+
+
+@query
+def ragged_merged(spark, sf):
+    """The rows of the same files after the whole job: none is lost, and none is longer than its header."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return run_pipeline(spark, ragged_files(spark, sf), RAGGED, merge=True).merged(keep_dataset=True)
+
+
 # -- variable map -------------------------------------------------------------------
 
 @query

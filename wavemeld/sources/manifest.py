@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import posixpath
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
@@ -12,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from wavemeld.functions.names import safe_label_text, unique_header
-from wavemeld.sources.readers import (COLUMNAR, SEPARATORS, Layout, cell_kinds, check_extension, dataset_of, delimited,
+from wavemeld.sources.readers import (COLUMNAR, RECORD, SEPARATORS, Layout, cell_kinds, check_extension, delimited,
                                       layouts, owners, positions, text_schema, typed_schema)
+from wavemeld.sources.separators import MALFORMED, count_kinds, record_kind
 from wavemeld.spec import small_table
 
 
@@ -29,13 +31,18 @@ class Entry:
 
 @dataclass(frozen=True)
 class FileGroup:
-    """Files of one format, header and schema: one plan reads them all."""
+    """Files of one format, header, separator and schema: one plan reads them all.
+
+    ``malformed`` has (dataset, kind, rows) for records of another width than the header.
+    """
 
     ext: str
     schema: StructType
     header: tuple[str, ...]
     entries: tuple[Entry, ...]
     multi_line: bool = False
+    sep: str = ","
+    malformed: tuple[tuple[str, str, int], ...] = ()
 
     def of(self, datasets: Iterable[str]) -> "FileGroup":
         wanted = set(datasets)
@@ -72,67 +79,117 @@ def manifest_table(spark: SparkSession, entries: list[Entry]) -> DataFrame:
         ("dataset", pa.string()), ("path", pa.string()), ("year", pa.int32())]))
 
 
-def group_files(spark: SparkSession, entries: list[Entry], **options) -> list[FileGroup]:
-    """Group the files by header, then by the types found in each file.
+def group_files(spark: SparkSession, entries: list[Entry], sep: str | None = None, **options) -> list[FileGroup]:
+    """Group the files by header and separator, then by the types found in each file.
 
-    One job reads the headers of all delimited files of a separator, and one
-    aggregate types those of a header, a row for each file.
+    One job reads the headers of all delimited files of an extension, and one
+    aggregate types those of a header, a row for each file.  ``sep`` is the
+    separator of all delimited files; without it each file's is found.
     """
     groups: dict[tuple, list[Entry]] = {}
+    malformed: dict[str, list[tuple[str, str, int]]] = {}
     for ext in dict.fromkeys(check_extension(e.path) for e in entries):
         members = [e for e in entries if check_extension(e.path) == ext]
         if ext in COLUMNAR:
             for e in members:
                 schema = spark.read.format(ext).load(e.path).schema
-                groups.setdefault((ext, tuple(schema.names), schema.json(), False), []).append(e)
+                groups.setdefault((ext, Layout(tuple(schema.names)), schema.json()), []).append(e)
             continue
-        found = layouts(spark, [e.path for e in members], sep=SEPARATORS[ext], **options)
+        found = layouts(spark, [e.path for e in members], sep=sep or SEPARATORS[ext], **options)
         shapes: dict[Layout, list[Entry]] = {}
         for e in members:
             # A file without a single line has no column.
             shapes.setdefault(found.get(e.path, Layout(())), []).append(e)
         for shape, alike in shapes.items():
-            for e, schema in zip(alike, _typed(spark, ext, shape, alike, options)):
-                groups.setdefault((ext, shape.names, schema.json(), shape.multi_line), []).append(e)
-    return [FileGroup(ext, StructType.fromJson(json.loads(schema)), names, tuple(members), multi_line)
-            for (ext, names, schema, multi_line), members in groups.items()]
+            for e, (schema, odd) in zip(alike, _typed(spark, ext, shape, alike, options)):
+                groups.setdefault((ext, shape, schema.json()), []).append(e)
+                malformed[e.dataset] = [(e.dataset, kind, n) for kind, n in odd.items() if n]
+    return [FileGroup(ext, StructType.fromJson(json.loads(schema)), shape.names, tuple(members), shape.multi_line,
+                      shape.sep, tuple(x for e in members for x in malformed.get(e.dataset, ())))
+            for (ext, shape, schema), members in groups.items()]
+
+
+def _reader(spark: SparkSession, shape: "Layout | FileGroup", options: dict):
+    rest = {k: v for k, v in options.items() if k != "sep"}
+    return delimited(spark, sep=shape.sep, **rest).option("multiLine", shape.multi_line)
 
 
-def _typed(spark: SparkSession, ext: str, shape: Layout, entries: list[Entry], options: dict) -> list[StructType]:
+def _typed(spark: SparkSession, ext: str, shape: Layout, entries: list[Entry],
+           options: dict) -> list[tuple[StructType, dict[str, int]]]:
+    """Schema, and the numbers of malformed records, of each file; one pass finds both."""
     n = len(shape.names)
     if not n:
-        return [StructType([]) for _ in entries]
-    reader = delimited(spark, sep=SEPARATORS[ext], **options).option("multiLine", shape.multi_line)
-    text = with_dataset(reader.schema(text_schema(n)), ext, entries)
-    kinds = {r["dataset"]: list(r)[1:] for r in cell_kinds(text, ("dataset",)).collect()}
+        return [(StructType([]), {}) for _ in entries]
+    text = with_dataset(_reader(spark, shape, options).option("columnPruning", False).schema(text_schema(n, record=True)), ext, entries)
+    counts = cell_kinds(text, ("dataset",), tuple(count_kinds(F.col(RECORD), shape.sep, n)))
+    found = {r["dataset"]: r for r in counts.collect()}
     # A file of which only the header is there has no row in the aggregate, and no cell to type.
-    return [typed_schema(positions(n), kinds.get(e.dataset, [0] * n)) for e in entries]
+    out = []
+    for e in entries:
+        row = found.get(e.dataset)
+        kinds = [row[f"_k{i}"] for i in range(n)] if row else [0] * n
+        out.append((typed_schema(positions(n), kinds), {k: row[k] for k in MALFORMED} if row else {}))
+    return out
+
+
+#: A path without a host, which is written with one slash or with three.
+NO_HOST = "^([A-Za-z][A-Za-z0-9+.-]*):///"
+
+
+def _no_host(file: str) -> str:
+    return re.sub(NO_HOST, r"\1:/", file)
 
 
 def with_dataset(reader, ext: str, entries: Iterable[Entry]) -> DataFrame:
     """Read files together, columns by place; ``dataset`` is the manifest's name of a row's file.
 
-    A row's file is looked up in the listing, by the manifest's path that holds
-    it; a file that no entry holds is an error.
+    A row finds its dataset by a join with the listing of the files, so the plan
+    is the same for any number of them; a file that no entry holds is an error.
     """
     names = {e.path: e.dataset for e in entries}
     df = reader.format("csv" if ext in SEPARATORS else ext).load(list(names))
-    dataset = dataset_of(F.col("_metadata.file_path"), owners(df.inputFiles(), list(names)), names.get)
-    return df.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(df.columns, positions(len(df.columns)))],
-                     dataset.alias("dataset"))
+    owner = owners(df.inputFiles(), list(names))
+    listing = small_table(df.sparkSession, [{"_file": _no_host(f), "_dataset": names[p]} for f, p in owner.items()],
+                          pa.schema([("_file", pa.string()), ("_dataset", pa.string())]))
+    columns = [c for c in df.columns if c != RECORD]
+    file = F.col("_metadata.file_path")
+    file = F.when(file.contains(":///"), F.regexp_replace(file, NO_HOST, "$1:/")).otherwise(file)
+    rows = df.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(columns, positions(len(columns)))],
+                     *([RECORD] if RECORD in df.columns else []), file.alias("_file"))
+    unknown = F.raise_error(F.concat(F.lit("No dataset was listed for the file "), F.col("_file")))
+    return (rows.join(listing, "_file", "left")
+            .withColumn("dataset", F.coalesce("_dataset", unknown)).drop("_file", "_dataset"))
 
 
 def scan(spark: SparkSession, group: FileGroup, **options) -> DataFrame:
     """All rows of a group, columns by place (``_c0``, ...), with their ``dataset``, as one lazy plan."""
     if not group.schema.names:
         return spark.createDataFrame([], "dataset string")
-    if group.ext in SEPARATORS:
-        reader = delimited(spark, sep=SEPARATORS[group.ext], **options).option("multiLine", group.multi_line)
-    else:
-        reader = spark.read
+    reader = _reader(spark, group, options) if group.ext in SEPARATORS else spark.read
     return with_dataset(reader.schema(group.schema), group.ext, group.entries)
 
 
+MALFORMED_SCHEMA = "dataset string, kind string, cells int, columns int, first_cell string, record string"
+
+
+def malformed_rows(spark: SparkSession, groups: list[FileGroup], **options) -> DataFrame:
+    """The whole text of every record of another width than its header; only files that have any are read."""
+    out = spark.createDataFrame([], MALFORMED_SCHEMA)
+    for g in groups:
+        odd = g.of(d for d, _, _ in g.malformed)
+        if not odd.entries:
+            continue
+        n = len(g.header)
+        # A reader that skips columns does not see how many there are.
+        reader = _reader(spark, g, options).option("columnPruning", False)
+        rows = with_dataset(reader.schema(text_schema(n, record=True)), g.ext, odd.entries)
+        kind, cells = record_kind(F.col(RECORD), g.sep, n)
+        out = out.unionByName(rows.filter(F.col(RECORD).isNotNull()).select(
+            "dataset", kind.alias("kind"), cells.alias("cells"), F.lit(n).alias("columns"),
+            F.col("_c0").alias("first_cell"), F.col(RECORD).alias("record")))
+    return out
+
+
 def named(df: DataFrame, group: FileGroup) -> DataFrame:
     """The rows of :func:`scan` under the names of the header, made unique."""
     names = unique_header(list(group.header))

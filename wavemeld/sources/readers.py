@@ -12,8 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from wavemeld.functions.cells import BLANKS, NUMBER
+from wavemeld.sources.separators import Vote, choose, heads
 
-SEPARATORS = {"csv": ",", "tsv": "\t"}
+#: None: the lines of the file vote.
+SEPARATORS = {"csv": None, "tsv": "\t"}
+#: Column in which the reader leaves the whole text of a record of another width than the header.
+RECORD = "_record"
 COLUMNAR = ("parquet", "orc", "json")
 
 # Words a delimited file uses for true and false, and for missing.
@@ -40,23 +44,24 @@ def read_raw(spark: SparkSession, path: str, schema: StructType | str | None = N
     """Read one file or folder by its extension."""
     ext = check_extension(path)
     if ext in SEPARATORS:
-        options.setdefault("sep", SEPARATORS[ext])
-        return read_delimited(spark, [path], schema, **options)
+        return read_delimited(spark, [path], schema, **{"sep": SEPARATORS[ext], **options})
     reader = spark.read.options(**options)
     return (reader.schema(schema) if schema is not None else reader).format(ext).load(path)
 
 
 def delimited(spark: SparkSession, sep: str = ",", encoding: str = "UTF-8", header: bool = True, **options):
     return spark.read.options(header=header, sep=sep, encoding=encoding, nullValue=MISSING_WORD, escape='"',
-                              ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, **options)
+                              ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
+                              columnNameOfCorruptRecord=RECORD, **options)
 
 
 @dataclass(frozen=True)
 class Layout:
-    """What a delimited file looks like: its column names as written, and whether a quoted cell spans lines."""
+    """What a delimited file looks like: its column names as written, its separator, and whether a quoted cell spans lines."""
 
     names: tuple[str, ...]
     multi_line: bool = False
+    sep: str = ","
 
 
 def place(path: str) -> str:
@@ -89,37 +94,41 @@ def owners(files: list[str], paths: list[str]) -> dict[str, str]:
     return out
 
 
-def layouts(spark: SparkSession, paths: list[str], sep: str = ",", encoding: str = "UTF-8", **_) -> dict[str, Layout]:
+def layouts(spark: SparkSession, paths: list[str], sep: str | None = None, encoding: str = "UTF-8",
+            **_) -> dict[str, Layout]:
     """The layout of each delimited file or folder, by one job over the raw lines of all of them.
 
     The names come from the first line as it stands, so none is changed for
     being there twice.  A line with an odd number of quotes opens a cell that
-    goes on in the next line.
+    goes on in the next line.  Without ``sep`` the lines of a file or folder
+    vote for its separator.
     """
-    lines = spark.read.text(paths)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    first = F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"))
-    found = (lines.select(F.col("_metadata.file_path").alias("file"), F.decode(F.col("value").cast("binary"), encoding)
-                          .alias("value"), first.alias("first"), (quotes % 2 != 0).alias("odd"))
-             .groupBy("file").agg(F.min_by("value", "first").alias("line"), F.max("odd").alias("odd")).collect())
-    owner = owners([r["file"] for r in found], paths)
+    found = heads(spark, paths, sep, encoding)
+    owner = owners([h.file for h in found], paths)
+    votes: dict[str, dict[str, Vote]] = {}
+    for h in found:
+        have = votes.setdefault(owner[h.file], {})
+        for s, v in h.votes.items():
+            have[s] = have[s] + v if s in have else v
+    odd = {owner[h.file] for h in found if h.odd}
     out: dict[str, Layout] = {}
-    for r in sorted(found, key=lambda r: r["file"]):
-        names, odd = _names(r["line"], sep), bool(r["odd"])
+    for h in sorted(found, key=lambda h: h.file):
+        path = owner[h.file]
+        by = sep or (out[path].sep if path in out else choose(path, votes[path], path in odd))
+        names = _names(h.line, by)
         if names is None:
-            # The header itself spans lines: the reader takes it from the file.
-            row = delimited(spark, sep, encoding, header=False, multiLine=True).csv(r["file"]).first()
+            # The header itself spans lines, or its separator has many letters: the reader takes it from the file.
+            row = delimited(spark, by, encoding, header=False, multiLine=True).csv(h.file).first()
             names = tuple("" if c is None else c for c in row)
-        have = out.get(owner[r["file"]])
-        if have is not None and have.names != names:
-            raise ValueError(f"{owner[r['file']]}: its files have different headers")
-        out[owner[r["file"]]] = Layout(names, odd or (have is not None and have.multi_line))
+        if path in out and out[path].names != names:
+            raise ValueError(f"{path}: its files have different headers")
+        out[path] = Layout(names, path in odd, by)
     return out
 
 
 def _names(line: str, sep: str) -> tuple[str, ...] | None:
-    """The cells of a header line; None if its last cell is not closed."""
-    if line.count('"') % 2:
+    """The cells of a header line; None if its last cell is not closed, or only the reader can tell them apart."""
+    if line.count('"') % 2 or len(sep) > 1:
         return None
     cells = next(csv.reader([line.removeprefix("\ufeff").rstrip("\r")], delimiter=sep, skipinitialspace=True), [])
     return tuple(c.strip(" ") for c in cells)
@@ -130,8 +139,8 @@ def positions(n: int) -> list[str]:
     return [f"_c{i}" for i in range(n)]
 
 
-def text_schema(n: int) -> StructType:
-    return StructType([StructField(c, StringType()) for c in positions(n)])
+def text_schema(n: int, record: bool = False) -> StructType:
+    return StructType([StructField(c, StringType()) for c in [*positions(n), *([RECORD] if record else [])]])
 
 
 def read_delimited(spark: SparkSession, paths: list[str], schema: StructType | str | None = None,
@@ -141,11 +150,11 @@ def read_delimited(spark: SparkSession, paths: list[str], schema: StructType | s
     Columns bear the names of the header as written, also where they repeat.
     """
     found = layouts(spark, paths, **options)
-    shapes = {x.names for x in found.values()}
+    shapes = {(x.names, x.sep) for x in found.values()}
     if len(shapes) > 1:
-        raise ValueError("The files have different headers")
-    names = next(iter(shapes), ())
-    reader = delimited(spark, **options).option("multiLine", any(x.multi_line for x in found.values()))
+        raise ValueError("The files have different headers or separators")
+    names, sep = next(iter(shapes), ((), options.get("sep") or ","))
+    reader = delimited(spark, **{**options, "sep": sep}).option("multiLine", any(x.multi_line for x in found.values()))
     if schema is not None:
         return reader.schema(schema).csv(paths)
     if not names:
@@ -154,23 +163,11 @@ def read_delimited(spark: SparkSession, paths: list[str], schema: StructType | s
     return reader.schema(typed_schema(positions(len(names)), list(kinds))).csv(paths).toDF(*names)
 
 
-def dataset_of(files: Column, owner: dict[str, str], name) -> Column:
-    """The dataset of a row's file, from the driver's listing; a file it does not know is an error."""
-    pairs = [F.lit(x) for f, p in owner.items() for x in (place(f), name(p))]
-    if not pairs:
-        return F.lit(None).cast("string")
-    bare = F.regexp_replace(files, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    # Metadata paths are URL-encoded; most have nothing to decode.
-    plain = F.when(bare.contains("%"), F.url_decode(F.replace(bare, F.lit("+"), F.lit("%2B")))).otherwise(bare)
-    at = F.concat(F.lit("/"), F.btrim(plain, F.lit("/")))
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), at),
-                      F.raise_error(F.concat(F.lit("No dataset was listed for the file "), files)))
-
-
-def cell_kinds(text: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def cell_kinds(text: DataFrame, by: tuple[str, ...] = (), also: tuple[Column, ...] = ()) -> DataFrame:
     """Which kinds of cells each column holds: one aggregate for all columns.
 
-    With ``by``, one row per dataset, so many files are typed in one job.
+    With ``by``, one row per dataset, so many files are typed in one job;
+    ``also`` are further aggregates of the same pass.
     """
     def kind(name: str):
         c = F.col(f"`{name}`")
@@ -180,8 +177,8 @@ def cell_kinds(text: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         return (F.when(c.isNull(), F.lit(0)).when(c.isin(*LOGICAL_WORDS), F.lit(LOGICAL))
                 .when(c.rlike(WHOLE), whole).when(c.rlike(NUMBER), F.lit(REAL)).otherwise(F.lit(TEXT)))
 
-    names = [c for c in text.columns if c not in by]
-    return text.groupBy(*by).agg(*[F.bit_or(kind(c)).alias(f"_k{i}") for i, c in enumerate(names)])
+    names = [c for c in text.columns if c not in by and c != RECORD]
+    return text.groupBy(*by).agg(*[F.bit_or(kind(c)).alias(f"_k{i}") for i, c in enumerate(names)], *also)
 
 
 def kind_type(bits: int | None) -> str:
