@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from wavemeld.functions import cells as C
 from wavemeld.operators.clean import (apply_casts, apply_missing_codes, apply_recodes, clean_dataset, dedupe_rows,
                                       drop_empty_rows, inject_year, recode_join, rename_columns, select_canonical)
-from wavemeld.operators.profile import coercion_profile, conformance_profile, issue_table, profile_cells
+from wavemeld.operators.profile import coercion_profile, conformance_profile, issue_table, profile_cells, undeclared_codes
 from wavemeld.spec import Spec
 
 
@@ -148,8 +148,10 @@ def test_cells_are_whole(spark):
     assert cells.count() == 2999
     row = conformance_profile(cells).first()
     assert row["n_distinct"] == 2999 and row["n_bad"] == 2999
+    assert {r["value"] for r in undeclared_codes(cells).collect()} == {str(i) for i in range(3000) if i != 1}
     detail = issue_table(cells, spec, dict(df.dtypes), ["k"]).first()["detail"]
-    assert detail.split(": ")[1].split(". Valid")[0] == ", ".join(str(i) for i in range(3000) if i != 1)
+    first = ", ".join(str(i) for i in range(51) if i != 1)
+    assert detail.split(": ")[1].split(". Valid")[0] == first + ", ... (2999 different codes, all in undeclared_codes)"
     assert coercion_profile(cells).count() == 0
 
 

@@ -6,7 +6,8 @@ from wavemeld.functions.encoding import fix_bytes, fix_double_encoding, fix_enco
 from wavemeld.operators.labels import apply_labels, codebook_counts, extract_attr, undeclared_labels
 from wavemeld.operators.merge import merge_datasets, widest
 from wavemeld.operators.summary import sum_up
-from wavemeld.operators.validate import conformance_report, missingness, validate_dataset, validate_structure
+from wavemeld.operators.profile import issue_table, profile_cells
+from wavemeld.operators.validate import conformance_codes, conformance_report, missingness, validate_dataset, validate_structure
 from wavemeld.spec import Spec
 
 SEX = Spec.from_dict({"kjonn": {"label": "Sex", "type": "integer", "value": {1: "Mann", 2: "Kvinne"}}})
@@ -129,10 +130,27 @@ def test_encoding(spark):
     assert df.select(fix_encode("b", "binary", more=True)).first()[0] == "Små Å"
 
 
-def test_all_undeclared_codes_are_named(spark):
+def test_undeclared_codes_are_rows(spark):
+    """The table of codes has them all; a report and a text name the first, and how many there are."""
     spec = Spec.from_dict({"k": {"type": "integer", "value": {1: "one"}}})
-    df = spark.range(2, 2502).withColumnRenamed("id", "k")
-    assert conformance_report(df, spec).first()["unexpected"] == [str(i) for i in range(2, 2502)]
-    with pytest.raises(ValueError) as error:
+    df = spark.range(2, 2502).withColumnRenamed("id", "k").union(spark.range(2, 4))
+    codes = {r["value"]: r["n"] for r in conformance_codes(df, spec).collect()}
+    assert codes == {str(i): 2 if i < 4 else 1 for i in range(2, 2502)}
+    row = conformance_report(df, spec).first()
+    assert row["unexpected"] == [str(i) for i in range(2, 52)] and (row["n_codes"], row["n_bad"]) == (2500, 2502)
+    done = validate_dataset(df, spec)
+    assert done.codes.count() == 2500 and not done.conformance.first()["passed"]
+    issue = issue_table(profile_cells(df, spec, ["k"]), spec, dict(df.dtypes), ["k"]).first()
+    assert issue["n_bad"] == 2502 and ", 51, ... (2500 different codes, all in undeclared_codes). Valid set: 1." in issue["detail"]
+
+
+def test_strict_labels_name_the_table_of_values(spark):
+    spec = Spec.from_dict({"k": {"type": "integer", "value": {1: "one"}}})
+    df = spark.range(2, 2502).withColumnRenamed("id", "k").union(spark.range(2, 4))
+    with pytest.raises(ValueError, match=r"'k' contains values .*: 10, 100, .*, \.\.\. \(2500 different values in 2502 cells") as error:
         apply_labels(df, spec)
-    assert all(f"{i}" in str(error.value).split(": ")[1].split(", ") for i in range(2, 2502))
+    table = spark.read.parquet(str(error.value).split("all in ")[1].rstrip(")"))
+    assert table.count() == 2500 and table.agg({"n": "sum"}).first()[0] == 2502
+    with pytest.raises(ValueError) as error:
+        apply_labels(df.filter("k < 4"), spec)
+    assert str(error.value) == "'k' contains values not defined in its value labels: 2, 3"

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wavemeld.functions.cells import equals_any, string_form
-from wavemeld.operators.profile import cell_issues
+from wavemeld.operators.profile import SHOWN_CODES, cell_issues
+from wavemeld.sources.scratch import scratch_dir
 from wavemeld.spec import Spec, Variable, load_config, small_table
 
 
@@ -57,7 +58,8 @@ def attach_metadata(df: DataFrame, spec: Spec) -> DataFrame:
 def apply_labels(df: DataFrame, config, strict: bool = True) -> DataFrame:
     """Label every variable of the map that the table has.
 
-    Strict: a value that is no declared code is an error.  Otherwise it becomes
+    Strict: a value that is no declared code is an error, which names the first
+    of them and, if there are many, the table that has all.  Otherwise it becomes
     NULL, with a warning.  All columns are checked by one job.
     """
     spec = load_config(config)
@@ -80,11 +82,21 @@ def _report_undeclared(found: DataFrame, spec: Spec, strict: bool) -> None:
         for r in found.groupBy("variable").agg(F.sum("n").alias("n")).collect():
             warnings.warn(f"Variable '{r['variable']}': {r['n']} value(s) converted to NA.", stacklevel=3)
         return
-    bad = {r["variable"]: r["values"] for r in found.groupBy("variable").agg(
-        F.sort_array(F.collect_list("value")).alias("values")).collect()}
+    bad = {r["variable"]: r for r in found.groupBy("variable").agg(
+        F.count(F.lit(1)).alias("values"), F.sum("n").alias("cells")).collect()}
     first = next((v.name for v in spec.variables if v.name in bad), None)
-    if first is not None:
-        raise ValueError(f"'{first}' contains values not defined in its value labels: " + ", ".join(bad[first]))
+    if first is None:
+        return
+    place, rest = None, ""
+    if bad[first]["values"] > SHOWN_CODES:
+        # The values stay in the cluster, as a table that the error names.
+        place = scratch_dir(found.sparkSession, "undeclared-labels")
+        found.write.parquet(place)
+        found = found.sparkSession.read.schema(found.schema).parquet(place)
+        rest = f", ... ({bad[first]['values']} different values in {bad[first]['cells']} cells, all in {place})"
+    shown = found.filter(F.col("variable") == first).orderBy("value").limit(SHOWN_CODES).collect()
+    raise ValueError(f"'{first}' contains values not defined in its value labels: "
+                     + ", ".join(r["value"] for r in shown) + rest)
 
 
 # -- codebook ---------------------------------------------------------------------

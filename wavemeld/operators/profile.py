@@ -17,6 +17,8 @@ from wavemeld.spec import TARGET_TYPES, Spec
 
 # Bad values shown in a coercion text, and the texts themselves.
 SHOWN_BAD_VALUES = 5
+#: Undeclared codes that a text or a report row names; the table of codes has all of them.
+SHOWN_CODES = 50
 
 ISSUE_SCHEMA = "variable string, issue_type string, detail string, n_bad bigint, bad_values array<string>"
 
@@ -131,8 +133,8 @@ def undecided_codes(spec: Spec, types: dict[str, str], columns: list[str]) -> bo
     return any(spec[c].values and (spec[c].type == "logical" or types[c] == "boolean") for c in columns)
 
 
-def conformance_profile(cells: DataFrame, by: tuple[str, ...] = (), undecided: bool = False) -> DataFrame:
-    """Per column: undeclared codes, ascending, and the number of cells with one.
+def undeclared_codes(cells: DataFrame, by: tuple[str, ...] = (), undecided: bool = False) -> DataFrame:
+    """``(*by, variable, value, n)``: every undeclared code, a row each, with the number of cells that hold it.
 
     ``undecided`` (see :func:`undecided_codes`) looks up which casts are applied.
     """
@@ -142,11 +144,13 @@ def conformance_profile(cells: DataFrame, by: tuple[str, ...] = (), undecided: b
         wanted = F.when(F.col("_kept"), F.lit("undeclared_kept")).otherwise(F.lit("undeclared_cast"))
         codes = (codes.join(lost, [*by, "variable"], "left")
                  .filter((F.col("kind") == "undeclared") | (F.col("kind") == wanted)).drop("_kept"))
-    codes = codes.drop("kind")
-    listed = F.sort_array(F.collect_list(F.struct(F.col("value").try_cast("bigint").alias("_number"), "value")))
-    found = codes.groupBy(*by, "variable").agg(
-        F.sum("n").alias("n_bad"), F.count("*").alias("n_distinct"),
-        F.transform(listed, lambda e: e["value"]).alias("bad_values"))
+    return codes.select(*by, "variable", "value", "n")
+
+
+def conformance_profile(cells: DataFrame, by: tuple[str, ...] = (), undecided: bool = False) -> DataFrame:
+    """Per column: the number of cells with an undeclared code, of different codes, and the first codes, ascending."""
+    order = [F.col("value").try_cast("bigint"), F.col("value")]
+    found = _first_values(undeclared_codes(cells, by, undecided), [*by, "variable"], SHOWN_CODES, order)
     return found.select(*by, "variable", "n_bad", "n_distinct", "bad_values")
 
 
@@ -171,7 +175,9 @@ def issue_table(cells: DataFrame, spec: Spec, types: dict[str, str], columns: li
                  F.col("n_bad").cast("string"), F.lit(" value(s) -> NA: "), F.array_join("bad_values", ", "),
                  F.lit(". Column kept as "), by_variable(lambda v, k: k), F.lit(".")).alias("detail"),
         "n_bad", "bad_values").select(*out)
-    listed = F.array_join("bad_values", ", ")
+    more = F.when(F.col("n_distinct") > SHOWN_CODES, F.concat(
+        F.lit(", ... ("), F.col("n_distinct").cast("string"), F.lit(" different codes, all in undeclared_codes)"))).otherwise(F.lit(""))
+    listed = F.concat(F.array_join("bad_values", ", "), more)
     values = conformance_profile(cells, by, undecided_codes(spec, types, columns)).select(
         *by, "variable", F.lit("unexpected_values").alias("issue_type"),
         F.concat(F.lit("Values not declared in YAML: "), listed, F.lit(". Valid set: "),

@@ -21,7 +21,7 @@ from wavemeld.operators.clean import (apply_casts, canonical_layout, dedupe_rows
                                       to_canonical)
 from wavemeld.operators.matching import MatchResult, match_columns
 from wavemeld.operators.merge import merge_datasets
-from wavemeld.operators.profile import issue_table, lost_counts, profile_cells
+from wavemeld.operators.profile import issue_table, lost_counts, profile_cells, undecided_codes, undeclared_codes
 from wavemeld.operators.validate import conformance_report, missingness
 from wavemeld.plans.audit import MasterSummary, export_match_log, summarise_master_log
 from wavemeld.sources.manifest import (Entry, FileGroup, group_files, malformed_rows, manifest_table, read_manifest,
@@ -47,6 +47,7 @@ class Harmonised:
     parts: list[CleanPart]
     issues: DataFrame
     cells: DataFrame
+    codes: DataFrame
     match: MatchResult
     years: DataFrame
     spec: Spec
@@ -64,13 +65,14 @@ class Harmonised:
         return merge_datasets(parts)
 
     def validation(self) -> dict[str, tuple[DataFrame, DataFrame]]:
-        """Per plan: missing cells per dataset and column, and the undeclared codes."""
+        """Per plan: missing cells per dataset and column, and a report on undeclared codes; ``codes`` has them all."""
         return {", ".join(p.datasets): (missingness(p.data, ("dataset",)),
                                         conformance_report(p.data, self.spec, by=("dataset",))) for p in self.parts}
 
 
 def write_validation(done: Harmonised, log_dir: str) -> None:
-    """The reports on all cleaned datasets: missing cells and undeclared codes, a table each."""
+    """The reports on all cleaned datasets: missing cells, undeclared codes by column, and each such code."""
+    write_table(done.codes, f"{log_dir}/undeclared_codes")
     reports = list(done.validation().values())
     if not reports:
         return
@@ -129,8 +131,9 @@ def match_groups(spark: SparkSession, groups: list[FileGroup], spec: Spec) -> tu
 
 def clean_groups(spark: SparkSession, groups: list[FileGroup], renames: list[dict[str, str]], spec: Spec,
                  years: DataFrame, apply_missing: bool, dedupe: bool = True, year_counts_as_value: bool = False,
-                 check_strings: bool = False, **options) -> tuple[list[CleanPart], DataFrame, DataFrame]:
-    """Profile and clean; returns parts, issues and cell histogram."""
+                 check_strings: bool = False,
+                 **options) -> tuple[list[CleanPart], DataFrame, DataFrame, DataFrame]:
+    """Profile and clean; returns parts, issues, cell histogram and undeclared codes."""
     by = ("dataset",)
     ready: list[tuple[DataFrame, list[str], dict[str, str]]] = []
     for g, names in zip(groups, renames):
@@ -139,6 +142,8 @@ def clean_groups(spark: SparkSession, groups: list[FileGroup], renames: list[dic
         ready.append((df, columns, dict(df.dtypes)))
     profiles = [profile_cells(df, spec, columns, by, check_strings=check_strings) for df, columns, _ in ready]
     cells = reduce(DataFrame.unionByName, profiles)
+    codes = reduce(DataFrame.unionByName, [undeclared_codes(p, by, undecided_codes(spec, types, columns))
+                                           for p, (_, columns, types) in zip(profiles, ready)])
     kept: dict[str, set[str]] = {}
     lost_cells = [lost_counts(df, spec, columns, by) for df, columns, _ in ready]
     for r in reduce(DataFrame.unionByName, lost_cells).collect():
@@ -168,7 +173,7 @@ def clean_groups(spark: SparkSession, groups: list[FileGroup], renames: list[dic
                 if dedupe:
                     df = dedupe_rows(df)
                 parts.append(CleanPart(tuple(e.dataset for e in sub.entries), df))
-    return parts, issues, cells
+    return parts, issues, cells, codes
 
 
 def _ready(df: DataFrame, group: FileGroup, names: dict[str, str], spec: Spec, apply_missing: bool) -> DataFrame:
@@ -210,15 +215,15 @@ def run_pipeline(spark: SparkSession, manifest, config, log_dir: str | None = No
     groups = group_files(spark, entries, sep, **options)
     years = manifest_table(spark, entries).select("dataset", "year")
     match, renames = match_groups(spark, groups, spec)
-    parts, issues, cells = clean_groups(spark, groups, renames, spec, years, apply_missing, dedupe,
-                                        year_counts_as_value, check_strings, **options)
+    parts, issues, cells, codes = clean_groups(spark, groups, renames, spec, years, apply_missing, dedupe,
+                                               year_counts_as_value, check_strings, **options)
     issues = issues.unionByName(file_issues(spark, groups, renames, spec).select(*issues.columns))
     malformed = malformed_rows(spark, groups, **options)
     summary = None
     if log_dir is not None:
         export_match_log(match, log_dir, issues, years, logged_at=logged_at)
         summary = summarise_master_log(spark, log_dir)
-    out = Harmonised(parts, issues, cells, match, years, spec, malformed, summary)
+    out = Harmonised(parts, issues, cells, codes, match, years, spec, malformed, summary)
     if log_dir is not None:
         write_validation(out, log_dir)
         if any(g.malformed for g in groups):

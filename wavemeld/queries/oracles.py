@@ -326,7 +326,20 @@ SELECT CAST(status AS INTEGER) AS status, amount, priority, NULL AS line, NULL A
 UNION ALL SELECT CAST(status AS INTEGER), amount, NULL, line, CAST(trunc(quantity) AS INTEGER), discount <> 0 FROM i"""
 SKIP = """SELECT 'shipped' AS variable, 'coercion_skip' AS issue_type,
   'Unknown target type ''datestamp''; column left as-is.' AS detail, 0 AS n_bad, '' AS bad_values"""
-ORACLES["coercion_issues"] = f"{SKIP} FROM lineitem LIMIT 1"
+# Cells of line items that the cast to the map's type would lose.
+ITEM_LOSS = """SELECT variable, 'coercion_failure' AS issue_type, 'Target: ' || target || '. ' || count(*) || ' value(s) -> NA: '
+    || array_to_string(list_sort(list(DISTINCT value))[:5], ', ') || CASE WHEN count(DISTINCT value) > 5 THEN ', ...' ELSE '' END
+    || '. Column kept as ' || kept || '.' AS detail, count(*) AS n_bad,
+    array_to_string(list_sort(list(DISTINCT value))[:5], '|') || CASE WHEN count(DISTINCT value) > 5 THEN '|...' ELSE '' END
+      AS bad_values
+  FROM (SELECT 'status' AS variable, 'integer' AS target, 'character' AS kept, status AS value FROM i
+          WHERE status IS NOT NULL AND try_cast(status AS INTEGER) IS NULL
+        UNION ALL SELECT 'line', 'integer', 'integer', CAST(line AS VARCHAR) FROM i
+          WHERE line IS NOT NULL AND try_cast(line AS INTEGER) IS NULL
+        UNION ALL SELECT 'quantity', 'integer', 'numeric', CAST(quantity AS VARCHAR) FROM i
+          WHERE quantity IS NOT NULL AND try_cast(trunc(quantity) AS INTEGER) IS NULL)
+  GROUP BY variable, target, kept"""
+ORACLES["coercion_issues"] = f"WITH {ITEMS} {ITEM_LOSS} UNION ALL ({SKIP} FROM lineitem LIMIT 1)"
 UNDECLARED = """undeclared AS (
   SELECT 'orders' AS wave, 'status' AS variable, CAST(status AS INTEGER) AS value FROM o WHERE status NOT IN ('1', '2')
   UNION ALL SELECT 'orders', 'priority', try_cast(priority AS INTEGER) FROM o
@@ -398,6 +411,22 @@ ORACLES["conformance_report"] = f"""WITH {ORDERS}, {ITEMS}, {UNDECLARED}, found
   FROM undeclared WHERE wave = 'lineitem' GROUP BY variable)
 SELECT v.variable, v.valid, coalesce(f.unexpected, '') AS unexpected, coalesce(f.n, 0) AS n_bad, f.n IS NULL AS passed
 FROM (VALUES ('status', '1, 2'), ('line', '1, 2, 3, 4, 5')) v(variable, valid) LEFT JOIN found f USING (variable)"""
+ORACLES["validation_full"] = f"""WITH {ORDERS}, {ITEMS}, {UNDECLARED},
+found AS (SELECT variable, CAST(value AS VARCHAR) AS value, count(*) AS n FROM undeclared WHERE wave = 'lineitem' GROUP BY ALL),
+per AS (SELECT variable, count(*) AS codes, sum(n) AS cells, string_agg(value, ', ' ORDER BY value) AS listed FROM found
+        GROUP BY variable),
+m AS (SELECT count(*) AS n, count(*) - count(status) AS status, count(*) - count(line) AS line,
+        count(*) - count(amount) AS amount, count(*) - count(quantity) AS quantity, count(*) - count(discount) AS discount,
+        (SELECT count(*) - count(l_shipdate) FROM lineitem) AS shipped FROM i),
+p AS (SELECT variable, round_even(100.0::DOUBLE * missing / n, 1) AS pct
+      FROM (UNPIVOT m ON status, line, amount, quantity, discount, shipped INTO NAME variable VALUE missing))
+SELECT 'structure' AS "check", 'line, quantity, amount, discount, status, shipped' AS variable,
+  CAST(n AS VARCHAR) AS found, NULL AS value FROM m
+UNION ALL SELECT 'missing', variable, pct || ' ' || CAST(pct > 50 AS VARCHAR), NULL FROM p
+UNION ALL SELECT 'conformance', v.variable, coalesce(per.codes, 0) || ' ' || coalesce(per.cells, 0) || ' '
+  || CAST(per.codes IS NULL AS VARCHAR), coalesce(per.listed, '')
+FROM (VALUES ('status'), ('line')) v(variable) LEFT JOIN per USING (variable)
+UNION ALL SELECT 'code', variable, CAST(n AS VARCHAR), value FROM found"""
 MAX_QUANTITY = max(int(c) for c in LABELLED["l_quantity"].codes)
 ORACLES["labels_invalid"] = f"""SELECT 'l_linenumber' AS variable, CAST(l_linenumber AS VARCHAR) AS value, count(*) AS n
 FROM lineitem WHERE l_linenumber NOT BETWEEN 1 AND 5 GROUP BY 2
@@ -408,6 +437,18 @@ ORACLES["labels_lenient"] = f"""SELECT l_orderkey, l_partkey,
   CASE WHEN l_quantity BETWEEN 1 AND {MAX_QUANTITY} AND l_quantity = trunc(l_quantity) THEN CAST(l_quantity AS INTEGER) END
     AS l_quantity, l_tax FROM lineitem"""
 ORACLES["labels_strict"] = "FROM labels"
+ORACLES["labels_strict_error"] = """SELECT '''l_linenumber'' contains values not defined in its value labels: '
+  || string_agg(DISTINCT CAST(l_linenumber AS VARCHAR), ', ' ORDER BY CAST(l_linenumber AS VARCHAR)) AS message
+FROM lineitem WHERE l_linenumber NOT BETWEEN 1 AND 5"""
+ORACLES["label_attributes"] = f"""SELECT column_name AS name,
+  CASE column_name WHEN 'l_linenumber' THEN 'Line number' WHEN 'l_quantity' THEN 'Quantity' WHEN 'l_tax' THEN 'Tax' END AS label,
+  CASE column_name
+    WHEN 'l_linenumber' THEN (SELECT string_agg(i || ' Line ' || i, '<br>' ORDER BY i) FROM range(1, 6) r(i))
+    WHEN 'l_quantity' THEN (SELECT string_agg(i || ' ' || i || ' pieces', '<br>' ORDER BY i) FROM range(1, {MAX_QUANTITY + 1}) r(i))
+    ELSE '' END AS value_labels
+FROM (DESCRIBE lineitem)"""
+ORACLES["load_map"] = f"""WITH {DEFINITIONS}, {VALUES}
+SELECT canonical, CAST(ord AS INTEGER) AS ord, code, label FROM value_rows"""
 ORACLES["codebook"] = f"""WITH {DEFINITIONS}, {VALUES}
 SELECT canonical, string_agg(code || ' ' || label, '<br>' ORDER BY ord) AS value_labels FROM value_rows GROUP BY canonical"""
 ORACLES["codebook_counts"] = f"""SELECT 'l_linenumber' AS canonical, CAST(r.i - 1 AS INTEGER) AS ord, CAST(r.i AS VARCHAR) AS code,
@@ -435,6 +476,9 @@ SELECT dataset, 'priority' AS variable, 'coercion_failure' AS issue_type, 'Targe
   '4-NOT SPECIFIED' AS bad_values FROM y WHERE priority = '4-NOT SPECIFIED' GROUP BY dataset
 UNION ALL SELECT dataset, 'status', 'unexpected_values', 'Values not declared in YAML: 3. Valid set: 1, 2.', count(*), '3'
 FROM y WHERE status = 3 GROUP BY dataset"""
+ORACLES["harmonise_codes"] = f"""WITH {YEARLY}
+SELECT dataset, 'status' AS variable, CAST(status AS VARCHAR) AS value, count(*) AS n FROM y WHERE status NOT IN (1, 2)
+GROUP BY dataset, status"""
 ORACLES["harmonise_audit"] = f"""WITH {YEARLY}, d AS (SELECT DISTINCT dataset, year FROM y),
 c(raw_name, canonical, method, confidence, needs_review, action, ordinal) AS (VALUES
   ('o_orderkey', NULL, 'unmatched', 'none', true, 'DROPPED — not in canonical set', 0),
@@ -454,3 +498,7 @@ SELECT DISTINCT year, status, amount, priority, replace(replace(dataset, '=', '_
 ORACLES["match_log_files"] = ORACLES["harmonise_audit"].replace(", CAST(c.ordinal AS BIGINT) AS ordinal", "")
 ORACLES["conformance_many_codes"] = """SELECT DISTINCT 'key' AS variable, CAST(o_orderkey AS VARCHAR) AS code
 FROM orders WHERE o_orderkey <> 1"""
+ORACLES["conformance_first_codes"] = """WITH c AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_orderkey <> 1)
+SELECT 'key' AS variable, '1' AS valid, (SELECT string_agg(k, ',' ORDER BY k) FROM (FROM c ORDER BY k LIMIT 50)) AS unexpected,
+  (SELECT count(*) FROM c) AS n_codes, (SELECT count(*) FROM lineitem WHERE l_orderkey <> 1) AS n_bad,
+  (SELECT count(*) FROM c) = 0 AS passed"""

@@ -21,8 +21,8 @@ from wavemeld.sources.manifest import group_files, manifest_table, named, read_m
 from wavemeld.sources.readers import read_raw, spread
 from wavemeld.sources.scratch import scratch_dir
 from wavemeld.sources.sinks import PER_DATASET, TEXT, write_datasets, write_table
-from wavemeld.spec import (Spec, alias_table, keyword_table, label_table, missing_table, recode_table, type_table,
-                           value_table)
+from wavemeld.spec import (Spec, alias_table, keyword_table, label_table, load_config, missing_table, recode_table,
+                           type_table, value_table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -578,7 +578,27 @@ def missingness(spark, sf):
 @query
 def conformance_report(spark, sf):
     df = wave(spark, sf, "lineitem").drop("shipped")
-    return validate.conformance_report(df, WAVES).withColumn("unexpected", F.array_join("unexpected", ", "))
+    report = validate.conformance_report(df, WAVES).drop("n_codes")
+    return report.withColumn("unexpected", F.array_join("unexpected", ", "))
+
+
+@query
+def validation_full(spark, sf):
+    """All checks of a wave as rows of text: its size, missing cells, undeclared codes and the report on them."""
+    df = wave(spark, sf, "lineitem")
+    done = validate.validate_dataset(df, WAVES)
+    nothing = F.lit(None).cast("string")
+    parts = [done.structure.select(F.lit("structure").alias("check"), F.col("columns").alias("variable"),
+                                   F.col("n_rows").cast("string").alias("found"), nothing.alias("value")),
+             done.missing.select(F.lit("missing"), "variable", F.concat_ws(" ", F.col("pct_missing").cast("string"), "high"),
+                                 nothing),
+             done.conformance.select(F.lit("conformance"), "variable",
+                                     F.concat_ws(" ", "n_codes", "n_bad", "passed"), F.array_join("unexpected", ", ")),
+             done.codes.select(F.lit("code"), "variable", F.col("n").cast("string"), "value")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
 # -- audit --------------------------------------------------------------------------
@@ -707,6 +727,36 @@ def labels_strict(spark, sf):
     return labels.apply_labels(table(spark, sf, "labels"), marks)
 
 
+@query
+def labels_strict_error(spark, sf):
+    """What the strict check says of line items, which hold undeclared line numbers and quantities."""
+    try:
+        labels.apply_labels(table(spark, sf, "lineitem"), LABELLED)
+        said = None
+    except ValueError as error:
+        said = str(error)
+    return spark.createDataFrame([(said,)], "message string")
+
+
+@query
+def label_attributes(spark, sf):
+    """Variable and value labels that line items bear after labelling, column by column; a variable they lack is skipped."""
+    spec = Spec.from_dict({**{v.name: {"type": v.type, "label": v.label, "value": dict(v.values) if v.values else None}
+                              for v in LABELLED.variables}, "absent": {"type": "integer", "label": "Not there"}})
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return labels.make_codebook(labels.apply_labels(table(spark, sf, "lineitem"), spec, strict=False))
+
+
+@query
+def load_map(spark, sf):
+    """The variable map of all parts, loaded from its table: the declared codes as the loaded map holds them."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        spec = load_config(definitions(spark, sf))
+    return spec.value_frame(spark)
+
+
 @query
 def codebook(spark, sf):
     """Codebook text per part brand, from the value table of the definitions."""
@@ -801,4 +851,18 @@ def conformance_many_codes(spark, sf):
     """Every order key but one is undeclared: a row for each."""
     spec = Spec.from_dict({"key": {"type": "integer", "value": {1: "one"}}})
     keys = table(spark, sf, "orders").select(F.col("o_orderkey").cast("int").alias("key"))
-    return validate.conformance_report(keys, spec).select("variable", F.explode("unexpected").alias("code"))
+    return validate.conformance_codes(keys, spec).select("variable", F.col("value").alias("code"))
+
+
+@query
+def conformance_first_codes(spark, sf):
+    """The report on the same column: its first codes, and how many codes and cells there are."""
+    spec = Spec.from_dict({"key": {"type": "integer", "value": {1: "one"}}})
+    keys = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("int").alias("key"))
+    return validate.conformance_report(keys, spec).withColumn("unexpected", F.array_join("unexpected", ","))
+
+
+@query
+def harmonise_codes(spark, sf):
+    """Every undeclared code of every wave, from the whole job."""
+    return harmonised(spark, sf).codes
