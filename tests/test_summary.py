@@ -126,6 +126,14 @@ def test_encoding(spark):
     df = spark.createDataFrame([(bytearray(b) if b is not None else None,) for b in raw], "b binary")
     assert [r[0] for r in df.select(fix_bytes("b")).collect()] == [
         "Små trøndersk kræmmerhus", "ÅÆØ", "min", "Små", "ř", "Oslo", None]
+    mixed = ["Små ř 漢 \U0001f600 ".encode() + b"Sm\xe5 m\xedn\xed\n" + "í æ".encode(), b"\xc5\xc6" + "Å".encode() + b"\xe5",
+             b"\xff\xfe\x80", b"\xc0\xaf", b"\xed\xa0\x80", b"\xf4\x90\x80\x80", b"\xe6\xbc"]
+    df = spark.createDataFrame([(bytearray(b),) for b in mixed], "b binary")
+    assert [r[0] for r in df.select(fix_bytes("b")).collect()] == [
+        "Små ř 漢 \U0001f600 Små mini\ní æ", "ÅÆÅå", "ÿþ\x80", "À¯", "i\xa0\x80", "ô\x90\x80\x80", "æ¼"]
+    long = ("Дом ř x\n" * 40_000).encode() + b"\xe5"
+    df = spark.createDataFrame([(bytearray(long),)], "b binary")
+    assert df.select(fix_bytes("b")).first()[0] == "Дом ř x\n" * 40_000 + "å"
     df = spark.createDataFrame([(bytearray("SmÃ¥ Ã…".encode()),)], "b binary")
     assert df.select(fix_encode("b", "binary", more=True)).first()[0] == "Små Å"
 

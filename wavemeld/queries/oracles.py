@@ -459,10 +459,15 @@ FROM range(1, {MAX_QUANTITY + 1}) r(i) LEFT JOIN lineitem ON l_quantity = r.i GR
 # -- text -----------------------------------------------------------------------------------
 
 ORACLES["safe_labels"] = "SELECT page_id, regexp_replace(url, '[^A-Za-z0-9_-]', '_', 'g') AS safe FROM pages"
-PLAIN = "regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g')"
-ORACLES["fix_encode_double"] = f"SELECT doc_id, translate({PLAIN}, 'aeoE', 'åæøÆ') AS text FROM documents"
-ORACLES["fix_encode_bytes"] = f"""SELECT doc_id, CASE WHEN lang = 'en' THEN translate({PLAIN}, 'aeoEi', 'åæøÆí')
-  ELSE translate({PLAIN}, 'aeoE', 'åæøÆ') END AS text FROM documents"""
+ORACLES["fix_encode_double"] = "SELECT doc_id, translate(text, 'aeoE', 'åæøÆ') AS text FROM documents"
+# A part in Latin-1 loses the accent of í, and has it kept where all of it was written as UTF-8.
+ORACLES["fix_encode_bytes"] = """WITH d AS (
+  SELECT doc_id, lang, translate(text, 'aeoEi', 'åæøÆí') AS t FROM documents),
+h AS (SELECT *, substr(t, 1, length(t) // 2) AS a, substr(t, length(t) // 2 + 1) AS b FROM d),
+latin AS (SELECT *, NOT regexp_matches(t, '[^\\x00-\\x{FF}]') AS whole, NOT regexp_matches(a, '[^\\x00-\\x{FF}]') AS part FROM h)
+SELECT doc_id, CASE WHEN lang = 'en' THEN t
+  WHEN doc_id % 2 = 0 THEN CASE WHEN whole THEN replace(t, 'í', 'i') ELSE t END
+  ELSE CASE WHEN part THEN replace(a, 'í', 'i') ELSE a END || b END AS text FROM latin"""
 
 # -- whole job ------------------------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wavemeld.functions import cells as C
-from wavemeld.functions.encoding import fix_bytes, fix_double_encoding
+from wavemeld.functions.encoding import DOUBLE_ENCODED, fix_bytes, fix_double_encoding
 from wavemeld.functions.names import normalise, safe_label
 from wavemeld.operators import clean, labels, matching, profile, summary, validate
 from wavemeld.operators.catalogue import unique_names
@@ -778,22 +778,27 @@ def safe_labels(spark, sf):
 
 @query
 def fix_encode_double(spark, sf):
-    """Nordic letters put into the texts, encoded twice, repaired."""
-    nordic = F.translate("text", "aeoE", "åæøÆ")
-    broken = F.replace(F.decode(F.encode(F.replace(nordic, F.lit("Æ"), F.lit("\x01")), "utf-8"), "ISO-8859-1"),
-                       F.lit("\x01"), F.lit("Ã†"))
-    clean_text = F.regexp_replace("text", "[^\\x00-\\x7F]", "?")
-    docs = table(spark, sf, "documents").select("doc_id", clean_text.alias("text"))
-    return docs.select("doc_id", fix_double_encoding(broken).alias("text"))
+    """Nordic letters put into the texts, encoded twice, repaired; the texts' own letters stay as they are."""
+    broken = F.translate("text", "aeoE", "åæøÆ")
+    for wrong, right in DOUBLE_ENCODED:
+        broken = F.replace(broken, F.lit(right), F.lit(wrong))
+    return table(spark, sf, "documents").select("doc_id", fix_double_encoding(broken).alias("text"))
 
 
 @query
 def fix_encode_bytes(spark, sf):
-    """The same letters as Latin-1 bytes in some documents and UTF-8 in the others."""
-    nordic = F.translate(F.regexp_replace("text", "[^\\x00-\\x7F]", "?"), "aeoEi", "åæøÆí")
-    docs = table(spark, sf, "documents").select("doc_id", F.when(
-        F.col("lang") == "en", F.encode(nordic, "utf-8")).otherwise(F.encode(nordic, "ISO-8859-1")).alias("raw"))
-    return docs.select("doc_id", fix_bytes("raw").alias("text"))
+    """The same letters, and the texts' own, as UTF-8, as Latin-1, or as one and then the other in one cell."""
+    nordic = F.translate("text", "aeoEi", "åæøÆí")
+    half = F.floor(F.length(nordic) / 2).cast("int")
+    first, last = F.substring(nordic, F.lit(1), half), F.substring(nordic, half + 1, F.length(nordic))
+
+    def latin(text):
+        """Latin-1 where it has all letters."""
+        return F.when(text.rlike("[^\\x00-\\xFF]"), F.encode(text, "utf-8")).otherwise(F.encode(text, "ISO-8859-1"))
+
+    raw = (F.when(F.col("lang") == "en", F.encode(nordic, "utf-8")).when(F.col("doc_id") % 2 == 0, latin(nordic))
+           .otherwise(F.concat(latin(first), F.encode(last, "utf-8"))))
+    return table(spark, sf, "documents").select("doc_id", fix_bytes(raw).alias("text"))
 
 
 # -- whole job ----------------------------------------------------------------------
