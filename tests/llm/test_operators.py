@@ -48,8 +48,9 @@ def documents(spark):
 
 @pytest.mark.parametrize("length,token", [(400, 64), (40, 8)])
 def test_repeats_as_by_brute_force(odd, length, token):
-    got = rows(repeats.remove_repeats(odd, length=length, token=token))
-    assert got == sorted(brute.repeats(ODD, length), key=repr)
+    want = sorted(brute.repeats(ODD, length), key=repr)
+    assert rows(repeats.remove_repeats(odd, length=length, token=token)) == want
+    assert rows(repeats.remove_repeats(odd, length=length, token=token, sorted_blocks=1)) == want
 
 
 def test_repeats_over_a_table(documents):
@@ -57,8 +58,8 @@ def test_repeats_over_a_table(documents):
     assert rows(repeats.remove_repeats(table)) == sorted(brute.repeats(plain, 400), key=repr)
 
 
-def test_repeats_across_slices_and_pieces_of_long_texts(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "SLICE_BLOCKS", 2)
+@pytest.mark.parametrize("sorted_blocks", [2, 20, repeats.SORTED_BLOCKS])
+def test_repeats_by_sorting_and_by_counting_in_pieces_of_long_texts(spark, monkeypatch, sorted_blocks):
     monkeypatch.setattr(repeats, "CHUNK_BYTES", 300)
     rng = np.random.default_rng(3)
     common = "".join(rng.choice(list("abc"), 30))
@@ -66,7 +67,8 @@ def test_repeats_across_slices_and_pieces_of_long_texts(spark, monkeypatch):
              for i in range(40)]
     plain += [(99, "ab" * 600), (100, plain[3][1][50:])]
     df = spark.createDataFrame(plain, "doc_id long, text string")
-    assert rows(repeats.remove_repeats(df, length=34, token=12)) == sorted(brute.repeats(plain, 34), key=repr)
+    got = rows(repeats.remove_repeats(df, length=34, token=12, sorted_blocks=sorted_blocks))
+    assert got == sorted(brute.repeats(plain, 34), key=repr)
 
 
 # -- 2: shards ------------------------------------------------------------------------

@@ -7,9 +7,11 @@ strings around it (a block).  Anchors whose token occurs once are done.  The
 blocks of the others are range-partitioned by sampled splitters on their
 leading token; each bucket sorts the suffixes that its blocks begin by multikey
 quicksort, and neighbours that agree in 400 bytes are repeats.  Equal tokens
-have equal keys, so no boundary of the splitters can part two equal strings; a
-token with very many different blocks is cut into slices of its anchor's place,
-which never hold equal strings of another slice either.
+have equal keys, so no boundary of the splitters can part two equal strings.  A
+token with more different blocks than a task should sort (a phrase of a large
+part of all texts, in different surroundings) is not sorted in one place: the
+strings of its blocks are named by a digest and counted over all tasks, and the
+blocks ask for the names that occur more than once.
 """
 
 from __future__ import annotations
@@ -26,9 +28,8 @@ from wavemeld.llm.common import settle
 
 LENGTH = 400
 TOKEN = 64
-#: Different blocks of a token in one slice.
-SLICE_BLOCKS = 4096
-SLICES = 64
+#: Different blocks of a token that are sorted in one task; those of a token with more are counted.
+SORTED_BLOCKS = 16_384
 CHUNK_BYTES = 1_000_000
 SORT_BYTES = 2_000_000
 _PLACE_BITS = np.uint64(21)
@@ -172,28 +173,28 @@ def _sorted_buckets(length: int):
     names = ["token", "block", "from", "to"]
 
     def settle_part(rows: list[tuple]) -> pa.RecordBatch:
-        data = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
-        sizes = np.array([len(r[4]) for r in rows])
+        data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+        sizes = np.array([len(r[3]) for r in rows])
         keys = {}
-        key = np.array([keys.setdefault((r[0], r[1]), len(keys)) for r in rows])
+        key = np.array([keys.setdefault(r[0], len(keys)) for r in rows])
         count = sizes - length + 1
-        place = np.array([r[3] for r in rows])
+        place = np.array([r[2] for r in rows])
         flags = _repeated(data, np.cumsum(sizes) - sizes, count, place, key, length)
         out = []
         for row, part in zip(rows, np.split(flags, np.cumsum(count)[:-1])):
-            out.extend((row[0], row[2], row[5] + a, row[5] + b) for a, b in _runs(part))
+            out.extend((row[0], row[1], a, b) for a, b in _runs(part))
         return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(4)], names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("token", "slice", "block", "place", "bytes", "skip"))):
-                if row[:2] != last and size >= SORT_BYTES:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("token", "block", "place", "bytes"))):
+                if row[0] != last and size >= SORT_BYTES:
                     yield settle_part(rows)
                     rows, size = [], 0
-                last = row[:2]
+                last = row[0]
                 rows.append(row)
-                size += len(row[4])
+                size += len(row[3])
         if rows:
             yield settle_part(rows)
 
@@ -231,8 +232,34 @@ def _body(text_col: str) -> Column:
     return F.coalesce(F.col(text_col), F.lit("")).cast("binary")
 
 
+def _with_bytes(distinct: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """(token, block, place, strings, bytes): each block once, with its text."""
+    wanted = distinct.select("token", "block", "at.*")
+    part = F.substring(F.col("body"), (F.col("first") + 1).cast("int"), (F.col("strings") + length - 1).cast("int"))
+    shown = texts.select("key", "body").join(wanted, F.col("key") == F.col("text_key"))
+    # Several rows may have the block's text.
+    return (shown.select("token", "block", "place", "strings", part.alias("bytes"))
+            .groupBy("token", "block", "place", "strings").agg(F.first("bytes").alias("bytes")))
+
+
+def _counted_strings(blocks: DataFrame, length: int) -> DataFrame:
+    """(token, block, from, to): the strings of blocks that are in another block of their token too, by counting names.
+
+    Counts are combined before the shuffle.  A block holds no string twice, as
+    its strings have their anchor at different places.
+    """
+    at = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("strings") - 1))
+    named = settle(blocks.withColumn("from", at).select(
+        "token", "block", "from", F.unhex(F.sha2(F.substring(
+            F.col("bytes"), (F.col("from") + 1).cast("int"), F.lit(length)), 256)).alias("name")), "named")
+    again = (named.groupBy("token", "name").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+             .select(F.col("token").alias("_token"), F.col("name").alias("_name")))
+    return (named.join(again, (F.col("token") == F.col("_token")) & (F.col("name") == F.col("_name")), "left_semi")
+            .select("token", "block", "from", (F.col("from") + 1).alias("to")))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   token: int = TOKEN) -> DataFrame:
+                   token: int = TOKEN, sorted_blocks: int = SORTED_BLOCKS) -> DataFrame:
     """Strike out every byte that a string of ``length`` bytes covers which also starts elsewhere.
 
     Returns, for each row, ``id_col``, n_bytes, n_removed, n_spans (maximal
@@ -247,33 +274,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = _find_blocks(keyed.filter(F.octet_length("body") >= length), length, token)
     often = (found.groupBy("token").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
              .select(F.col("token").alias("often")))
-    # Rows of equal text have the same blocks; from here on they count as two at most.
-    blocks = settle(found.join(often, F.col("token") == F.col("often"), "left_semi")
+    # Rows of equal text have the same blocks; from here on they count as two at most.  Dealing them out by text keeps
+    # a frequent token from staying in the task that has joined it.
+    blocks = settle(found.join(often, F.col("token") == F.col("often"), "left_semi").repartition("text_key")
                     .groupBy("text_key", "first", "strings", "place", "token", "block")
                     .agg(F.count(F.lit(1)).alias("rows")), "blocks")
     distinct = settle(blocks.groupBy("token", "block").agg(
         F.sum("rows").alias("times"), F.min(F.struct("text_key", "first", "strings", "place")).alias("at")), "distinct")
-    kinds = distinct.groupBy("token").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    apart = (distinct.join(kinds, "token")
-             .select("token", "block", "at.*", F.least(F.ceil(F.col("kinds") / F.lit(SLICE_BLOCKS)), F.lit(SLICES))
-                     .cast("int").alias("slices")))
-    # A block's strings have their anchor at place, place - 1, ...; a slice holds a range of places.
-    wide = F.ceil(F.lit(length - token + 1) / F.col("slices"))
-    low, high = F.floor((F.col("place") - F.col("strings") + 1) / wide), F.floor(F.col("place") / wide)
-    sliced = (apart.withColumn("wide", wide).withColumn("slice", F.explode(F.sequence(low, high)))
-              .withColumn("skip", F.greatest(F.lit(0), F.col("place") - (F.col("slice") + 1) * F.col("wide") + 1))
-              .withColumn("until", F.least(F.col("strings"), F.col("place") - F.col("slice") * F.col("wide") + 1)))
+    kinds = settle(distinct.groupBy("token").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "kinds")
     texts = keyed.select(F.col("text_key").alias("key"), "body", "id")
-    bytes_ = F.substring(F.col("body"), (F.col("first") + F.col("skip") + 1).cast("int"),
-                         (F.col("until") - F.col("skip") + length - 1).cast("int"))
-    shown = (texts.select("key", "body").join(sliced, F.col("key") == F.col("text_key"))
-             .select("token", "slice", "block", (F.col("place") - F.col("skip")).alias("place"), "skip",
-                     bytes_.alias("bytes")))
-    once = shown.groupBy("token", "slice", "block", "place", "skip").agg(F.first("bytes").alias("bytes"))
-    bucketed = (once.withColumn("slice", F.col("slice").cast("long")).withColumn("skip", F.col("skip").cast("long"))
-                .withColumn("place", F.col("place").cast("long"))
-                .repartitionByRange("token", "slice").sortWithinPartitions("token", "slice"))
+    few = kinds.filter(F.col("kinds") <= sorted_blocks)
+    bucketed = (_with_bytes(distinct.join(few, "token", "left_semi"), texts, length)
+                .repartitionByRange("token").sortWithinPartitions("token"))
     matched = bucketed.mapInArrow(_sorted_buckets(length), "token long, block long, from long, to long")
+    many = kinds.filter(F.col("kinds") > sorted_blocks)
+    if not many.isEmpty():
+        matched = matched.unionAll(_counted_strings(
+            _with_bytes(distinct.join(many, "token", "left_semi"), texts, length), length))
     whole = distinct.filter("times > 1").select("token", "block", F.lit(0).cast("long").alias("from"),
                                                 F.col("at.strings").alias("to"))
     runs = settle(matched.unionAll(whole), "runs")
