@@ -272,8 +272,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.col(id_col).alias("id"), _body(text_col).alias("body"))
     keyed = base.withColumn("text_key", F.unhex(F.md5("body")))
     found = _find_blocks(keyed.filter(F.octet_length("body") >= length), length, token)
-    often = (found.groupBy("token").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-             .select(F.col("token").alias("often")))
+    # Written, so that the join below deals out both sides anew and may split a frequent token.
+    often = settle(found.groupBy("token").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+                   .select(F.col("token").alias("often")), "often")
     # Rows of equal text have the same blocks; from here on they count as two at most.  Dealing them out by text keeps
     # a frequent token from staying in the task that has joined it.
     blocks = settle(found.join(often, F.col("token") == F.col("often"), "left_semi").repartition("text_key")
