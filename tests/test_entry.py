@@ -16,6 +16,8 @@ SAMPLE = ["scan_csv", "scan_csv_text", "scan_orc", "write_merged", "write_datase
           "harmonise_audit", "harmonise_issues", "manifest_scan", "spec_alias_table", "spec_keyword_pattern", "spec_value_table",
           "unique_column_names", "match_fuzzy", "match_columns", "match_report_lines", "recode_values", "coerce_integer",
           "coercion_counts", "value_conformance", "clean_dataset", "merge_mixed_types", "sum_up_category",
+          "manifest_separators", "malformed_rows", "malformed_issues", "ragged_merged", "validation_full", "harmonise_codes",
+          "conformance_first_codes", "labels_strict_error", "label_attributes", "load_map", "fix_encode_double",
           "audit_master_files", "report_per_dataset", "labels_lenient", "fix_encode_bytes", "harmonise_merged"]
 
 
