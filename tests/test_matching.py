@@ -7,7 +7,7 @@ import brute
 from wavemeld.functions.names import normalise, safe_label, unique_header
 from wavemeld.operators.catalogue import header_catalogue, unique_names
 from wavemeld.operators.matching import (contenders, fuzzy_candidates, keyword_candidates, match_columns, match_report,
-                                         match_report_lines, name_candidates)
+                                         match_report_lines, name_candidates, settle_claims)
 from wavemeld.operators.running import running_rank, running_total
 from wavemeld.spec import Spec
 
@@ -150,6 +150,32 @@ def test_contenders_are_few(spark):
     assert "WindowGroupLimit" in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def test_claims_of_a_thousand_variables(spark):
+    rng = random.Random(7)
+    spec = Spec.from_dict({f"v{i:03d}": {"colnames": [f"col_{i:03d}"]} for i in range(1000)})
+    layers = ("exact", "fuzzy", "keyword")
+    rows = []
+    for d, n in [("hot", 6000), ("small", 40), ("none", 3)]:
+        for i in range(n):
+            wish = [[f"v{rng.randint(0, 999) if rng.random() < .5 else rng.randint(0, 30):03d}"
+                     for _ in range(rng.choice(sizes))] for sizes in ((0, 0, 1), (0, 1), (0, 2, 30))]
+            rows.append((d, i, f"c{i}", *([list(dict.fromkeys(w)) for w in wish] if d != "none" else [[]] * 3)))
+    rng.shuffle(rows)
+    schema = "dataset string, ordinal bigint, raw_name string, " + ", ".join(f"{x} array<string>" for x in layers)
+    winners = settle_claims(spark.createDataFrame(rows, schema).repartition(7), len(spec.variables))
+    got = {(r["dataset"], r["ordinal"]): (r["canonical"], r["layer"]) for r in winners.collect()}
+    want, taken = {}, set()
+    for at, layer in enumerate(layers):
+        for d, ordinal, _, *wishes in sorted(rows, key=lambda r: r[1]):
+            free = [c for c in wishes[at] if (d, c) not in taken]
+            if free and (d, ordinal) not in want:
+                want[d, ordinal] = free[0], layer
+                taken.add((d, free[0]))
+    assert got == want and sum(d == "hot" for d, _ in got) > 900
+    plan = winners._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan
+
+
 def test_report(spark, spec):
     result = match_columns(catalogue(spark, {"d": ["kjonn", "io_siv", *[f"zz{i}qqqq" for i in range(7)]]}), spec)
     assert {r["tier"]: r["n"] for r in match_report(result).collect()} == {"exact": 1, "keyword": 1, "unmatched": 7}

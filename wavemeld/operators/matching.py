@@ -10,20 +10,23 @@ Settling needs few rows.  Let m be the number of canonicals.  In one layer, walk
 the columns that have canonical c among their candidates: each has already won
 or wins something, which happens at most m times per dataset, or finds all its
 candidates of this layer, c included, taken.  Hence after the first m of them c
-is taken, and a column beyond the first m for each of its candidates cannot
-win.  At most 3*m*m columns per dataset are kept (:func:`contenders`), pruned
-before the shuffle, so one huge dataset costs no more than a small one and
-nothing is lost.
+is taken, and no later wish for c comes true.  At most 3*m*m wishes per dataset
+are kept (:func:`contenders`), pruned before the shuffle, so one huge dataset
+costs no more than a small one and nothing is lost.  They are settled as a
+sorted stream (:func:`settle_claims`): no row or task holds them together.
 """
 
 from __future__ import annotations
 
 import math
 import warnings
+from collections.abc import Iterator
 from dataclasses import dataclass
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from wavemeld.operators.catalogue import first_positions
 from wavemeld.operators.running import running_rank
@@ -164,40 +167,53 @@ def name_candidates(columns: DataFrame, spec: Spec, layers: tuple[str, ...] = LA
 # -- claims -------------------------------------------------------------------
 
 def contenders(candidates: DataFrame, limit: int) -> DataFrame:
-    """Columns that can still win: the first ``limit`` per dataset, layer and canonical."""
-    def wishes(layer: str) -> Column:
-        return F.transform(layer, lambda c: F.struct(F.lit(layer).alias("layer"), c.alias("canonical")))
+    """Wishes that can still come true: the first ``limit`` per dataset, layer and canonical.
 
-    wanted = F.concat(*map(wishes, LAYERS))
-    by_canonical = Window.partitionBy("dataset", "wanted").orderBy("ordinal")
-    return (candidates.withColumn("wanted", F.explode(wanted))
+    A row is one wish: ``layer`` counts from 0, ``place`` is the canonical's
+    place among the candidates of the column.
+    """
+    def wishes(number: int, layer: str) -> Column:
+        return F.transform(layer, lambda c, i: F.struct(
+            F.lit(number).alias("layer"), i.alias("place"), c.alias("canonical")))
+
+    by_canonical = Window.partitionBy("dataset", "layer", "canonical").orderBy("ordinal", "raw_name")
+    return (candidates.select("dataset", F.col("ordinal").cast("bigint").alias("ordinal"), "raw_name",
+                              F.inline(F.concat(*[wishes(i, x) for i, x in enumerate(LAYERS)])))
             .withColumn("_rank", F.row_number().over(by_canonical))
             .filter(F.col("_rank") <= F.lit(limit))
-            .drop("_rank", "wanted"))
+            .drop("_rank"))
+
+
+def _grant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The wishes that come true; those of a dataset come in order, one dataset after the other."""
+    current: object = _grant  # no dataset is called this
+    taken: set[str] = set()
+    won: set[int] = set()
+    for batch in batches:
+        granted = []
+        for i, (dataset, ordinal, canonical) in enumerate(zip(
+                *(batch.column(c).to_pylist() for c in ("dataset", "ordinal", "canonical")))):
+            if dataset != current:
+                current, taken, won = dataset, set(), set()
+            if ordinal not in won and canonical not in taken:
+                taken.add(canonical)
+                won.add(ordinal)
+                granted.append(i)
+        yield batch.take(pa.array(granted, pa.int64()))
 
 
 def settle_claims(candidates: DataFrame, limit: int) -> DataFrame:
-    """``(dataset, ordinal, raw_name, canonical, layer)`` of the winning columns."""
-    columns = (contenders(candidates, limit).groupBy("dataset")
-               .agg(F.sort_array(F.collect_set(F.struct(
-                   "ordinal", "raw_name", "exact", "fuzzy", "keyword"))).alias("columns")))
-    winner = "struct<ordinal:bigint,raw_name:string,canonical:string,layer:string>"
-
-    def walk(acc: Column, layer: str) -> Column:
-        """One pass over the columns, in order, with the claims so far."""
-        def step(acc: Column, x: Column) -> Column:
-            free = F.array_except(x[layer], F.transform(acc, lambda w: w["canonical"]))
-            open_ = ~F.exists(acc, lambda w: w["ordinal"] == x["ordinal"])
-            won = F.array(F.struct(
-                x["ordinal"].cast("bigint").alias("ordinal"), x["raw_name"].alias("raw_name"),
-                F.try_element_at(free, F.lit(1)).alias("canonical"), F.lit(layer).alias("layer")))
-            return F.when(open_ & (F.size(free) > 0), F.concat(acc, won)).otherwise(acc)
-        return F.reduce("columns", acc, step)
-
-    claims = F.array().cast(f"array<{winner}>")
-    for layer in LAYERS:
-        claims = walk(claims, layer)
-    return columns.select("dataset", F.inline(claims))
+    """``(dataset, ordinal, raw_name, canonical, layer)`` of the winning columns.
+
+    The wishes of a dataset pass through a task in sorted order; it keeps who
+    has won so far, at most ``limit`` columns, and no list of the wishes.
+    """
+    wishes = contenders(candidates, limit)
+    schema = StructType([StructField(f.name, f.dataType) for f in wishes.schema])
+    granted = (wishes.repartition("dataset").sortWithinPartitions("dataset", "layer", "ordinal", "raw_name", "place")
+               .mapInArrow(_grant, schema))
+    layer = F.element_at(F.array(*map(F.lit, LAYERS)), F.col("layer") + 1)
+    return granted.select("dataset", "ordinal", "raw_name", "canonical", layer.alias("layer"))
 
 
 def fired_keyword(name: Column, keywords: Column) -> Column:
