@@ -1,4 +1,7 @@
 import os
+import subprocess
+import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +9,7 @@ from pyspark.sql import functions as F
 import wavemeld as wm
 from wavemeld.operators.matching import match_columns
 from wavemeld.plans import audit, report
+from wavemeld.sources import staging
 from wavemeld.sources.manifest import group_files, named, read_manifest, scan
 from wavemeld.sources.readers import check_extension, read_raw
 from wavemeld.sources.scratch import scratch_dir
@@ -119,6 +123,87 @@ def test_separate_outputs(spark, spec, files, tmp_path):
     assert {r["variable"]: r["pct_missing"] for r in missing.collect()} == {"alder": 0.0, "antpers": 0.0}
 
 
+def logged(spark, folder):
+    """What readers of the log folder see: rows of the master log, lines of the files."""
+    master = spark.read.schema(audit.MASTER_SCHEMA).parquet(audit.master_path(folder))
+    lines = spark.read.text(f"{folder}/per_dataset").select("value", "log")
+    return ({tuple(r) for r in master.select("dataset", "raw_name", "method", "logged_at").collect()},
+            {tuple(r) for r in lines.collect()})
+
+
+def two_runs(spark, spec):
+    """Matches of two runs; the second holds a dataset of the first and a new one."""
+    schema = "dataset string, ordinal bigint, raw_name string"
+    first = match_columns(spark.createDataFrame([("a", 0, "kjonn"), ("b", 0, "town")], schema), spec)
+    second = match_columns(spark.createDataFrame([("a", 0, "alder"), ("a", 1, "zip"), ("c", 0, "siv")], schema), spec)
+    return first, second
+
+
+def issue_rows(spark, rows=(("a", "siv", "coercion", 1, "old"),)):
+    df = spark.createDataFrame(list(rows), "dataset string, variable string, issue_type string, n bigint, detail string")
+    return df.withColumn("bad_values", F.array("detail"))
+
+
+def test_log_that_fails_leaves_the_old_one(spark, spec, tmp_path):
+    first, second = two_runs(spark, spec)
+    folder = str(tmp_path / "logs")
+    wm.export_match_log(first, folder, issue_rows(spark), logged_at="2020-01-01 00:00:00")
+    before = logged(spark, folder)
+    broken = issue_rows(spark).withColumn("detail", F.raise_error(F.lit("the second write fails")))
+    with pytest.raises(Exception, match="the second write fails"):
+        wm.export_match_log(second, folder, broken, logged_at="2030-01-01 00:00:00")
+    assert logged(spark, folder) == before
+    assert sorted(os.listdir(folder)) == ["match_log_MASTER", "per_dataset"]
+
+
+@pytest.mark.parametrize("moves", range(5))
+def test_log_that_dies_while_moving_is_finished(spark, spec, tmp_path, monkeypatch, moves):
+    first, second = two_runs(spark, spec)
+    folder, whole = str(tmp_path / "logs"), str(tmp_path / "whole")
+    for place in (folder, whole):
+        wm.export_match_log(first, place, issue_rows(spark), logged_at="2020-01-01 00:00:00")
+    new = issue_rows(spark, [("c", "siv", "coercion", 2, "new")])
+    wm.export_match_log(second, whole, new, logged_at="2030-01-01 00:00:00")
+    move, done = staging._replace, []
+
+    def dies(fs, source, target):
+        if len(done) == moves:
+            if fs.exists(target):
+                fs.delete(target, True)  # the old partition is gone, the new one not there
+            raise SystemExit
+        done.append(target)
+        move(fs, source, target)
+
+    monkeypatch.setattr(staging, "_replace", dies)
+    with pytest.raises(SystemExit):
+        wm.export_match_log(second, folder, new, logged_at="2030-01-01 00:00:00")
+    monkeypatch.undo()
+    log = audit.read_master_log(spark, folder)
+    assert {r["dataset"] for r in log.collect()} == {"a", "b", "c"}
+    assert logged(spark, folder) == logged(spark, whole)
+    assert sorted(os.listdir(folder)) == ["match_log_MASTER", "per_dataset"]
+
+
+def test_scratch_goes_with_the_jvm(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from wavemeld.sources.scratch import scratch_dir\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', {str(tmp_path)!r}).getOrCreate()\n"
+        "path = scratch_dir(s, 'x')\n"
+        "s.range(5).write.parquet(path)\n"
+        "print('rows', s.read.parquet(path).count())\n"
+        "s.stop()\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert "rows 5" in done.stdout, done.stderr
+    for _ in range(100):  # the JVM ends a little after its driver
+        if not os.listdir(tmp_path / "wavemeld"):
+            break
+        time.sleep(0.2)
+    assert os.listdir(tmp_path / "wavemeld") == []
+
+
 def test_no_master_log(spark, tmp_path, capsys):
     assert wm.summarise_master_log(spark, str(tmp_path / "none")) is None
     assert "No master log found" in capsys.readouterr().out

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wavemeld.functions.names import safe_label
 from wavemeld.operators.matching import MatchResult
+from wavemeld.sources.scratch import scratch_dir
 from wavemeld.sources.sinks import path_exists, write_by_dataset
+from wavemeld.sources.staging import finish_runs, replaced_together
 
 AUDIT_COLUMNS = ["dataset", "year", "raw_name", "canonical", "method", "confidence",
                  "needs_review", "action", "logged_at"]
@@ -106,6 +108,7 @@ def update_master_log(log: DataFrame, log_dir: str) -> None:
 
 
 def read_master_log(spark: SparkSession, log_dir: str) -> DataFrame:
+    finish_runs(spark, log_dir)
     return spark.read.schema(MASTER_SCHEMA).parquet(master_path(log_dir)).select(*AUDIT_COLUMNS)
 
 
@@ -115,19 +118,27 @@ def export_match_log(result: MatchResult, log_dir: str, issues: DataFrame | None
     """Write the audit files of all datasets: one job per kind of file.
 
     ``match_log_<dataset>`` and ``issues_<dataset>`` are ``;``-separated, the
-    master log is a table partitioned by dataset.  Returns the audit rows.
+    master log is a table partitioned by dataset.  All are replaced together
+    (see ``sources/staging.py``): a run that fails leaves the old files, and one
+    that dies while they are moved is finished by the next export or reader.
+    The columns are matched once; returns the audit rows.
     """
     logged_at = logged_at or datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    spark = result.log.sparkSession
+    settled = scratch_dir(spark, "audit_log")
     log = audit_log(result, years, logged_at, canonical_names)
+    log.write.parquet(settled)
+    log = spark.read.schema(log.schema).parquet(settled)
     rank = confidence_rank(F.col("confidence"))
-    write_by_dataset(log.withColumn("_rank", rank), log_dir, F.concat(F.lit("match_log_"), safe_label("dataset")),
-                     order=[F.col("needs_review").desc(), F.col("_rank"), F.col("ordinal")], columns=AUDIT_COLUMNS)
-    if issues is not None:
-        stamped = stamp_issues(issues, years, logged_at).withColumn("bad_values", F.to_json("bad_values"))
-        write_by_dataset(stamped, log_dir, F.concat(F.lit("issues_"), safe_label("dataset")),
-                         order=[F.col("variable"), F.col("issue_type")], columns=stamped.columns)
-    if append_master:
-        update_master_log(log, log_dir)
+    with replaced_together(spark, log_dir) as place:
+        write_by_dataset(log.withColumn("_rank", rank), place, F.concat(F.lit("match_log_"), safe_label("dataset")),
+                         order=[F.col("needs_review").desc(), F.col("_rank"), F.col("ordinal")], columns=AUDIT_COLUMNS)
+        if issues is not None:
+            stamped = stamp_issues(issues, years, logged_at).withColumn("bad_values", F.to_json("bad_values"))
+            write_by_dataset(stamped, place, F.concat(F.lit("issues_"), safe_label("dataset")),
+                             order=[F.col("variable"), F.col("issue_type")], columns=stamped.columns)
+        if append_master:
+            update_master_log(log, place)
     return log
 
 
@@ -162,6 +173,7 @@ def predicted_matches(log: DataFrame) -> DataFrame:
 
 def summarise_master_log(spark: SparkSession, log_dir: str) -> MasterSummary | None:
     """Summary tables of the master log; None, with a note, if there is none."""
+    finish_runs(spark, log_dir)
     if not path_exists(spark, master_path(log_dir)):
         print(f"No master log found at: {master_path(log_dir)}")
         return None

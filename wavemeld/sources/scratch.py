@@ -8,12 +8,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from wavemeld.sources.staging import file_system
+
 SETTING = "spark.checkpoint.dir"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one the session names.
 
+    It is removed when the JVM ends; a table in it can be read until then.
+
     A session that names none must have its executors on this machine, as in
     tests: elsewhere each would write to its own disk, and that is an error.
     """
@@ -21,4 +25,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not shared and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise ValueError(f"{SETTING} must name a folder that the driver and all executors share")
     base = shared or tempfile.mkdtemp(prefix="wavemeld-")
-    return f"{base.rstrip('/')}/wavemeld/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/wavemeld/{name}-{uuid.uuid4().hex}"
+    fs, at = file_system(spark, path)
+    fs.mkdirs(at)  # only a folder that is there can be put down for removal
+    fs.deleteOnExit(at)
+    fs.delete(at, False)
+    return path
