@@ -18,7 +18,7 @@ SAMPLE = ["scan_csv", "scan_csv_text", "scan_orc", "write_merged", "write_datase
           "coercion_counts", "value_conformance", "clean_dataset", "merge_mixed_types", "sum_up_category",
           "manifest_separators", "malformed_rows", "malformed_issues", "ragged_merged", "validation_full", "harmonise_codes",
           "conformance_first_codes", "labels_strict_error", "label_attributes", "load_map", "fix_encode_double",
-          "audit_master_files", "report_per_dataset", "labels_lenient", "fix_encode_bytes", "harmonise_merged"]
+          "audit_master_files", "report_per_dataset", "labels_lenient", "fix_encode_bytes", "harmonise_merged", "safe_coerce", "conformance_report"]
 
 
 def plain(value):

@@ -375,3 +375,67 @@ def test_plan_does_not_grow_with_the_files(spark, tmp_path):
         assert df.filter(F.concat(F.lit("f"), "_c0", F.lit(".csv")) == F.col("dataset")).count() == n
     spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.parallelism")
     assert sizes[10][0] == sizes[10_000][0] and sizes[10_000][1] <= sizes[10][1] + 30
+
+
+def scans_of(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return len([line for line in plan.splitlines() if " Relation [" in line and line.endswith(" csv")])
+
+
+def test_bad_columns_make_no_plans(spark, spec, tmp_path):
+    """Files of one header differ in types, lost casts and years; they are still read by one scan."""
+    cells = {"siv": ["1", "D", "2.5"], "alder": ["40", "x", "3000000000"], "antpers": ["q", "99", ""]}
+    manifest, want, i = [], {}, 0
+    for a in cells["siv"]:
+        for b in cells["alder"]:
+            for c in cells["antpers"]:
+                path = tmp_path / f"f{i}.csv"
+                path.write_text(f"Siv,Alder,Antpers\n{a},{b},{c}\n1,50,2\n1,50,2\n,,\n")
+                manifest.append((str(path), 2000 + i % 3 if i % 5 else None))
+                want[path.name], i = (a, b, c), i + 1
+    done = wm.run_pipeline(spark, manifest, spec, apply_missing=True)
+    assert len(done.parts) == 1
+    for df in (done.merged(), done.cells, done.codes):
+        assert scans_of(df) == 1
+    assert all(scans_of(t) == 1 for part in done.parts for t in part.tables())
+    for path, year in manifest[::13]:  # as the file by itself
+        one = wm.run_pipeline(spark, [(path, year)], spec, apply_missing=True)
+        name = os.path.basename(path)
+        assert one.tables[name].dtypes == done.tables[name].dtypes
+        assert sorted(map(str, one.tables[name].collect())) == sorted(map(str, done.tables[name].collect()))
+        for found in ("issues", "cells", "codes"):
+            mine = getattr(done, found).filter(F.col("dataset") == name).collect()
+            assert sorted(map(str, mine)) == sorted(map(str, getattr(one, found).collect()))
+    merged = done.merged(keep_dataset=True)
+    assert dict(merged.dtypes) == {"year": "int", "siv": "string", "alder": "string", "antpers": "string",
+                                   "dataset": "string"}
+    rows = {(r["dataset"], r["year"], r["siv"], r["alder"], r["antpers"]) for r in merged.collect()}
+    for path, year in manifest:
+        name = os.path.basename(path)
+        a, b, c = want[name]
+        plain = ["1", "50", "2"]
+        assert (name, year, *plain) in rows
+        kept = {"": None, "99": None, "2.5": "2"}
+        assert (name, year, *(kept.get(x, x) for x in (a, b, c))) in rows
+    assert len(rows) == 2 * len(manifest)
+
+
+def test_written_tables_have_their_own_types(spark, spec, tmp_path):
+    manifest = texts(tmp_path, a="Siv,Alder\n1,40\n", b="Siv,Alder\nD,41\n", c="Siv,Alder\nE,x\n")
+    done = wm.run_pipeline(spark, manifest, spec, output_path=str(tmp_path / "out"), format="parquet")
+    types = {f: dict(spark.read.parquet(str(tmp_path / "out" / f"dataset={f}_csv_clean")).dtypes) for f in "abc"}
+    assert {f: (t["siv"], t["alder"]) for f, t in types.items()} == {
+        "a": ("int", "int"), "b": ("string", "int"), "c": ("string", "string")}
+    assert {tuple(r) for r in done.merged().select("siv", "alder").collect()} == {("1", "40"), ("D", "41"), ("E", "x")}
+
+
+def test_a_logical_variable_that_some_files_keep_as_text(spark, tmp_path):
+    """Its codes are judged as they are in each file, also where the types of all are stacked."""
+    spec = wm.Spec.from_dict({"smokes": {"colnames": ["smokes"], "type": "logical", "value": {1: "Yes"}}})
+    manifest = texts(tmp_path, a="smokes\nTRUE\nFALSE\n", b="smokes\nTRUE\nmaybe\n")
+    done = wm.run_pipeline(spark, manifest, spec)
+    codes = {(r["dataset"], r["value"]) for r in done.codes.collect()}
+    assert codes == {("a.csv", "0")} | {c for c in codes if c[0] == "b.csv"}
+    [(_, report)] = done.validation().values()
+    assert [r["n_bad"] for r in report.filter("dataset = 'a.csv'").collect()] == [1]
+    assert {r[0] for r in done.merged().select("smokes").collect()} == {"TRUE", "FALSE", "maybe"}

@@ -1,47 +1,35 @@
 """Harmonise every file of a manifest.
 
-Work is grouped, not looped: files of one header and schema share a plan; all
-headers are matched by one job; the cells of a group are profiled by one job,
-a histogram per dataset; and files of a group whose casts turned out alike are
-cleaned by one plan.  The number of plans follows the number of different
-schemas, not the number of files.
+Work is grouped, not looped: all headers are matched by one job, and the files
+of one header are read, profiled and cleaned by one plan, whatever types and
+casts they turn out to have (:mod:`wavemeld.plans.headers`).  Plans follow the
+number of different headers, not of files or of bad columns.
 """
 
 from __future__ import annotations
 
 import warnings
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wavemeld.operators.catalogue import header_catalogue, clean_header
-from wavemeld.operators.clean import (apply_casts, canonical_layout, dedupe_rows, drop_empty_rows, prepare,
-                                      to_canonical)
+from wavemeld.operators.clean import canonical_layout
 from wavemeld.operators.matching import MatchResult, match_columns
 from wavemeld.operators.merge import merge_datasets
 from wavemeld.operators.profile import issue_table, lost_counts, profile_cells, undecided_codes, undeclared_codes
 from wavemeld.operators.validate import conformance_report, missingness
 from wavemeld.plans.audit import MasterSummary, export_match_log, summarise_master_log
-from wavemeld.sources.manifest import (Entry, FileGroup, group_files, malformed_rows, manifest_table, read_manifest,
-                                       scan)
+from wavemeld.plans.headers import CleanPart, HeaderFiles, Rules, Tables, by_variable, merge_parts, variable_of
+from wavemeld.sources.manifest import FileGroup, by_header, group_files, malformed_rows, manifest_table, read_manifest
 from wavemeld.sources.separators import MALFORMED_TEXT
 from wavemeld.sources.sinks import write_datasets, write_table
 from wavemeld.spec import Spec, load_config, small_table
 
 
-@dataclass(frozen=True)
-class CleanPart:
-    """Datasets cleaned by one plan; ``data`` has a ``dataset`` column."""
-
-    datasets: tuple[str, ...]
-    data: DataFrame
-
-    def table(self, dataset: str) -> DataFrame:
-        return self.data.filter(F.col("dataset") == dataset).drop("dataset")
-
-
 @dataclass(frozen=True)
 class Harmonised:
     parts: list[CleanPart]
@@ -55,19 +43,24 @@ class Harmonised:
     summary: MasterSummary | None = None
 
     @property
-    def tables(self) -> dict[str, DataFrame]:
+    def tables(self) -> Mapping[str, DataFrame]:
         """The cleaned table of each dataset."""
-        return {d: p.table(d) for p in self.parts for d in p.datasets}
+        return Tables(self.parts)
 
     def merged(self, keep_dataset: bool = False) -> DataFrame:
         """All datasets stacked, ``year`` first."""
-        parts = [p.data if keep_dataset else p.data.drop("dataset") for p in self.parts]
-        return merge_datasets(parts)
+        return merge_datasets(merge_parts(self.parts, keep_dataset))
+
+    def write(self, path: str | None, format: str = "csv") -> None:
+        """A folder for each dataset, in its own types; each file is read once."""
+        for part in self.parts if path else ():
+            for table in part.tables():
+                write_datasets(table, path, format)
 
     def validation(self) -> dict[str, tuple[DataFrame, DataFrame]]:
         """Per plan: missing cells per dataset and column, and a report on undeclared codes; ``codes`` has them all."""
         return {", ".join(p.datasets): (missingness(p.data, ("dataset",)),
-                                        conformance_report(p.data, self.spec, by=("dataset",))) for p in self.parts}
+                                        conformance_report(p.stacked(codes=True), self.spec, by=("dataset",))) for p in self.parts}
 
 
 def write_validation(done: Harmonised, log_dir: str) -> None:
@@ -133,67 +126,40 @@ def clean_groups(spark: SparkSession, groups: list[FileGroup], renames: list[dic
                  years: DataFrame, apply_missing: bool, dedupe: bool = True, year_counts_as_value: bool = False,
                  check_strings: bool = False,
                  **options) -> tuple[list[CleanPart], DataFrame, DataFrame, DataFrame]:
-    """Profile and clean; returns parts, issues, cell histogram and undeclared codes."""
+    """Profile and clean, a plan for each header; returns parts, issues, cell histogram and undeclared codes."""
     by = ("dataset",)
-    ready: list[tuple[DataFrame, list[str], dict[str, str]]] = []
-    for g, names in zip(groups, renames):
-        df = _ready(scan(spark, g, **options), g, names, spec, apply_missing)
-        columns = [c for c in df.columns if c != "dataset"]
-        ready.append((df, columns, dict(df.dtypes)))
-    profiles = [profile_cells(df, spec, columns, by, check_strings=check_strings) for df, columns, _ in ready]
-    cells = reduce(DataFrame.unionByName, profiles)
-    codes = reduce(DataFrame.unionByName, [undeclared_codes(p, by, undecided_codes(spec, types, columns))
-                                           for p, (_, columns, types) in zip(profiles, ready)])
+    rules = Rules(spec, apply_missing, dedupe, year_counts_as_value, options)
+    headers = [HeaderFiles(spark, tuple(groups[i] for i in places), renames[places[0]], rules)
+               for places in by_header(groups)]
+    cells, codes, issues, lost_cells = [], [], [], []
+    for h in headers:
+        found = profile_cells(h.ready, h.spec, h.flat, by, check_strings=check_strings)
+        undeclared = undeclared_codes(found, by, undecided_codes(h.spec, h.types, h.flat))
+        texts = issue_table(found, h.spec, h.types, h.flat, by, years.join(_names(spark, h), "dataset", "left_semi"))
+        if h.split:
+            found, undeclared, texts = by_variable(found), by_variable(undeclared), by_variable(texts)
+            # A type that the map does not know is reported for each column of the variable.
+            texts = texts.dropDuplicates([*by, "variable", "issue_type"])
+        cells.append(found)
+        codes.append(undeclared)
+        issues.append(texts)
+        lost_cells.append(lost_counts(h.ready, h.spec, h.flat, by))
     kept: dict[str, set[str]] = {}
-    lost_cells = [lost_counts(df, spec, columns, by) for df, columns, _ in ready]
     for r in reduce(DataFrame.unionByName, lost_cells).collect():
-        kept.setdefault(r["dataset"], set()).add(r["variable"])
-    issues = reduce(DataFrame.unionByName, [
-        issue_table(p, spec, types, columns, by, years.join(
-            _names(spark, g), "dataset", "left_semi"))
-        for p, (_, columns, types), g in zip(profiles, ready, groups)])
-
+        kept.setdefault(r["dataset"], set()).add(variable_of(r["variable"]))
+    lost = {d: frozenset(columns) for d, columns in kept.items()}
     parts = []
-    for g, names, (_, columns, _) in zip(groups, renames, ready):
-        alike: dict[frozenset[str], list[Entry]] = {}
-        for e in g.entries:
-            alike.setdefault(frozenset(kept.get(e.dataset, ())), []).append(e)
-        for lost, members in alike.items():
-            # Datasets without a year get no column of it, so they are read apart from the others.
-            for dated in (True, False):
-                sub = g.of(e.dataset for e in members if (e.year is not None) == dated)
-                if not sub.entries:
-                    continue
-                df = _ready(scan(spark, sub, **options), sub, names, spec, apply_missing)
-                if not year_counts_as_value:
-                    df = drop_empty_rows(df, ("dataset",))
-                df = add_years(apply_casts(df, spec, columns, lost), sub.entries)
-                if year_counts_as_value:
-                    df = drop_empty_rows(df, ("dataset",))
-                if dedupe:
-                    df = dedupe_rows(df)
-                parts.append(CleanPart(tuple(e.dataset for e in sub.entries), df))
-    return parts, issues, cells, codes
-
-
-def _ready(df: DataFrame, group: FileGroup, names: dict[str, str], spec: Spec, apply_missing: bool) -> DataFrame:
-    raw = to_canonical(df, clean_header(list(group.header)), names, spec, ("dataset",))
-    return prepare(raw, spec, [c for c in raw.columns if c != "dataset"], apply_missing)
-
-
-def _names(spark: SparkSession, group: FileGroup) -> DataFrame:
-    return small_table(spark, [{"dataset": e.dataset} for e in group.entries], pa.schema([("dataset", pa.string())]))
-
-
-def add_years(df: DataFrame, entries: tuple[Entry, ...]) -> DataFrame:
-    """Stamp the year of each row's file; without any year, no column."""
-    if all(e.year is None for e in entries):
-        return df
-    if len({e.year for e in entries}) == 1:
-        return df.withColumn("year", F.lit(entries[0].year).cast("int"))
-    years = manifest_table(df.sparkSession, list(entries)).select("dataset", "year")
-    return df.drop("year").join(years, "dataset", "left").select(
-        *[F.col(f"`{c}`") for c in df.columns if c != "year"], "year")
+    for h in headers:
+        # A year in the data stays where the manifest has none, so such files are read apart.
+        dated = [[e.dataset for e in h.entries if (e.year is not None) == x] for x in (True, False)]
+        for datasets in dated if "year" in h.columns else [[e.dataset for e in h.entries]]:
+            if datasets:
+                parts.append(CleanPart(replace(h, lost=lost).of(datasets)))
+    return (parts, *(reduce(DataFrame.unionByName, x) for x in (issues, cells, codes)))
+
+
+def _names(spark: SparkSession, files: HeaderFiles) -> DataFrame:
+    return small_table(spark, [{"dataset": e.dataset} for e in files.entries], pa.schema([("dataset", pa.string())]))
 
 
 def run_pipeline(spark: SparkSession, manifest, config, log_dir: str | None = None, output_path: str | None = None,
@@ -231,6 +197,5 @@ def run_pipeline(spark: SparkSession, manifest, config, log_dir: str | None = No
     if merge:
         write_table(out.merged() if output_path else None, output_path, format)
     else:
-        for p in parts:
-            write_datasets(p.data, output_path, format)
+        out.write(output_path, format)
     return out

@@ -311,7 +311,8 @@ ORACLES["coerce_logical"] = """SELECT doc_id, toxic <> 0 AS from_int, CASE WHEN
 ORDERS = f"""o AS (SELECT {recoded('o_orderstatus', 'status')} AS status, o_totalprice AS amount,
   {recoded('o_orderpriority', 'priority')} AS priority FROM orders)"""
 ITEMS = f"""i AS (SELECT l_linenumber AS line, CASE WHEN l_quantity = 18 THEN 99 ELSE l_quantity END AS quantity,
-  l_extendedprice AS amount, l_discount AS discount, {recoded('l_linestatus', 'status')} AS status FROM lineitem)"""
+  l_extendedprice AS amount, l_discount AS discount, {recoded('l_linestatus', 'status')} AS status,
+  l_shipdate AS shipped FROM lineitem)"""
 PRIORITY_LOSS = """SELECT 'priority' AS variable, count(*) AS n_bad, count(DISTINCT priority) AS n_distinct,
   string_agg(DISTINCT priority, '|' ORDER BY priority) AS bad_values FROM o WHERE try_cast(priority AS INTEGER) IS NULL"""
 ORACLES["coercion_profile"] = f"WITH {ORDERS} {PRIORITY_LOSS}"
@@ -322,8 +323,9 @@ lost AS (SELECT lang, line FROM (SELECT lang, line, {number('line')} AS d FROM l
 SELECT lang, 'line' AS variable, count(*) AS n_bad, count(DISTINCT line) AS n_distinct,
   CASE WHEN count(DISTINCT line) > 5 THEN 6 ELSE count(DISTINCT line) END AS n_shown FROM lost GROUP BY lang"""
 ORACLES["safe_coerce"] = f"""WITH {ORDERS}, {ITEMS}
-SELECT CAST(status AS INTEGER) AS status, amount, priority, NULL AS line, NULL AS quantity, NULL AS discount FROM o
-UNION ALL SELECT CAST(status AS INTEGER), amount, NULL, line, CAST(trunc(quantity) AS INTEGER), discount <> 0 FROM i"""
+SELECT CAST(status AS INTEGER) AS status, amount, priority, NULL AS line, NULL AS quantity, NULL AS discount,
+  NULL AS shipped FROM o
+UNION ALL SELECT CAST(status AS INTEGER), amount, NULL, line, CAST(trunc(quantity) AS INTEGER), discount <> 0, shipped FROM i"""
 SKIP = """SELECT 'shipped' AS variable, 'coercion_skip' AS issue_type,
   'Unknown target type ''datestamp''; column left as-is.' AS detail, 0 AS n_bad, '' AS bad_values"""
 # Cells of line items that the cast to the map's type would lose.

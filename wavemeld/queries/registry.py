@@ -20,7 +20,7 @@ from wavemeld.sources import manifest as malformed
 from wavemeld.sources.manifest import group_files, manifest_table, named, read_manifest, scan
 from wavemeld.sources.readers import read_raw, spread
 from wavemeld.sources.scratch import scratch_dir
-from wavemeld.sources.sinks import PER_DATASET, TEXT, write_datasets, write_table
+from wavemeld.sources.sinks import PER_DATASET, TEXT, write_table
 from wavemeld.spec import (Spec, alias_table, keyword_table, label_table, load_config, missing_table, recode_table,
                            type_table, value_table)
 
@@ -434,7 +434,7 @@ def safe_coerce(spark, sf):
     for name in ("orders", "lineitem"):
         df = wave(spark, sf, name)
         kept = frozenset(r["variable"] for r in profile.lost_columns(wave_cells(df)).collect())
-        done = clean.apply_casts(df, WAVES, df.columns, kept).drop("shipped")
+        done = clean.apply_casts(df, WAVES, df.columns, kept)
         out = done if out is None else out.unionByName(done, allowMissingColumns=True)
     return out
 
@@ -577,7 +577,7 @@ def missingness(spark, sf):
 
 @query
 def conformance_report(spark, sf):
-    df = wave(spark, sf, "lineitem").drop("shipped")
+    df = wave(spark, sf, "lineitem")
     report = validate.conformance_report(df, WAVES).drop("n_codes")
     return report.withColumn("unexpected", F.array_join("unexpected", ", "))
 
@@ -837,8 +837,7 @@ def write_merged(spark, sf):
 def write_dataset_files(spark, sf):
     """A folder for each wave, written as text; read back with the folder's name."""
     folder = scratch_dir(spark, "datasets")
-    for part in harmonised(spark, sf).parts:
-        write_datasets(part.data, folder, "parquet")
+    harmonised(spark, sf).write(folder, "parquet")
     return spark.read.parquet(folder)
 
 

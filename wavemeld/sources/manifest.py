@@ -5,15 +5,15 @@ from __future__ import annotations
 import json
 import posixpath
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wavemeld.functions.names import safe_label_text, unique_header
-from wavemeld.sources.readers import (COLUMNAR, RECORD, SEPARATORS, Layout, cell_kinds, check_extension, delimited,
+from wavemeld.sources.readers import (COLUMNAR, RECORD, SEPARATORS, Layout, as_read, cell_kinds, check_extension, delimited,
                                       layouts, owners, positions, text_schema, typed_schema)
 from wavemeld.sources.separators import MALFORMED, count_kinds, record_kind
 from wavemeld.spec import small_table
@@ -169,6 +169,57 @@ def scan(spark: SparkSession, group: FileGroup, **options) -> DataFrame:
     return with_dataset(reader.schema(group.schema), group.ext, group.entries)
 
 
+#: Parts the name of a column from the type that it has in some of the files.
+KIND = "\t"
+
+
+def by_header(groups: list[FileGroup]) -> list[list[int]]:
+    """The places of the groups that one plan can read: delimited files of one header, whatever their types."""
+    alike: dict[tuple, list[int]] = {}
+    for i, g in enumerate(groups):
+        typed = None if g.ext in SEPARATORS else g.schema.json()
+        alike.setdefault((g.ext, g.header, g.sep, g.multi_line, len(g.schema.names), typed), []).append(i)
+    return list(alike.values())
+
+
+def column_kinds(groups: Sequence[FileGroup]) -> list[list[str]]:
+    """By column, what its types add to its name: nothing where the files agree, else a suffix for each type."""
+    found = [list(dict.fromkeys(g.schema[i].dataType.simpleString() for g in groups))
+             for i in range(len(groups[0].schema.names))]
+    return [[""] if len(kinds) == 1 else [KIND + k for k in kinds] for kinds in found]
+
+
+def scan_header(spark: SparkSession, groups: Sequence[FileGroup], **options) -> DataFrame:
+    """All rows of groups of one header as one plan, columns by place, with their ``dataset``.
+
+    A column whose files differ in type is read as text and becomes a column
+    for each type (``_c0<tab>int``), NULL in the rows of the other files.  The
+    types of a row's file come by a join, so the plan does not grow with them.
+    """
+    if len(groups) == 1:
+        return scan(spark, groups[0], **options)
+    kinds = column_kinds(groups)
+    varied = [i for i, k in enumerate(kinds) if len(k) > 1]
+    schema = StructType([StructField(f.name, StringType()) if i in varied else f
+                         for i, f in enumerate(groups[0].schema)])
+    df = with_dataset(_reader(spark, groups[0], options).schema(schema), groups[0].ext,
+                      [e for g in groups for e in g.entries])
+    types = f"{KIND}types"
+    rows = [{"dataset": e.dataset, types: held} for g in groups
+            for held in [[g.schema[i].dataType.simpleString() for i in varied]] for e in g.entries]
+    df = df.join(small_table(spark, rows, pa.schema([("dataset", pa.string()), (types, pa.list_(pa.string()))])),
+                 "dataset", "left")
+
+    def cells(i: int) -> list[Column]:
+        if i not in varied:
+            return [F.col(f"_c{i}")]
+        held = F.element_at(F.col(f"`{types}`"), varied.index(i) + 1)
+        return [F.when(held == k.lstrip(KIND), as_read(F.col(f"_c{i}"), k.lstrip(KIND))).alias(f"_c{i}{k}")
+                for k in kinds[i]]
+
+    return df.select(*[c for i in range(len(kinds)) for c in cells(i)], "dataset")
+
+
 MALFORMED_SCHEMA = "dataset string, kind string, cells int, columns int, first_cell string, record string"
 
 

@@ -181,6 +181,11 @@ def cell_kinds(text: DataFrame, by: tuple[str, ...] = (), also: tuple[Column, ..
     return text.groupBy(*by).agg(*[F.bit_or(kind(c)).alias(f"_k{i}") for i, c in enumerate(names)], *also)
 
 
+def as_read(text: Column, dtype: str) -> Column:
+    """The cell that the reader makes of a text in a column of a type that :func:`cell_kinds` found for it."""
+    return text if dtype == "string" else F.btrim(text, F.lit(BLANKS)).try_cast(dtype)
+
+
 def kind_type(bits: int | None) -> str:
     bits = bits or 0
     if bits & TEXT or (bits & LOGICAL and bits != LOGICAL):
