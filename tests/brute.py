@@ -14,11 +14,11 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def fuzzy(name, aliases, share="0.15"):
+def fuzzy(name, aliases, share="0.15", edits=None):
     """Canonical of the first alias that holds the name with few enough edits."""
     if not name:
         return None
-    k = ceil(Fraction(share) * len(name))
+    k = ceil(Fraction(share) * len(name)) if edits is None else edits
     for _, alias, canonical in aliases:
         a = alias.lower()
         subs = {a[i:j] for i in range(len(a) + 1) for j in range(i, len(a) + 1)}

@@ -115,13 +115,28 @@ def test_fuzzy_against_brute_force(spark):
     assert got == want
 
 
-def test_many_aliases_are_not_broadcast(spark, monkeypatch):
+def test_fuzzy_with_whole_edits_against_brute_force(spark):
+    """More edits than letters, too, where pieces are empty."""
+    rng = random.Random(12)
+    spec = Spec.from_dict({f"c{i}": {"colnames": ["".join(rng.choice("ab_") for _ in range(rng.randint(1, 9)))]}
+                           for i in range(8)})
+    names = {"".join(rng.choice("ab_") for _ in range(rng.randint(1, 12))) for _ in range(150)}
+    for edits in (1, 2, 3):
+        got = {r["raw_name"]: r["fuzzy"] for r in fuzzy_candidates(
+            spark.createDataFrame([(n,) for n in names], "raw_name string"), spec, edits).collect()}
+        assert got == {n: f for n in names if (f := brute.fuzzy(n, spec.aliases, edits=edits))}
+
+
+def test_size_of_the_pieces_decides_the_join(spark):
+    """No hint: the optimizer knows how large the index is."""
     spec = Spec.from_dict({"alder": {"colnames": ["age_yrs"]}, "k": {"colnames": ["Kjonn"]}})
     names = spark.createDataFrame([("age",), ("kjon",), ("zzzzzzzz",)], "raw_name string")
     few = fuzzy_candidates(names, spec)
-    monkeypatch.setattr("wavemeld.operators.matching.BROADCAST_PIECES", 10)
+    assert "BroadcastHashJoin [piece" in few._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 500)
     many = fuzzy_candidates(names, spec)
     assert "SortMergeJoin [piece" in many._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) == [("age", "alder"), ("kjon", "k")]
 
 

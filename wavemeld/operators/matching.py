@@ -25,15 +25,14 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from wavemeld.operators.catalogue import first_positions
 from wavemeld.operators.running import running_rank
-from wavemeld.spec import Spec
+from wavemeld.spec import Spec, small_table
 
 LAYERS = ("exact", "fuzzy", "keyword")
-BROADCAST_PIECES = 200_000  # about 10 MB
 MATCH_COLUMNS = ["dataset", "ordinal", "raw_name", "canonical", "method", "confidence", "needs_review"]
 
 
@@ -86,52 +85,91 @@ def fuzzy_candidates(names: DataFrame, spec: Spec, max_distance: float = 0.15, a
 
     ``names`` holds distinct names.  With k edits allowed, a name cut into k+1
     pieces has at least one piece unharmed inside the alias, so names and
-    aliases meet in an equi-join on pieces; only those pairs are measured, by
-    edit distance to every substring of the alias of a possible length.
+    aliases meet in an equi-join on pieces.  Where a piece lies is known on both
+    sides: what is left and right of it has to fit there too.  In front of the
+    first unharmed piece, number i from 0, there are i edits at least, which the
+    rest after it cannot have.  Only pairs that pass this are
+    measured, and only at that place: the edits left and right of the piece.
 
     ``at`` is a column that is never negative and that the names have from an
     aggregate.  Asking for it in the test on the name keeps the test above that
     aggregate, so that whoever else uses it shares its shuffle.
     """
-    spark = names.sparkSession
-    aliases = spec.alias_frame(spark).withColumn("alias", F.lower("alias"))
     longest = max((len(a) for _, a, _ in spec.aliases), default=0)
-    n, k = F.col("n"), F.col("k")
-
-    def start(i: Column) -> Column:
-        return F.floor(i * n / (k + 1)).cast("int")
-
-    pieces = F.array_distinct(F.transform(
-        F.sequence(F.lit(0), k), lambda i: F.substring(F.col("low"), start(i) + 1, start(i + 1) - start(i))))
     size, edits = F.length(F.lower("raw_name")), allowed_edits(F.length("raw_name"), max_distance)
     fits = (F.col("raw_name") != "") & (size - edits <= longest)
     cut = (names.filter(fits if at is None else F.when(F.col(at) >= 0, fits).otherwise(F.lit(False)))
            .withColumn("low", F.lower("raw_name"))
-           .withColumn("n", size).withColumn("k", edits).withColumn("piece", F.explode(pieces)))
-    # Substrings of the aliases that a piece can equal.
-    longest_piece = _longest_piece(longest, max_distance)
-    parts = F.flatten(F.transform(
-        F.sequence(F.lit(0), F.least(F.lit(longest_piece), F.length("alias"))),
-        lambda size: F.transform(F.sequence(F.lit(1), F.length("alias") - size + 1),
-                                 lambda at: F.substring(F.col("alias"), at, size))))
-    index = aliases.withColumn("piece", F.explode(F.array_distinct(parts)))
-    # The optimizer sees the size of the aliases, not of their pieces: past this
-    # many pieces a broadcast must not be chosen for it.
-    if sum((longest_piece + 1) * (len(a) + 1) for _, a, _ in spec.aliases) > BROADCAST_PIECES:
-        index = index.hint("merge")
-    length = F.length("alias")
-    near = F.exists(
-        F.sequence(F.greatest(F.lit(0), n - k), F.least(length, n + k)),
-        lambda size: F.exists(
-            F.sequence(F.lit(1), length - size + 1),
-            lambda at: F.call_function(
-                "levenshtein", F.col("low"), F.substring(F.col("alias"), at, size), k) >= 0))
-    return (cut.join(index, "piece")
-            .filter(n - k <= length).filter(near)
+           .withColumn("n", size).withColumn("k", edits)
+           .select("raw_name", "low", "n", "k", F.inline(_pieces(F.col("low"), F.col("n"), F.col("k")))))
+    near = F.exists("places", lambda p: F.when(
+        _fits_at(p), _edits(_side("left", p)) + _edits(_side("right", p)) <= F.col("k")).otherwise(F.lit(False)))
+    return (cut.join(piece_index(names.sparkSession, spec, _longest_piece(longest, max_distance)), "piece")
+            .filter(near)
             .groupBy("raw_name").agg(F.min(F.struct("ord", "canonical")).alias("hit"))
             .select("raw_name", F.col("hit.canonical").alias("fuzzy")))
 
 
+def _pieces(low: Column, n: Column, k: Column) -> Column:
+    """(piece, number, start) of the k+1 pieces of a name."""
+    def start(i: Column) -> Column:
+        return F.floor(i * n / (k + 1)).cast("int")
+
+    return F.transform(F.sequence(F.lit(0), k), lambda i: F.struct(
+        F.substring(low, start(i) + 1, start(i + 1) - start(i)).alias("piece"), i.alias("number"),
+        start(i).alias("start")))
+
+
+def piece_index(spark: SparkSession, spec: Spec, longest: int) -> DataFrame:
+    """``(piece, ord, canonical, alias, places)``: where each piece of up to ``longest`` letters lies in an alias.
+
+    Made on the driver, where the map is, so that the optimizer knows its true
+    size and no hint has to keep it from being broadcast.
+    """
+    rows = []
+    for order, alias, canonical in spec.aliases:
+        alias = alias.lower()
+        places: dict[str, list[int]] = {}
+        for size in range(min(longest, len(alias)) + 1):
+            for p in range(len(alias) - size + 1):
+                places.setdefault(alias[p:p + size], []).append(p)
+        rows += [{"piece": x, "ord": order, "canonical": canonical, "alias": alias, "places": at}
+                 for x, at in places.items()]
+    return small_table(spark, rows, pa.schema([
+        ("piece", pa.string()), ("ord", pa.int32()), ("canonical", pa.string()), ("alias", pa.string()),
+        ("places", pa.list_(pa.int32()))]))
+
+
+def _fits_at(p: Column) -> Column:
+    """Whether the edits that are certain with the piece at ``p`` are allowed: letters the alias has no room for, and
+    on the left one in each piece."""
+    held = F.length("piece")
+    before = F.col("start") - p
+    after = (F.col("n") - F.col("start") - held) - (F.length("alias") - p - held)
+    return F.greatest(F.col("number"), before) + F.greatest(F.lit(0), after) <= F.col("k")
+
+
+def _side(side: str, p: Column) -> tuple[Column, Column, Column]:
+    """(rest of the name, its length, what the alias has on that side); reversed on the left, so both begin at the piece."""
+    held = F.length("piece")
+    if side == "left":
+        return (F.reverse(F.substring(F.col("low"), F.lit(1), F.col("start"))), F.col("start"),
+                F.reverse(F.substring(F.col("alias"), F.lit(1), p)))
+    begin = F.col("start") + held
+    return F.substring(F.col("low"), begin + 1, F.col("n")), F.col("n") - begin, F.substring(
+        F.col("alias"), p + held + 1, F.length("alias"))
+
+
+def _edits(side: tuple[Column, Column, Column]) -> Column:
+    """Least edits that turn the rest of a name into some beginning of what the alias has; NULL if more than ``k``."""
+    rest, size, text = side
+    k = F.col("k")
+    least = F.greatest(F.lit(0), size - k)
+    found = F.transform(F.sequence(least, F.greatest(least, F.least(F.length(text), size + k))),
+                        lambda n: F.call_function("levenshtein", rest, F.substring(text, F.lit(1), n), k))
+    return F.array_min(F.filter(found, lambda x: x >= 0))
+
+
 def _longest_piece(longest_alias: int, max_distance: float) -> int:
     """Longest piece of any name that could still fit the longest alias."""
     best, n = 1, 1
