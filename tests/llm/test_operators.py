@@ -309,6 +309,26 @@ def test_blocks_of_items_weigh_alike(spark):
     assert rows(decontaminate.find_passages(table, bench, item_bytes=700)) == whole
 
 
+def test_recall_of_changed_passages(spark):
+    """Items with random words replaced, most of them little above the similarity: nine in ten at least are found."""
+    rng = np.random.default_rng(8)
+    items = [(i, " ".join(f"v{x}" for x in rng.integers(0, 3000, 60))) for i in range(40)]
+    docs = []
+    for i, text in items:
+        for copy, changes in enumerate((0, 1, 1, 2)):
+            held = text.split()
+            for at in rng.choice([*range(3), *range(57, 60)], changes, replace=False) if copy % 2 else rng.choice(60, changes):
+                held[int(at)] = "changed"
+            docs.append((10 * i + copy, "some words before " + " ".join(held) + " and some after"))
+    want = brute.passages(docs, items)
+    assert sum(0.75 <= s < 0.9 for s in want.values()) >= 20
+    got = decontaminate.find_passages(spark.createDataFrame(docs, "doc_id long, text string"),
+                                      spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r["doc_id"], r["item_id"]): r["similarity"] for r in got.collect()}
+    assert found.keys() <= want.keys() and len(found) >= 0.9 * len(want)
+    assert all(found[k] == pytest.approx(want[k], abs=0.2) for k in found)
+
+
 def test_blocks_find_every_fingerprint_in_the_radius():
     rng = np.random.default_rng(4)
     for _ in range(300):
