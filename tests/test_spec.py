@@ -81,3 +81,27 @@ def test_map_kept_as_a_table(spark, config):
     with pytest.warns(UserWarning, match="codes of"):
         back = load_config(config.definitions(spark))
     assert back == config
+
+
+def test_codes_of_a_map_kept_as_a_table_are_a_table(spark, config):
+    """The value table is made by Spark: nothing of the map visits the driver for it, however odd its rows are."""
+    with pytest.warns(UserWarning, match="codes of"):
+        back = load_config(config.definitions(spark))
+    want = {tuple(r) for r in config.value_frame(spark).collect()}
+    assert {tuple(r) for r in back.value_frame(spark).collect()} == want
+    assert "variables" not in vars(back)
+    pairs = "array<struct<key:string,value:string>>"
+    odd = spark.createDataFrame([
+        (1, "a", [("1", "one"), ("2", "two"), ("1", "uno")]), (2, "b", [(None, "nothing"), ("7", None)]),
+        (3, "a", [("9", "nine"), ("9.0", "also")]), (None, None, [("4", "four")]), (5, "c", None), (6, "d", []),
+        (7, "e", [("1", "one"), ("2", "two"), ("1", "uno")])],
+        f"ord int, canonical string, values {pairs}").selectExpr(
+        "*", "array(canonical) aliases", "array(canonical) keywords", "'integer' type", "canonical label",
+        f"cast(array() as {pairs}) recodes", "array('9') missing")
+    with pytest.warns(UserWarning, match="codes of `b`"):
+        back = load_config(odd)
+    found = {tuple(r) for r in back.value_frame(spark).collect()}
+    assert found == {("a", 0, "9", "nine"), ("a", 1, "9", "also"), ("b", 0, "None", "nothing"), ("b", 1, "7", "None"),
+                     ("None", 0, "4", "four"), ("e", 0, "1", "uno"), ("e", 1, "2", "two")}
+    assert {tuple(r) for r in Spec(back.variables).value_frame(spark).collect()} == found
+    assert {r["code"] for r in back.value_frame(spark, "e").collect()} == {"1", "2"}
