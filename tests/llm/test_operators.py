@@ -411,6 +411,24 @@ def test_windows_lie_evenly_in_all_texts(monkeypatch):
     assert {x % (lm.HALF * lm.EVERY) for t in per_text[5:] for x in t} == {lm.HALF * k for k in range(lm.EVERY)}
 
 
+def test_a_block_trains_on_all_windows(monkeypatch):
+    """Every token of the training rows of a block is the target of a window, and none of the other rows is."""
+    seen = []
+
+    def descend(net, texts, batches):
+        length = sum(map(len, texts))
+        seen.append((length, sorted(p for a in np.concatenate(batches).tolist() for p in range(a, a + lm.HALF) if p < length)))
+
+    monkeypatch.setattr(lm, "_descend", descend)
+    counts = np.ones(lm.IDS)
+    net = lm.untrained(counts, np.arange(lm.IDS) % lm.CLASSES)
+    learn = lm._learner(type("Shared", (), {"value": net}), *queries.vocabulary())
+    learn(pa.table({"block": pa.array([0] * 3), "id": pa.array([1, 2, 3]), "held": pa.array([False, False, True]),
+                    "text": pa.array(["one two three " * 60, "a b", "not seen " * 50])}))
+    (length, places), = seen
+    assert length == 184 and set(places) == set(range(length))
+
+
 def test_first_subwords_are_those_of_the_library():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     leads = lm.Leads(*queries.vocabulary())
