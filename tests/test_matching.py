@@ -204,3 +204,25 @@ def test_report(spark, spec):
 def test_header_catalogue(spark):
     rows = header_catalogue(spark, {"d": ["A b", "a_b", "C!"]}).orderBy("ordinal").collect()
     assert [r["raw_name"] for r in rows] == ["a_b", "a_b_1", "c"]
+
+
+def test_columns_are_shuffled_once_for_matching(spark, spec):
+    """Neither the fuzzy layer, nor a year that the catalogue brings along, nor a report without positions moves the columns again."""
+    from wavemeld.operators.catalogue import first_positions
+    from wavemeld.plans.audit import audit_log
+    from wavemeld.plans.report import unmatched
+    rows = [(f"d{i % 3}", i, f"name{i % 40}", 2000 + i % 3) for i in range(300)] + [("d0", 300, "kjon", 2000)]
+    cols = spark.createDataFrame(rows, "dataset string, ordinal bigint, raw_name string, year int").repartition(3)
+    log = audit_log(match_columns(cols, spec), None, "now")
+    plain = audit_log(match_columns(cols.drop("year"), spec), cols.select("dataset", "year").distinct(), "now")
+    assert sorted(map(str, log.collect())) == sorted(map(str, plain.collect()))
+    assert [r["canonical"] for r in log.filter("raw_name = 'kjon'").collect()] == ["kjonn"]
+    first = first_positions(cols)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for frame in (log.select("*"), unmatched(log)):
+            assert "Exchange hashpartitioning(raw_name" not in frame._jdf.queryExecution().executedPlan().toString()
+        both = first.select("dataset", "raw_name").union(first.filter("ordinal > 3").select("dataset", "raw_name"))
+        assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
