@@ -226,3 +226,20 @@ def test_columns_are_shuffled_once_for_matching(spark, spec):
         assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_master_files_match_once(spark, tmp_path, monkeypatch):
+    """Both updates of the master log read the rows that one matching has written."""
+    from wavemeld.plans import audit
+    from wavemeld.queries import registry
+    docs = spark.createDataFrame([(1, "en", "the tion was", 12), (2, "de", "der was http", 12)],
+                                 "doc_id bigint, lang string, text string, n_chars int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    plans = []
+    update = audit.update_master_log
+    monkeypatch.setattr(audit, "update_master_log", lambda log, folder: (
+        plans.append(log._jdf.queryExecution().optimizedPlan().toString()), update(log, folder)))
+    rows = registry.audit_master_files(spark, str(tmp_path)).collect()
+    assert len(plans) == 2 and not any("Generate" in p or "Join" in p for p in plans)
+    assert {(r["dataset"], r["logged_at"]) for r in rows} == {("en", registry.NEW_STAMP), ("de", registry.OLD_STAMP)}
+    assert {r["raw_name"] for r in rows} == {"1/the", "1/tion", "1/was", "2/der", "2/was", "2/http"}
