@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,6 +229,24 @@ def test_columns_are_shuffled_once_for_matching(spark, spec):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_columns_are_dealt_once_whatever_is_read(spark, spec):
+    """Neither tests that the optimizer adds to the fuzzy layer, nor columns that a report leaves out make a second shuffle of
+    all columns, and no task of the scan keeps a table of them."""
+    from wavemeld.plans.audit import audit_log
+    rows = [(f"d{i % 3}", i, f"name{i % 40}", 2000 + i % 3) for i in range(300)] + [("d0", 300, "kjon", 2000)]
+    cols = spark.createDataFrame(rows, "dataset string, ordinal bigint, raw_name string, year int")
+    log = audit_log(match_columns(cols, spec), None, "now")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for frame in (log, log.select("dataset", "raw_name", "method"), log.groupBy("method").count()):
+            lines = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+            dealt = [i for i, line in enumerate(lines) if re.search(r"- Exchange hashpartitioning\(dataset#\d+, raw_name#\d+,", line)]
+            assert len(dealt) == 2  # the columns, and the few winners
+            assert not any("HashAggregate" in lines[i + 1] for i in dealt)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_master_files_match_once(spark, tmp_path, monkeypatch):
     """Both updates of the master log read the rows that one matching has written."""
     from wavemeld.plans import audit
