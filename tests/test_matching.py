@@ -51,6 +51,23 @@ def test_unique_names_is_the_same_rule(spark, slice_size):
         assert got.get(d, []) == brute.make_unique(names) == unique_header(names)
 
 
+def test_unique_names_shuffle_the_columns_once(spark):
+    """Numbers that are taken, also twice or by a name without a base, and rows without a dataset; one shuffle by name."""
+    headers = {"d": ["a", "a_2", "a", "a_1", "a", "a_2", "a_7", "b_1", "b_1", "c_", "c_", "c__1", "a"], "e": ["a", "a"], None: ["a", "a", "a_1"]}
+    named = unique_names(catalogue(spark, headers))
+    got = {}
+    for r in named.orderBy("ordinal").collect():
+        got.setdefault(r["dataset"], []).append(r["raw_name"])
+    assert got.pop(None) == ["a", "a_1", "a_1"]  # rows without a dataset are numbered, nothing is taken among them
+    assert got == {d: unique_header(headers[d]) for d in got} and set(got) == {"d", "e"}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = named._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert sum(bool(re.search(r"- Exchange hashpartitioning", line)) for line in lines) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_running_total_over_slices(spark):
     df = spark.createDataFrame([("k" if i % 3 else "m", i, i % 5) for i in range(200)], "key string, pos bigint, v bigint")
     rows = running_total(df, ["key"], "pos", "v", "t", slice_size=8).orderBy("pos").collect()
