@@ -219,6 +219,19 @@ def test_report(spark, spec):
     assert lines["unmatched", 2] == "zz5qqqq, zz6qqqq"
 
 
+def test_lines_are_put_together_in_their_slice(spark, spec):
+    """Lines over the border of two slices are whole, and only lines that are not full are dealt by line."""
+    headers = {"d": [f"zz{i}qqqq" for i in range(32_770)], "e": ["zz1qqqq", "kjonn"]}
+    cols = catalogue(spark, headers).withColumn("ordinal", F.expr("ordinal + if(dataset = 'd', 32768 - 17, 0)"))
+    lines = match_report_lines(match_columns(cols, spec))
+    got = {(r["dataset"], r["tier"], r["line"]): r["text"] for r in lines.collect()}
+    assert got.pop(("e", "exact", 1)) == "kjonn -> kjonn" and got.pop(("e", "unmatched", 1)) == "zz1qqqq"
+    names = headers["d"]
+    assert got == {("d", "unmatched", i // 5 + 1): ", ".join(names[i:i + 5]) for i in range(0, len(names), 5)}
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[dataset#\d+, tier#\d+, _slice#\d+L, line", plan)
+
+
 def test_header_catalogue(spark):
     rows = header_catalogue(spark, {"d": ["A b", "a_b", "C!"]}).orderBy("ordinal").collect()
     assert [r["raw_name"] for r in rows] == ["a_b", "a_b_1", "c"]
