@@ -292,3 +292,28 @@ def test_master_files_match_once(spark, tmp_path, monkeypatch):
     assert len(plans) == 2 and not any("Generate" in p or "Join" in p for p in plans)
     assert {(r["dataset"], r["logged_at"]) for r in rows} == {("en", registry.NEW_STAMP), ("de", registry.OLD_STAMP)}
     assert {r["raw_name"] for r in rows} == {"1/the", "1/tion", "1/was", "2/der", "2/was", "2/http"}
+
+
+def test_repeats_near_each_other_are_not_shuffled(spark, spec):
+    """A word that a file repeats goes once a batch to the shuffle of the columns, with its first position; no row is lost."""
+    from wavemeld.operators.catalogue import first_positions
+    rows = [("d0", i, f"name{i % 5}", 2000) for i in range(400, 0, -1)] + [("d1", 7, "name0", None), ("d1", 3, "name0", None),
+            (None, 1, "name0", 2000), ("d0", 0, None, 2000)]
+    cols = spark.createDataFrame(rows, "dataset string, ordinal bigint, raw_name string, year int").repartition(1)
+    first = first_positions(cols)
+    assert sorted(map(tuple, first.select("dataset", "raw_name", "ordinal", "year").collect()), key=str) == sorted(
+        [("d0", f"name{i % 5}", i, 2000) for i in range(1, 6)] + [("d1", "name0", 3, None)], key=str)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = first_positions(cols)._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        metrics = {}
+        todo = [plan]
+        while todo:
+            node = todo.pop()
+            if "REPARTITION_BY_COL" in node.simpleString(200):
+                metrics["written"] = node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        assert metrics["written"] == 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
