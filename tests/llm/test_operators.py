@@ -439,6 +439,22 @@ def test_first_subwords_are_those_of_the_library():
             assert lead[which].tolist() == [tokenizer.encode(" " + w, add_special_tokens=False).ids[0] for w in words_]
 
 
+def test_words_of_a_block_are_not_encoded_again_in_the_next(monkeypatch):
+    """Blocks that a process works on one after the other share the first subwords of their words."""
+    encoded = []
+    whole = packing.Encoder.whole
+    monkeypatch.setattr(packing.Encoder, "whole", lambda self, text: (encoded.append(text), whole(self, text))[1])
+    net = lm.untrained(np.ones(lm.IDS), np.arange(lm.IDS) % lm.CLASSES)
+    calls = []
+    for block in range(2):
+        learn = lm._learner(type("Shared", (), {"value": net}), *queries.vocabulary())
+        learn(pa.table({"block": pa.array([block]), "id": pa.array([block]), "held": pa.array([False]),
+                        "text": pa.array(["aqbvcx bqcvdx cqdvex"])}))
+        calls.append(len(encoded))
+    assert calls == [1, 1]
+    assert sorted(encoded[0].split()) == [b"aqbvcx", b"bqcvdx", b"cqdvex"]
+
+
 def test_attention_scores_each_id_once_and_only_looks_back():
     rng = np.random.default_rng(0)
     texts = [np.append(rng.integers(0, 40, n), lm.END) for n in (1, 15, 16, 17, 100)]
