@@ -317,3 +317,27 @@ def test_repeats_near_each_other_are_not_shuffled(spark, spec):
         assert metrics["written"] == 6
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_names_are_asked_once(spark, spec):
+    """However many datasets have a name, it is held against the map once; the rows are those of a lazy match of unique columns."""
+    rng = random.Random(21)
+    pool = ["kjonn", "kjon", "io_kjonn", "sex", "alder", "alderr", "x", "age_yrs", "siv", "zzqq", "", "my_age_sex"] + [
+        f"other_{i}_name" for i in range(30)]
+    rows = [(f"d{d}", i, n, 2000 + d % 3) for d in range(40) for i, n in enumerate(rng.sample(pool, rng.randint(1, len(pool))))]
+    cols = spark.createDataFrame(rows, "dataset string, ordinal bigint, raw_name string, year int")
+    more = cols.unionByName(cols.withColumn("ordinal", F.col("ordinal") + 100)).unionByName(
+        spark.createDataFrame([(None, 1, "sex", 2000), ("d0", 99, None, 2000)], cols.schema))
+    lazy, done = match_columns(cols, spec, unique=True), match_columns(more, spec)
+    for want, got in ((lazy.log, done.log), (lazy.unmatched, done.unmatched)):
+        assert got.columns == want.columns and want.count() > 40
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert "levenshtein" in want._jdf.queryExecution().optimizedPlan().toString()
+        assert "levenshtein" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_names_in_normal_form_stay(spark):
+    from wavemeld.functions.names import normalise, normalise_text
+    names = ["ab1", "A b", "_x_", "", "--", "a__b", "Kelvin", "Øl 2", "x\ny"]
+    df = spark.createDataFrame([(n,) for n in [*names, None]], "n string")
+    assert [r[0] for r in df.select(normalise("n")).collect()] == [*map(normalise_text, names), None]
