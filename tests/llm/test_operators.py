@@ -257,6 +257,28 @@ def test_dropping_near_copies_keeps_one_of_each_group(odd):
     assert {3, 4, 5, 9, 10} <= want and got == sorted([(False, i) for i in want] + [(True, 0)])
 
 
+def test_frequent_shingles_of_a_large_table_do_not_chain_it(spark, monkeypatch):
+    """A passage of some texts is seen as frequent however small its share of a large table is, so these texts are no cluster."""
+    rng = np.random.default_rng(5)
+    passages = [" ".join(f"p{rng.integers(10 ** 9)}" for _ in range(12)) for _ in range(20)]
+    texts = [" ".join(f"w{rng.integers(10 ** 9)}" for _ in range(40)) for _ in range(600)]
+    texts = [f"{t} {passages[i % 20]} {passages[(i // 20) % 20]}" for i, t in enumerate(texts)]
+    plain = [*enumerate(texts), (600, texts[7] + " more"), (601, texts[8] + " other words")]
+    monkeypatch.setattr(jaccard, "SAMPLE_ROWS", 25)
+    monkeypatch.setattr(jaccard, "PAIRED", 10)
+    written, settle = {}, jaccard.settle
+
+    def counted(df, name):
+        out = settle(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "settle", counted)
+    found = jaccard.near_duplicates(spark.createDataFrame(plain, "doc_id bigint, text string"))
+    assert rows(found) == sorted(set_by_text(brute.jaccard(plain), plain), key=repr)
+    assert 4 <= written["members"] < 200
+
+
 # -- 7: pages: see test_pages.py; 8: benchmark ------------------------------------------------
 
 def test_passages_as_by_brute_force(documents, odd, spark):

@@ -24,7 +24,7 @@ from wavemeld.llm.common import components, fresh, same, settle
 
 #: Similarity in hundredths.
 PERCENT = 75
-#: Rows looked at for shingles that very many texts have; these come last in the order, which any order allows.
+#: Rows looked at, at least, for shingles that very many texts have; these come last in the order, which any order allows.
 SAMPLE_ROWS = 8000
 COMMON = 3
 #: Sets that share a shingle are paired up to this many; more are put into one cluster.
@@ -112,10 +112,19 @@ def _key_batch(grams: list, names: list, sizes: list) -> pa.RecordBatch:
                                        pa.array(np.concatenate(sizes).astype(np.int64))], ["gram", "name", "n"])
 
 
-def _common(docs: DataFrame, k: int) -> np.ndarray:
-    """Shingles that many different texts of a bounded sample have: at most the sample's shingles by ``COMMON``."""
-    picked = docs.select("id").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).distinct()
-    rows = docs.join(F.broadcast(picked.withColumnRenamed("id", "pick")), F.col("id").eqNullSafe(F.col("pick")))
+def _common(docs: DataFrame, k: int, n_rows: int) -> np.ndarray:
+    """Shingles that many different texts of a sample have: at most the sample's shingles by ``COMMON``.
+
+    The sample grows with the table once a shingle of ``PAIRED`` sets would else
+    be missing from it: such a shingle in the prefixes makes one cluster of its
+    sets, and a few of them chain most of a large table together.
+    """
+    share = 2 * COMMON / PAIRED
+    if n_rows * share <= SAMPLE_ROWS:
+        picked = docs.select("id").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).distinct()
+        rows = docs.join(F.broadcast(picked.withColumnRenamed("id", "pick")), F.col("id").eqNullSafe(F.col("pick")))
+    else:
+        rows = docs.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,7 +134,7 @@ def _common(docs: DataFrame, k: int) -> np.ndarray:
 
     grams = (rows.select("text").mapInArrow(work, "gram long, name long, n long").select("gram", "name").distinct()
              .groupBy("gram").agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") >= COMMON))
-    return np.sort(np.array([r["gram"] for r in grams.select("gram").collect()], dtype=np.int64).view(np.uint64))
+    return np.sort(grams.select("gram").toArrow().column("gram").to_numpy().astype(np.int64).view(np.uint64))
 
 
 class _Tree:
@@ -266,7 +275,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     rows = settle(_sets(base, k), "rows")
     sets = settle(rows.filter("n > 0").groupBy("name").agg(
         F.min("id").alias("low"), F.first("n").alias("n")), "sets")
-    common = docs.sparkSession.sparkContext.broadcast(_common(base, k))
+    common = docs.sparkSession.sparkContext.broadcast(_common(base, k, rows.count()))
     keys = _keys(base, k, common)
     shared = (keys.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
               .select(F.col("gram").alias("shared")))
