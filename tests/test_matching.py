@@ -341,3 +341,12 @@ def test_names_in_normal_form_stay(spark):
     names = ["ab1", "A b", "_x_", "", "--", "a__b", "Kelvin", "Øl 2", "x\ny"]
     df = spark.createDataFrame([(n,) for n in [*names, None]], "n string")
     assert [r[0] for r in df.select(normalise("n")).collect()] == [*map(normalise_text, names), None]
+
+
+def test_report_has_counts_and_entries(spark, spec):
+    """The report names the columns of each tier beside their number, as the one that the reference prints."""
+    result = match_columns(catalogue(spark, {"d": ["kjonn", "io_siv", *[f"zz{i}qqqq" for i in range(7)]], "e": ["alderr"]}), spec)
+    assert sorted(map(tuple, match_report(result).collect())) == [
+        ("d", "exact", 1, 1, "kjonn -> kjonn"), ("d", "keyword", 1, 1, "io_siv -> siv matched by keyword [siv]"),
+        ("d", "unmatched", 7, 1, "zz0qqqq, zz1qqqq, zz2qqqq, zz3qqqq, zz4qqqq"), ("d", "unmatched", 7, 2, "zz5qqqq, zz6qqqq"),
+        ("e", "fuzzy", 1, 1, "alderr -> alder")]
